@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from riskloom.catalog import check
-from riskloom.catalog.frames import STAND_IN_FLAG, features, payload
+from riskloom.catalog.frames import STAND_IN_FLAG, payload, stored_features
 from riskloom.catalog.sql import (
     CONFUSION_RATIOS,
     FRAME,
@@ -14,6 +14,7 @@ from riskloom.catalog.sql import (
 )
 from riskloom.operators import drift, scoring
 from riskloom.operators.sampling import ordered_sample
+from riskloom.session import stored
 
 
 def _day(df):
@@ -31,9 +32,10 @@ def _predict(df):
 
 
 def _simulated(spark, folder):
-    train = features(spark, folder).filter(F.col("dataset") == "train")
+    train = stored_features(spark, folder).filter(F.col("dataset") == "train")
     now = F.expr("TIMESTAMP_NTZ '2024-03-02 12:00:00'")
-    return scoring.simulated_payload(ordered_sample(train, 2000), _predict, now, "1", keep=("event_id",))
+    sample = ordered_sample(train, 2000)
+    return stored(scoring.simulated_payload(sample, _predict, now, "1", keep=("event_id",)))
 
 
 SIMULATED = (

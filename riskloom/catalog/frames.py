@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.config import FEATURES
+from riskloom.functions.columns import long_form
 from riskloom.operators.curve import average_precision, pr_curve, run_metrics
 from riskloom.operators.features import feature_frame
 from riskloom.operators.sampling import search_sample, stratified_folds, stratified_holdout, time_split
 from riskloom.operators.selection import champion_history
+from riskloom.session import stored
 from riskloom.sources.events import read_events, transactions
 
 # Stand-in models: name and the feature that serves as its score.
@@ -37,6 +39,11 @@ def features(spark: SparkSession, folder: str, keep: tuple[str, ...] = ()) -> Da
     return feature_frame(txn(spark, folder, keep), keep=keep)
 
 
+def stored_features(spark: SparkSession, folder: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The feature table as training and monitoring meet it: written once, then read by column."""
+    return stored(features(spark, folder, keep))
+
+
 def train_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions of the training period, marked 'fit' or 'val'."""
     train = time_split(txn(spark, folder)).filter(F.col("dataset") == "train")
@@ -49,14 +56,13 @@ def fit_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def bake_off(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Feature rows scored by every stand-in: one row per transaction and algorithm."""
-    ids = ["event_id", "isFraud", *keep]
-    scores = [F.col(c).cast("double").alias(name) for name, c in STAND_INS.items()]
-    return rows.select(*ids, *scores).unpivot(ids, list(STAND_INS), "algorithm", "score")
+    scores = long_form({name: F.col(c) for name, c in STAND_INS.items()}, "algorithm", "score")
+    return rows.select("event_id", "isFraud", *keep, scores)
 
 
 def runs(spark: SparkSession, folder: str) -> DataFrame:
     """A run per stand-in, with the full metric record."""
-    frame = features(spark, folder)
+    frame = stored_features(spark, folder)
     train = stratified_holdout(frame.filter(F.col("dataset") == "train"), 0.12)
     fit = train.filter(F.col("split") == "fit")
     sample = bake_off(stratified_folds(search_sample(fit)), keep=("fold",))
@@ -74,7 +80,7 @@ def runs(spark: SparkSession, folder: str) -> DataFrame:
 
 def versions(spark: SparkSession, folder: str) -> DataFrame:
     """One model version per stand-in and day with frauds; its metric is that day's AP."""
-    scored = bake_off(features(spark, folder), keep=("simulation_day",))
+    scored = bake_off(stored_features(spark, folder), keep=("simulation_day",))
     by = ["algorithm", "simulation_day"]
     daily = average_precision(pr_curve(scored, "score", by=by), by)
     return daily.filter(F.col("average_precision").isNotNull()).select(
@@ -93,7 +99,7 @@ def payload(spark: SparkSession, folder: str) -> DataFrame:
     last_day = read_events(spark, folder).agg(F.max(F.to_date("ts")).alias("d")).scalar()
     shift = F.when(day == last_day, F.col("log_amount") * 3).otherwise(F.col("log_amount"))
     rows = rows.withColumn("log_amount", shift)
-    return rows.select(
+    log = rows.select(
         "event_id",
         *FEATURES,
         "isFraud",
@@ -101,3 +107,4 @@ def payload(spark: SparkSession, folder: str) -> DataFrame:
         F.col("ts").alias("request_ts"),
         F.when(F.col("event_id") % 3 == 0, "1").otherwise("2").alias("model_version"),
     )
+    return stored(log)

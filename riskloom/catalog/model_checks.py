@@ -3,14 +3,14 @@
 from pyspark.sql import functions as F
 
 from riskloom.catalog import check
-from riskloom.catalog.frames import features
+from riskloom.catalog.frames import stored_features
 from riskloom.config import FEATURES, PARAM_GRIDS
 from riskloom.operators import models, scoring
 from riskloom.operators.sampling import ordered_sample, search_sample, stratified_folds, stratified_holdout
 
 
 def _parts(spark, folder):
-    frame = features(spark, folder)
+    frame = stored_features(spark, folder)
     train = stratified_holdout(frame.filter(F.col("dataset") == "train"), 0.12)
     return train.filter(F.col("split") == "fit").drop("split"), frame.filter(F.col("dataset") == "test")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,6 +54,16 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.coalesce(F.try_divide(numerator.cast("double"), denominator.cast("double")), F.lit(0.0))
 
 
+def long_form(values: Mapping[str, Column], name: str, value: str) -> Column:
+    """One output row per entry: its key in column ``name``, its value as double in ``value``.
+
+    ``DataFrame.unpivot`` does the same, but Spark does not recognise two copies of an unpivoted
+    branch as equal, and then shuffles it twice.
+    """
+    entries = [F.struct(F.lit(k).alias(name), v.cast("double").alias(value)) for k, v in values.items()]
+    return F.inline(F.array(*entries))
+
+
 def sample_hash(key: str, purpose: str, seed: int = 42) -> Column:
     """A reproducible uniform draw per row, as 32 hex digits that compare like a number.
 

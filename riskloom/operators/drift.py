@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.config import DRIFT_PVALUE, DRIFT_STATISTIC, FEATURES, TABLE_LEVEL_ROW, TXN
-from riskloom.functions.columns import ks_pvalue, ratio
+from riskloom.functions.columns import ks_pvalue, long_form, ratio
 from riskloom.operators.curve import confusion_of
 from riskloom.operators.running import running_totals
 
@@ -63,9 +63,7 @@ def ks_drift(
     """
     by = list(by)
     windowed = with_window(payload, ts, width)
-    long = windowed.select(*by, "window", *[F.col(c).cast("double").alias(c) for c in features]).unpivot(
-        [*by, "window"], list(features), "column_name", "value"
-    )
+    long = windowed.select(*by, "window", long_form({c: F.col(c) for c in features}, "column_name", "value"))
     counts = (
         long.filter(F.col("value").isNotNull())
         .groupBy(*by, "window", "column_name", "value")

@@ -24,8 +24,7 @@ def time_split(df: DataFrame, share: float = TRAIN_SHARE_OF_STEPS, cols: TxnColu
     subquery, so nothing is pulled to the driver and the split can reach the scan.
     """
     edge = df.agg((F.max(cols.step) * F.lit(share)).cast("int").alias("split_step")).scalar()
-    step = F.col(cols.step)
-    return df.withColumn("dataset", F.when(step <= edge, "train").when(step > edge, "test"))
+    return df.withColumn("dataset", F.when(F.col(cols.step) <= edge, "train").when(F.col(cols.step).isNotNull(), "test"))
 
 
 def split_summary(df: DataFrame, part: str, label: str = TXN.label) -> DataFrame:

@@ -21,19 +21,23 @@ TYPE_OF_EVENT = {
 
 def _epoch_second(ts: str) -> Column:
     """Whole seconds of a zoneless timestamp, whatever the session's time zone."""
-    day = F.unix_date(F.to_date(ts))
+    day = F.unix_date(F.to_date(ts)).cast("long")
     return day * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
 def transactions(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Event rows as transactions; ``keep`` names event columns to carry along."""
-    second = _epoch_second("ts").cast("long")
-    first = events.agg(F.min(second).alias("first_second")).scalar()
+    """Event rows as transactions; ``keep`` names event columns to carry along.
+
+    Hours count from the first event. That one number is read here, so that it is a constant in
+    every plan built on the view.
+    """
+    first = events.agg(F.min(_epoch_second("ts"))).first()[0]
     kind = F.coalesce(*[F.when(F.col("event_type") == e, t) for e, t in TYPE_OF_EVENT.items()])
-    k = F.get_json_object("props", "$.k").cast("long")
-    rows = events.select(
+    parsed = events.select("*", F.get_json_object("props", "$.k").cast("long").alias("k"))
+    k = F.col("k")
+    rows = parsed.select(
         "event_id",
-        (F.floor((second - first) / 3600) + 1).cast("int").alias("step"),
+        (F.floor((_epoch_second("ts") - F.lit(first)) / 3600) + 1).cast("int").alias("step"),
         kind.alias("type"),
         F.col("value").alias("amount"),
         F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("nameOrig"),
