@@ -41,7 +41,7 @@ def features(spark: SparkSession, folder: str, keep: tuple[str, ...] = ()) -> Da
 
 def stored_features(spark: SparkSession, folder: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """The feature table as training and monitoring meet it: written once, then read by column."""
-    return stored(features(spark, folder, keep))
+    return stored(features(spark, folder, keep), "dataset")
 
 
 def train_rows(spark: SparkSession, folder: str) -> DataFrame:

@@ -121,15 +121,16 @@ def curve_summary(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Every curve metric of a run in one pass over the curve."""
-    return _aggregate(
-        curve,
-        by,
+    return _aggregate(curve, by, *_summary(recalls), _point_at(target_recall).alias("chosen"))
+
+
+def _summary(recalls: Sequence[float]) -> list[Column]:
+    return [
         _average_precision().alias("average_precision"),
         _roc_auc().alias("roc_auc"),
         _best_precision(0.80).alias("precision_at_80recall"),
-        _point_at(target_recall).alias("chosen"),
         *[_point_at(r).getField("precision").alias(f"precision_at_recall_{round(r * 100)}") for r in recalls],
-    )
+    ]
 
 
 def confusion_at(
@@ -197,19 +198,30 @@ def run_metrics(
         F.col("chosen.recall").alias("val_recall_at_threshold"),
         F.col("chosen.threshold").alias("decision_threshold"),
     )
-    chosen = val.select(*by, "decision_threshold")
-    confusion = confusion_at(test.join(chosen, by), score, F.col("decision_threshold"), label, by).select(
-        *by,
-        F.col("recall").alias("recall_at_threshold"),
-        F.col("precision").alias("precision_at_threshold"),
-        F.col("alerts_per_fraud").alias("alerts_per_fraud_at_threshold"),
-        F.col("flagged_rate").alias("flagged_rate_at_threshold"),
-        F.col("tp").cast("double").alias("tp_at_threshold"),
-        F.col("fp").cast("double").alias("fp_at_threshold"),
-        F.col("fn").cast("double").alias("fn_at_threshold"),
+    # One row per model. The test curve holds the confusion counts of every threshold, so the
+    # scores themselves are not read again.
+    chosen = F.broadcast(val.select(*by, "decision_threshold"))
+    test_curve = pr_curve(test, score, label, by).join(chosen, by)
+    flagged = F.col("threshold") >= F.col("decision_threshold")
+    at_threshold = test_curve.groupBy(*by).agg(
+        *_summary(OPERATING_RECALLS),
+        F.coalesce(F.max(F.when(flagged, F.col("tp"))), F.lit(0)).alias("_tp"),
+        F.coalesce(F.max(F.when(flagged, F.col("flagged"))), F.lit(0)).alias("_flagged"),
+        F.max("positives").alias("_positives"),
+        F.max("rows").alias("_rows"),
+    )
+    tp, alerts = F.col("_tp"), F.col("_flagged")
+    tested = at_threshold.select(
+        *[c for c in at_threshold.columns if not c.startswith("_")],
+        ratio(tp, F.col("_positives")).alias("recall_at_threshold"),
+        ratio(tp, alerts).alias("precision_at_threshold"),
+        ratio(alerts, tp).alias("alerts_per_fraud_at_threshold"),
+        ratio(alerts, F.col("_rows")).alias("flagged_rate_at_threshold"),
+        tp.cast("double").alias("tp_at_threshold"),
+        (alerts - tp).cast("double").alias("fp_at_threshold"),
+        (F.col("_positives") - tp).cast("double").alias("fn_at_threshold"),
     )
-    tested = curve_summary(pr_curve(test, score, label, by), target_recall, by=by).drop("chosen")
-    record = val.join(tested, by).join(confusion, by).withColumnRenamed("average_precision", "avg_precision")
+    record = val.join(tested, by).withColumnRenamed("average_precision", "avg_precision")
     if cv_scores is not None:
         record = record.join(cv_scores, by, "left")
     names = [c for c in record.columns if c not in by]

@@ -28,7 +28,7 @@ def build_feature_tables(
     The ids are given at the moment of writing and stay with the stored rows.
     """
     cols = cols or replace(TXN, key="row_hash")
-    frame = stored(feature_frame(spark.table(bronze), cols))
+    frame = stored(feature_frame(spark.table(bronze), cols), "dataset")
     parts = {
         name: quick_row_ids(frame.filter(F.col("dataset") == part).select(*FEATURE_TABLE), KEY)
         for name, part in ((train_name, "train"), (test_name, "test"))

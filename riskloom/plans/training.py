@@ -67,10 +67,10 @@ def train_and_select(
     algorithms, unknown = known_algorithms(grids)
     if unknown:
         warnings.warn(f"ignoring unknown algorithms: {unknown}", stacklevel=2)
-    features = feature_columns(train, also_not=[key])
+    features = feature_columns(train, also_not=[key, "split"])
     check_features_present(features, test)
 
-    split = stored(exact_stratified_holdout(train, settings.val_fraction, label, key, settings.seed))
+    split = stored(exact_stratified_holdout(train, settings.val_fraction, label, key, settings.seed), "split")
     fit_rows = split.filter(F.col("split") == "fit")
     val_rows = split.filter(F.col("split") == "val")
     sample = search_sample(fit_rows, settings.search_neg_per_pos, label, key, settings.seed)

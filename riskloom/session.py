@@ -52,16 +52,17 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """The frame, written once as Parquet in the shared folder and read back.
 
     For frames that several passes read: later passes read the columns they need instead of
-    computing everything again, and a lost executor costs no recomputation. Without a shared
-    folder the frame is persisted, which Spark can rebuild from its lineage.
+    computing everything again, and a lost executor costs no recomputation. ``partition_by`` is
+    a column of few values by which later passes filter; they then skip the other files. Without
+    a shared folder the frame is persisted, which Spark can rebuild from its lineage.
     """
     folder = shared_folder(df.sparkSession)
     if folder is None:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     path = f"{folder}/stored-{uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
