@@ -32,7 +32,7 @@ def pr_curve(
     points = scored.groupBy(*by, F.col(score).cast("double").alias("threshold")).agg(
         F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n")
     )
-    runs = running_totals(points, "threshold", sums=["pos", "n"], by=by, descending=True, buckets=buckets)
+    runs = running_totals(points, "threshold", sums=["pos", "n"], by=by, descending=True, unique=True, buckets=buckets)
     return runs.select(
         *by,
         "threshold",

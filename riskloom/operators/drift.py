@@ -94,7 +94,14 @@ def ks_drift(
         F.when(F.col("_role.now"), 0).otherwise(F.col("n")).alias("before"),
     )
     groups = [*by, "window", "column_name"]
-    runs = running_totals(paired, "value", sums=["now", "before"], by=groups, cuts_per=["column_name"])
+    runs = running_totals(
+        paired,
+        "value",
+        sums=["now", "before"],
+        by=groups,
+        cuts_per=["column_name"],
+        cuts_from=counts.filter(F.col("n") > 0),
+    )
     gap = F.abs(
         F.try_divide(F.col("run_now"), F.col("all_now")) - F.try_divide(F.col("run_before"), F.col("all_before"))
     )

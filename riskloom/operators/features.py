@@ -143,7 +143,7 @@ def row_ids(df: DataFrame, key: str = TXN.key, name: str = "txn_id") -> DataFram
     Unlike ids taken from partition positions, the numbers are the same on every computation.
     """
     ones = df.withColumn("_one", F.lit(1).cast("long"))
-    numbered = running_totals(ones, key, sums=["_one"])
+    numbered = running_totals(ones, key, sums=["_one"], unique=True)
     return numbered.select(*df.columns, (F.col("run__one") - 1).alias(name))
 
 

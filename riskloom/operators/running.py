@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,34 +23,25 @@ def bucket_count(df: DataFrame) -> int:
     return max(16, min(MAX_BUCKETS, wanted))
 
 
-def _cut_points(df: DataFrame, order: str, used: Column, buckets: int, per: Sequence[str]) -> DataFrame:
-    """Quantiles of ``order`` in groups of about equal length, with each group's last value."""
-    width = isqrt(buckets - 1) + 1
-    groups = ceil((buckets - 1) / width)
-    shares = [i / buckets for i in range(1, buckets)]
-    # The filter keeps the summed columns in this branch, so it reads the same shuffle as the
-    # main plan instead of a narrower copy of it.
-    cuts = df.filter(used).groupBy(*per).agg(F.percentile_approx(order, shares, 20 * buckets).alias("_c"))
-    fine = F.transform(F.sequence(F.lit(0), F.lit(groups - 1)), lambda g: F.slice("_c", g * width + 1, width))
-    cuts = cuts.select(*per, fine.alias("_fine"))
-    return cuts.select(*per, F.struct("_fine", F.transform("_fine", lambda g: F.array_max(g)).alias("_last")).alias("_cuts"))
-
-
-def _with_bucket(df, order, used, buckets, per):
+def _with_bucket(df: DataFrame, values: DataFrame, order: str, buckets: int, per: Sequence[str]) -> DataFrame:
     """Add ``_bucket``: the number of cut points below the row's value."""
-    cuts = _cut_points(df, order, used, buckets, per)
+    shares = [i / buckets for i in range(1, buckets)]
+    cuts = values.groupBy(*per).agg(F.percentile_approx(order, shares, 20 * buckets).alias("_cuts"))
     if per:
-        # One row per column name that was unpivoted, so as many rows as the schema is wide.
+        # One row per column name, so as many rows as the unpivoted table was wide.
         same = reduce(lambda a, b: a & b, [F.col(f"_d.{c}").eqNullSafe(F.col(f"_k.{c}")) for c in per])
-        df = df.alias("_d").join(F.broadcast(cuts.alias("_k")), same, "left").select("_d.*", "_k._cuts")
+        rows = df.alias("_d").join(F.broadcast(cuts.alias("_k")), same, "left").select("_d.*", "_k._cuts")
     else:
-        df = df.withColumn("_cuts", cuts.select("_cuts").scalar())
-    width = isqrt(buckets - 1) + 1
-    value = F.col(order)
-    df = df.withColumn("_group", F.size(F.filter("_cuts._last", lambda c: c < value)))
-    inside = F.size(F.filter(F.get("_cuts._fine", F.col("_group")), lambda c: c < value))
-    bucket = F.col("_group") * width + F.greatest(inside, F.lit(0))
-    return df.withColumn("_bucket", bucket).drop("_cuts", "_group")
+        rows = df.withColumn("_cuts", cuts.scalar())
+    # Binary search, one projection per halving: plain expressions that compile, where a
+    # higher-order function over the array would be interpreted for every row.
+    rows = rows.withColumn("_bucket", F.lit(0))
+    step = 1 << ((buckets - 1).bit_length() - 1)
+    while step:
+        beyond = F.get("_cuts", F.col("_bucket") + (step - 1)) < F.col(order)
+        rows = rows.withColumn("_bucket", F.col("_bucket") + F.when(beyond, step).otherwise(0))
+        step >>= 1
+    return rows.drop("_cuts")
 
 
 def running_totals(
@@ -62,19 +52,27 @@ def running_totals(
     by: Sequence[str] = (),
     descending: bool = False,
     exclusive: bool = False,
+    unique: bool = False,
     cuts_per: Sequence[str] = (),
+    cuts_from: DataFrame | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
     """Add ``run_<c>`` for each summed or maximised column and ``all_<c>`` for each group's total.
 
     Totals run over ``order`` within each ``by`` group and take in every row with an equal value.
-    With ``exclusive`` they stop before the row; the order must then be unique in its group.
+    Where the order is ``unique`` in its group, say so: there are no equal values to look for.
+    With ``exclusive`` the totals stop before the row, which needs a unique order.
     ``cuts_per`` names columns of few values, a subset of ``by``, whose value ranges differ.
+    ``cuts_from`` is a smaller frame with the same values, where there is one; the cuts decide
+    about balance only, never about the result.
     """
-    buckets = buckets or bucket_count(df)
+    buckets = max(2, buckets or bucket_count(df))
     tracked = [*sums, *maxima]
-    used = reduce(lambda a, b: a | b, [F.col(c) != 0 for c in tracked])
-    rows = _with_bucket(df, order, used, buckets, list(cuts_per))
+    if cuts_from is None:
+        # The filter keeps the summed columns in this branch, so it reads the same shuffle as
+        # the main plan instead of a narrower copy of it.
+        cuts_from = df.filter(reduce(lambda a, b: a | b, [F.col(c) != 0 for c in tracked]))
+    rows = _with_bucket(df, cuts_from, order, buckets, list(cuts_per))
 
     def total(name: str) -> Column:
         return F.sum(name) if name in sums else F.max(name)
@@ -93,16 +91,16 @@ def running_totals(
 
     row_order = F.col(order).desc() if descending else F.col(order).asc()
     cell = Window.partitionBy(*by, "_bucket").orderBy("_is_row", row_order)
-    upto = (
-        cell.rowsBetween(Window.unboundedPreceding, -1)
-        if exclusive
-        else cell.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    from_start = cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if exclusive:
+        upto = cell.rowsBetween(Window.unboundedPreceding, -1)
+    elif unique:
+        upto = cell.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    else:
+        upto = cell.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     out = both.select(
         *df.columns,
         "_is_row",
         *[total(c).over(upto).alias(f"run_{c}") for c in tracked],
-        *[F.max(f"all_{c}").over(from_start).alias(f"all_{c}") for c in tracked],
+        *[F.max(f"all_{c}").over(upto).alias(f"all_{c}") for c in tracked],
     )
     return out.filter("_is_row = 1").drop("_is_row")
