@@ -109,8 +109,8 @@ class TrainingSettings:
 
     def __post_init__(self):
         if not 0.0 < self.target_recall < 1.0:
-            raise ValueError("target_recall must be between 0 and 1")
+            raise ValueError(f"target_recall={self.target_recall} is outside (0, 1)")
         if self.selection_metric not in SELECTION_KEYS:
-            raise ValueError(f"selection_metric must be one of {sorted(SELECTION_KEYS)}")
+            raise ValueError(f"selection_metric={self.selection_metric!r} is not among {sorted(SELECTION_KEYS)}")
         if not 0.0 < self.val_fraction < 0.5:
-            raise ValueError("val_fraction must be between 0 and 0.5")
+            raise ValueError(f"val_fraction={self.val_fraction} is outside (0, 0.5)")

@@ -118,13 +118,13 @@ def feature_columns(df: DataFrame, also_not: Sequence[str] = ()) -> list[str]:
 
 def check_same_columns(train: DataFrame, test: DataFrame) -> None:
     if train.columns != test.columns:
-        raise ValueError("train and test tables have different columns")
+        raise ValueError(f"columns of the two periods: {train.columns} and {test.columns}")
 
 
 def check_features_present(features: Sequence[str], test: DataFrame) -> None:
     missing = sorted(set(features) - set(test.columns))
     if missing:
-        raise ValueError(f"test table lacks feature columns: {missing}")
+        raise ValueError(f"features without a column to score on: {missing}")
 
 
 def assemble_and_scale(features: Sequence[str] = FEATURES) -> Pipeline:

@@ -34,7 +34,7 @@ def build_feature_tables(
         for name, part in ((train_name, "train"), (test_name, "test"))
     }
     check_same_columns(parts[train_name], parts[test_name])
-    return publish_all(parts, KEY, "Engineered features for the fraud model")
+    return publish_all(parts, KEY, "One row per transaction, label included")
 
 
 def report(tables: dict[str, DataFrame]) -> DataFrame:

@@ -105,7 +105,7 @@ def train_and_select(
     found = {r["algorithm"]: r for r in runs.collect()}
     for name in algorithms:
         if "decision_threshold" not in found[name]["metrics"]:
-            raise ValueError(f"{name}: no threshold reaches the target recall")
+            raise ValueError(f"{name}: a recall of {settings.target_recall} is out of reach on the validation rows")
     over = alert_budget(
         runs.select("algorithm", F.col("metrics.alerts_per_fraud_at_threshold").alias("alerts_per_fraud")),
         settings.max_alerts_per_fraud,

@@ -28,7 +28,7 @@ def read_fixture(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.option("multiLine", True).json(path)
     if suffix == ".csv":
         return spark.read.option("header", True).csv(path)
-    raise ValueError(f"unsupported fixture type: {path}")
+    raise ValueError(f"a fixture is a .json or .csv file, not {path}")
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

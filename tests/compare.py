@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from pathlib import Path
@@ -47,11 +48,15 @@ def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
 
 def main() -> None:
     from __spark_entry__ import oracle_sql, queries
+    from pyspark.sql import SparkSession
+
     from riskloom.session import local_session
 
     folder = sys.argv[1]
     wanted = sys.argv[2:]
-    spark = local_session(8)
+    # PLAIN=1: a session without any of our settings.
+    plain = os.environ.get("PLAIN")
+    spark = SparkSession.builder.master("local[8]").getOrCreate() if plain else local_session(8)
     con = connect(folder)
     every, sql = queries(), oracle_sql()
     bad = 0
