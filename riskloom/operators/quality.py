@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.config import TXN, TxnColumns
 from riskloom.functions.columns import entity_class, is_class
 
 
+def _cents(value: Column) -> Column:
+    """Round to two places. A sum of doubles differs in its last digits from run to run, so that
+    noise is cut first; else a mean that lies on half a cent would be rounded either way."""
+    return F.round(F.round(value, 9), 2)
+
+
 def label_distribution(df: DataFrame, label: str = TXN.label) -> DataFrame:
     """Rows and percentage per label value, four decimals."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("row_count"))
@@ -58,7 +64,7 @@ def amount_by_type(df: DataFrame, cols: TxnColumns = TXN) -> DataFrame:
         df.groupBy(cols.kind)
         .agg(
             F.count(F.lit(1)).alias("transactions"),
-            F.round(F.avg(cols.amount), 2).alias("avg_amount"),
+            _cents(F.avg(cols.amount)).alias("avg_amount"),
             F.round(F.max(cols.amount), 2).alias("max_amount"),
         )
         .orderBy(F.desc("transactions"))
@@ -120,7 +126,7 @@ def profile_reports(cells: DataFrame, cols: TxnColumns = TXN) -> DataFrame:
     grouped = cells.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in keys]).agg(
         F.grouping_id().alias("_set"),
         F.sum("row_count").alias("row_count"),
-        F.round(F.try_divide(F.sum("amount_sum"), F.sum("amount_count")), 2).alias("avg_amount"),
+        _cents(F.try_divide(F.sum("amount_sum"), F.sum("amount_count"))).alias("avg_amount"),
         F.round(F.max("amount_max"), 2).alias("max_amount"),
         F.sum("negative_amounts").alias("negative_amounts"),
         F.sum("zero_amounts").alias("zero_amounts"),
