@@ -6,6 +6,7 @@ import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
 from statistics import fmean
 
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.config import FEATURES, TXN
-from riskloom.operators.curve import StepAveragePrecision
+from riskloom.operators.curve import average_precision, pr_curve
 from riskloom.session import use_checkpoint_dir
 
 WEIGHT = "weight"
@@ -152,21 +153,34 @@ def assembled(df: DataFrame, features: Sequence[str] = FEATURES, label: str = TX
     return vector.transform(df.select(label, *keep, *features)).select(label, *keep, "features")
 
 
+def _weight_per_class(counts: Mapping[int, int], mode: str | Mapping[int, float] | None) -> dict[int, float]:
+    """``class_weights`` for class counts that are already on the driver."""
+    if isinstance(mode, Mapping):
+        return {c: float(mode.get(c, 1.0)) for c in counts}
+    if mode is None:
+        return dict.fromkeys(counts, 1.0)
+    share = sum(counts.values()) / len(counts)
+    return {c: share / n for c, n in counts.items()}
+
+
 def fit_assembled(
-    rows: DataFrame, algorithm: str, params: Mapping, label: str = TXN.label, seed: int = 42
+    rows: DataFrame,
+    algorithm: str,
+    params: Mapping,
+    label: str = TXN.label,
+    seed: int = 42,
+    counts: Mapping[int, int] | None = None,
 ) -> PipelineModel:
-    """Fit one setting on an assembled frame."""
+    """Fit one setting on an assembled frame; ``counts`` are its rows per class, where known."""
     use_checkpoint_dir(rows.sparkSession)
-    weights = class_weights(rows, params["class_weight"], label)
-    # Two rows, one per class.
-    per_class = {r[label]: (r["row_count"], r[WEIGHT]) for r in weights.collect()}
-    weight_sum = sum(n * w for n, w in per_class.values())
-    cases = F.lit(None).cast("double")
-    for value, (_, weight) in per_class.items():
-        cases = F.when(F.col(label) == value, F.lit(weight)).otherwise(cases)
+    if counts is None:
+        counts = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}
+    weights = _weight_per_class(counts, params["class_weight"])
+    weight_sum = sum(n * weights[c] for c, n in counts.items())
+    weight = F.coalesce(*[F.when(F.col(label) == c, F.lit(w)) for c, w in weights.items()])
     stages = list(ALGORITHMS[algorithm](params, weight_sum, seed))
     stages[-1].setLabelCol(label).setWeightCol(WEIGHT)
-    return Pipeline(stages=stages).fit(rows.withColumn(WEIGHT, cases))
+    return Pipeline(stages=stages).fit(rows.withColumn(WEIGHT, weight))
 
 
 def fit(
@@ -206,24 +220,37 @@ def search(
 ) -> SearchResult:
     """The setting with the best mean average precision over the folds in column ``fold``.
 
-    The sample is assembled once and kept; every fit and evaluation is a Spark job over it, and
-    ``parallelism`` of them share the cluster. Equal scores go to the setting listed first.
+    The sample is assembled once and kept. Every fit is a Spark job over it, and ``parallelism``
+    of them share the cluster; all held-out folds are then measured in one job, as groups of one
+    curve. Equal scores go to the setting listed first.
     """
     rows = assembled(sample, features, label, keep=["fold"]).persist(StorageLevel.MEMORY_AND_DISK)
-    measure = StepAveragePrecision(labelCol=label)
+    tasks = [(i, fold) for i in range(len(settings)) for fold in range(folds)]
+    by = ["setting", "fold"]
+    try:
+        per_fold = rows.groupBy("fold", label).count().collect()
 
-    def fold_score(task: tuple[Mapping, int]) -> float:
-        params, fold = task
-        model = fit_assembled(rows.filter(F.col("fold") != fold), algorithm, params, label, seed)
-        return measure.evaluate(model.transform(rows.filter(F.col("fold") == fold)))
+        def fit_without(task: tuple[int, int]) -> PipelineModel:
+            i, fold = task
+            counts: dict[int, int] = {}
+            for r in per_fold:
+                if r["fold"] != fold:
+                    counts[r[label]] = counts.get(r[label], 0) + r["count"]
+            return fit_assembled(rows.filter(F.col("fold") != fold), algorithm, settings[i], label, seed, counts)
 
-    tasks = [(params, fold) for params in settings for fold in range(folds)]
-    try:
-        run = inheritable_thread_target(rows.sparkSession)(fold_score)
+        run = inheritable_thread_target(rows.sparkSession)(fit_without)
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            scores = list(pool.map(run, tasks))
+            models = list(pool.map(run, tasks))
+        held_out = [
+            model.transform(rows.filter(F.col("fold") == fold)).select(
+                label, F.lit(i).alias("setting"), "fold", positive_probability().alias("score")
+            )
+            for (i, fold), model in zip(tasks, models, strict=True)
+        ]
+        curves = pr_curve(reduce(DataFrame.unionByName, held_out), "score", label, by)
+        found = {(r["setting"], r["fold"]): r["average_precision"] for r in average_precision(curves, by).collect()}
     finally:
         rows.unpersist()
-    means = [fmean(scores[i * folds : (i + 1) * folds]) for i in range(len(settings))]
+    means = [fmean(found.get((i, fold)) or 0.0 for fold in range(folds)) for i in range(len(settings))]
     best = max(range(len(settings)), key=lambda i: means[i])
     return SearchResult(dict(settings[best]), means[best], [(dict(p), m) for p, m in zip(settings, means, strict=True)])
