@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 HEAVY_SHARE = 1 / 1000
 SPREAD = 4096
+SKETCH_GROUPS = 256
 
 
 def heavy_by_sketch(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> DataFrame:
@@ -24,10 +25,16 @@ def heavy_by_sketch(df: DataFrame, key: str, share: float = HEAVY_SHARE) -> Data
     At most ``1 / share`` rows.
     """
     most = int(1 / share)
-    column = f"`{key}`"
-    found = df.agg(
-        F.expr(f"approx_top_k({column}, {most}, {16 * most})").alias("top"),
-        F.count(F.lit(1)).alias("rows"),
+    tracked = 16 * most
+    # Tasks leave one sketch each. They are merged in groups first, so that no task receives the
+    # sketches of all others.
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("part")
+    sketches = df.select(F.col(key).alias("k"), group).groupBy("part").agg(
+        F.expr(f"approx_top_k_accumulate(k, {tracked})").alias("sketch"), F.count(F.lit(1)).alias("n")
+    )
+    found = sketches.agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {most})").alias("top"),
+        F.sum("n").alias("rows"),
     )
     item = found.select("rows", F.explode("top").alias("top"))
     return item.filter(F.col("top.count") > F.col("rows") * share).select(F.col("top.item").alias(key))
