@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-_own_folders: list[tempfile.TemporaryDirectory] = []
+_paths: list[str] = []
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -> SparkSession:
@@ -17,7 +15,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -
         SparkSession.builder.master(f"local[{cores}]")
         .appName("riskloom")
         .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -31,25 +29,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf) -
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The folder the session's ``spark.checkpoint.dir`` names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir``, or a folder in the warehouse.
 
-    Only a local session without that setting gets a temporary folder of its own, removed when
-    Python ends. A cluster session without it has none.
+    The warehouse is shared on a cluster too, so there is one way for every kind of session.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.sparkContext.master.startswith("local"):
-        if not _own_folders:
-            _own_folders.append(tempfile.TemporaryDirectory(prefix="riskloom-"))
-        folder = _own_folders[0].name
-    return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    return spark.conf.get("spark.checkpoint.dir", f"{warehouse}/_intermediate")
 
 
 def use_checkpoint_dir(spark: SparkSession) -> None:
-    """Let iterative fits cut their lineage in the shared folder, where there is one."""
-    folder = shared_folder(spark)
-    if folder and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    """Let iterative fits cut their lineage in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
@@ -57,12 +49,19 @@ def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
 
     For frames that several passes read: later passes read the columns they need instead of
     computing everything again, and a lost executor costs no recomputation. ``partition_by`` is
-    a column of few values by which later passes filter; they then skip the other files. Without
-    a shared folder the frame is persisted, which Spark can rebuild from its lineage.
+    a column of few values by which later passes filter; they then skip the other files.
+    ``release_stored`` deletes the files once no frame built on them is needed.
     """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    path = f"{folder}/stored-{uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid4().hex}"
     (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
+    _paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def release_stored(spark: SparkSession) -> int:
+    """Delete every stored frame of this driver; the number of folders deleted."""
+    released = 0
+    while _paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_paths.pop())
+        released += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return released
