@@ -1,0 +1,6 @@
+"""Helpers of the operator tests; the session fixture is the one of the folder above."""
+
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
