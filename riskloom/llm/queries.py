@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from riskloom.llm.codes import read_coded, write_coded
 from riskloom.llm.common import table
+from riskloom.llm.packing import pack
 from riskloom.llm.winnowing import compared_with_next
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +23,24 @@ def registered(query: Query) -> Query:
     return query
 
 
+@registered
+def op5_token_codes(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    files = write_coded(table(spark, folder, "documents"), vocabulary, end_id=2)
+    return read_coded(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@registered
+def op6_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(table(spark, folder, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1)
+    digest = F.crc32("ids").alias("ids_crc32")
+    return pieces.select("doc_id", "start", "length", digest, "doc_tokens", "sequence_id", "offset")
+
+
 @registered
 def op9_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return compared_with_next(table(spark, folder, "documents"))
