@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.codes import read_coded, write_coded
 from riskloom.llm.common import table
 from riskloom.llm.packing import pack
+from riskloom.llm.simhash import near_duplicates
 from riskloom.llm.winnowing import compared_with_next
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +45,10 @@ def packed(docs: DataFrame) -> DataFrame:
 @registered
 def op9_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return compared_with_next(table(spark, folder, "documents"))
+
+
+@registered
+def op10_simhash_pivots(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(table(spark, folder, "documents"))
+    hex_digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", hex_digits, "component_id")
