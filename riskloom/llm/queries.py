@@ -12,6 +12,7 @@ from riskloom.llm.codes import read_coded, write_coded
 from riskloom.llm.common import table
 from riskloom.llm.packing import pack
 from riskloom.llm.simhash import near_duplicates
+from riskloom.llm.substrings import without_repeats
 from riskloom.llm.winnowing import compared_with_next
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +43,13 @@ def packed(docs: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", digest, "doc_tokens", "sequence_id", "offset")
 
 
+@registered
+def op7_block_anchors(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return without_repeats(docs).select("doc_id", "n_words", "n_removed", digest)
+
+
 @registered
 def op9_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return compared_with_next(table(spark, folder, "documents"))
