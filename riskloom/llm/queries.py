@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.llm.bpe import decoded, encoded
 from riskloom.llm.codes import read_coded, write_coded
 from riskloom.llm.common import table
 from riskloom.llm.packing import pack
@@ -25,6 +26,20 @@ def registered(query: Query) -> Query:
     return query
 
 
+@registered
+def op3_bpe_tree(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    ids = encoded(table(spark, folder, "documents").select("doc_id", "text"), vocabulary, pattern)
+    back = decoded(ids, vocabulary, pattern)
+    listed = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @registered
 def op5_token_codes(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
