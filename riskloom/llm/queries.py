@@ -14,6 +14,7 @@ from riskloom.llm.common import table
 from riskloom.llm.packing import pack
 from riskloom.llm.simhash import near_duplicates
 from riskloom.llm.substrings import without_repeats
+from riskloom.llm.topk import top_k
 from riskloom.llm.winnowing import compared_with_next
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,29 @@ def registered(query: Query) -> Query:
     return query
 
 
+@registered
+def op2_histogram_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+SQL["op2_histogram_topk"] = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id
+        WHERE q.vec_id % 100 = 0
+    ), r AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+    )
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 @registered
 def op3_bpe_tree(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
