@@ -15,6 +15,7 @@ from riskloom.llm.packing import pack
 from riskloom.llm.simhash import near_duplicates
 from riskloom.llm.substrings import without_repeats
 from riskloom.llm.topk import top_k
+from riskloom.llm.warc import read_archives, write_archives
 from riskloom.llm.winnowing import compared_with_next
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +65,27 @@ def op3_bpe_tree(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@registered
+def op4_warc_packages(spark: SparkSession, folder: str) -> DataFrame:
+    back = read_archives(write_archives(table(spark, folder, "pages")))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op4_warc_packages"] = """
+    WITH p AS (
+        SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages
+    ), d AS (
+        SELECT *, sha256(html) AS digest,
+               CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY html) ELSE page_id END AS first
+        FROM p
+    )
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+           CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN first <> page_id THEN first END AS refers_to
+    FROM d
+"""
+
+
 @registered
 def op5_token_codes(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
