@@ -15,6 +15,7 @@ from riskloom.llm.packing import pack
 from riskloom.llm.simhash import near_duplicates
 from riskloom.llm.substrings import without_repeats
 from riskloom.llm.topk import top_k
+from riskloom.llm.toxicity import held_out, scored
 from riskloom.llm.warc import read_archives, write_archives
 from riskloom.llm.winnowing import compared_with_next
 
@@ -28,6 +29,18 @@ def registered(query: Query) -> Query:
     return query
 
 
+@registered
+def op1_toxicity_channel(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = scored(docs, table(spark, folder, "labels"))
+    return found.select(
+        "doc_id",
+        F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @registered
 def op2_histogram_topk(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
