@@ -12,6 +12,7 @@ from riskloom.llm.bpe import decoded, encoded
 from riskloom.llm.codes import read_coded, write_coded
 from riskloom.llm.common import table
 from riskloom.llm.packing import pack
+from riskloom.llm.pii import BASE_KINDS, fitted, with_spans
 from riskloom.llm.simhash import near_duplicates
 from riskloom.llm.substrings import without_repeats
 from riskloom.llm.topk import top_k
@@ -124,6 +125,14 @@ def op7_block_anchors(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(docs).select("doc_id", "n_words", "n_removed", digest)
 
 
+@registered
+def op8_pii_boosting(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = with_spans(docs, fitted(docs))
+    counts = [F.regexp_count("base", F.lit(f"{k}:")).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 @registered
 def op9_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     return compared_with_next(table(spark, folder, "documents"))
