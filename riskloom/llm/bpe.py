@@ -29,6 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import with_fields
 from riskloom.llm.tokens import TextEncoder, id_kind, ranks
 
 LEAF = 1024
@@ -213,7 +214,6 @@ def encoder(path: str, pattern: str) -> Encoder:
 def encoded(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """Replace the text by its ``ids``; all other columns stay."""
     others = [c for c in df.columns if c not in (text, "ids")]
-    fields = df.select(*others).schema.simpleString()[7:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, pattern).encode
@@ -224,14 +224,13 @@ def encoded(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataF
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], ids], names=[*others, "ids"])
 
-    schema = ", ".join(filter(None, [fields, "ids array<int>"]))
+    schema = with_fields(df.select(*others), "ids array<int>")
     return df.select(F.col(text).cast("string"), *others).mapInArrow(run, schema)
 
 
 def decoded(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
     """Add ``decoded``, the bytes of the ids; null for null ids."""
     others = [c for c in df.columns if c not in (ids, "decoded")]
-    fields = df.select(*others, ids).schema.simpleString()[7:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = encoder(path, pattern).decode
@@ -240,4 +239,4 @@ def decoded(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFra
             data = pa.array(found, pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, data], names=[*others, ids, "decoded"])
 
-    return df.select(*others, ids).mapInArrow(run, f"{fields}, decoded binary")
+    return df.select(*others, ids).mapInArrow(run, with_fields(df.select(*others, ids), "decoded binary"))

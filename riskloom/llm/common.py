@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 MOST_BUCKETS = 4096
 SUMMARY_GROUPS = 64
@@ -16,15 +16,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def per_batch(make: Callable[[dict[str, list]], dict[str, list]], schema: pa.Schema) -> Callable:
-    """A ``mapInArrow`` function from one that takes and gives columns as Python lists."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_pydict(make(batch.to_pydict()), schema=schema)
-
-    return run
+def with_fields(df: DataFrame, more: str) -> StructType:
+    """The frame's fields, whatever their names, and more of them."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
 
 
 def task_count(df: DataFrame) -> int:

@@ -30,6 +30,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import with_fields
 from riskloom.llm.files import fresh_folder
 from riskloom.session import stored, use_checkpoint_dir
 
@@ -351,7 +352,6 @@ def redact(text: str, spans: list[Span]) -> str:
 def with_spans(df: DataFrame, trees: Trees | None) -> DataFrame:
     """Every row with ``base`` and ``spans`` (listed) and ``redacted``; columns of these names are replaced."""
     others = [c for c in df.columns if c not in ("text", "base", "spans", "redacted")]
-    fields = df.select(*others, F.col("text").cast("string")).schema.simpleString()[7:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -365,5 +365,5 @@ def with_spans(df: DataFrame, trees: Trees | None) -> DataFrame:
             arrays = [pa.array(c, pa.string()) for c in (base_out, all_out, redacted)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*others, "text", "base", "spans", "redacted"])
 
-    schema = f"{fields}, base string, spans string, redacted string"
-    return df.select(*others, F.col("text").cast("string")).mapInArrow(run, schema)
+    rows = df.select(*others, F.col("text").cast("string"))
+    return rows.mapInArrow(run, with_fields(rows, "base string, spans string, redacted string"))

@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import with_fields
 from riskloom.llm.components import components
 from riskloom.session import stored
 
@@ -66,7 +67,6 @@ def simhash(text: str, size: int = SHINGLE) -> int:
 def fingerprints(df: DataFrame, text: str = "text", size: int = SHINGLE) -> DataFrame:
     """Replace the text by its ``fingerprint``, a signed 64-bit number; all other columns stay."""
     others = [c for c in df.columns if c not in (text, "fingerprint")]
-    fields = df.select(*others).schema.simpleString()[7:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,7 +74,7 @@ def fingerprints(df: DataFrame, text: str = "text", size: int = SHINGLE) -> Data
             found = pa.array(found.view(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], found], names=[*others, "fingerprint"])
 
-    schema = ", ".join(filter(None, [fields, "fingerprint bigint"]))
+    schema = with_fields(df.select(*others), "fingerprint bigint")
     return df.select(F.col(text).cast("string"), *others).mapInArrow(run, schema)
 
 

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import task_count
+from riskloom.llm.common import task_count, with_fields
 
 WINDOW = 50
 BLOCK = 25
@@ -236,9 +236,7 @@ def without_repeats(df: DataFrame) -> DataFrame:
     candidates = dealt.groupBy("_chunk").cogroup(hits.groupBy("chunk")).applyInArrow(windows, sent)
     smaller = _answered(candidates, owners, window, _have_smaller)
     replies = hits.withColumn("kind", F.lit(0)).union(smaller.withColumn("kind", F.lit(1)))
-    kept_fields = "n_words bigint, n_removed bigint, kept string"
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    fields = ", ".join(["_doc_id bigint", "_text string", *[f"`{c}` {types[c]}" for c in others], kept_fields])
+    fields = with_fields(rows.drop("_chunk"), "n_words bigint, n_removed bigint, kept string")
 
     def removed(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
         chunk = chunk_of(table)

@@ -33,6 +33,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import with_fields
 from riskloom.session import stored, use_checkpoint_dir
 
 TRAIN_ROWS = 20_000
@@ -177,7 +178,6 @@ class Restorer:
 def restored(df: DataFrame, model: np.ndarray, text: str = "text") -> DataFrame:
     """Add ``restored``: the restored words of each text, joined by blanks. Other columns stay."""
     others = [c for c in df.columns if c not in (text, "restored")]
-    fields = df.select(F.col(text).cast("string"), *others).schema.simpleString()[7:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
@@ -187,7 +187,8 @@ def restored(df: DataFrame, model: np.ndarray, text: str = "text") -> DataFrame:
                 [*batch.columns, pa.array(found, pa.string())], names=[text, *others, "restored"]
             )
 
-    return df.select(F.col(text).cast("string"), *others).mapInArrow(run, f"{fields}, restored string")
+    rows = df.select(F.col(text).cast("string"), *others)
+    return rows.mapInArrow(run, with_fields(rows, "restored string"))
 
 
 # Evidence and score
@@ -281,25 +282,27 @@ def evidence(sample: DataFrame, model: np.ndarray) -> dict[str, float]:
 
 
 def features_of(df: DataFrame, model: np.ndarray, weights: dict[str, float], *keep: str) -> DataFrame:
-    """``features`` of each text, beside the columns to keep."""
-    fields = df.select(*keep).schema.simpleString()[7:-1]
+    """``features`` of each text, beside the columns to keep, which the text may be among."""
+    rows = df.select(*keep) if "text" in keep else df.select(*keep, "text")
+    place = rows.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model, weights)
         for batch in batches:
-            found = [scorer.features(t or "") for t in batch.column(0).to_pylist()]
+            found = [scorer.features(t or "") for t in batch.column(place).to_pylist()]
             values = pa.array(found, pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], values], names=[*keep, "features"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], values], names=[*keep, "features"])
 
-    return df.select(F.col("text").cast("string"), *keep).mapInArrow(run, f"{fields}, features array<double>")
+    return rows.mapInArrow(run, with_fields(df.select(*keep), "features array<double>"))
 
 
-def scored(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """All columns of ``docs`` but the text, with ``score`` (0 to 1, in place of a column of that name)."""
+def scored(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, keep_text: bool = False) -> DataFrame:
+    """All columns of ``docs``, the text only if it is to be kept, with ``score`` (0 to 1, in place of a column of
+    that name)."""
     model = character_model(docs)
     sample = labelled_sample(docs, labels, model, rows)
     weights = evidence(sample, model)
-    keep = [c for c in docs.columns if c not in ("text", "score", "features")]
+    keep = [c for c in docs.columns if c not in ("score", "features") and (keep_text or c != "text")]
     if not weights:
         return docs.select(*keep, F.lit(0.0).alias("score"))
     use_checkpoint_dir(docs.sparkSession)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import bucket_of, cut_points, task_count
+from riskloom.llm.common import bucket_of, cut_points, task_count, with_fields
 
 GRAM = 16
 WINDOW = 85
@@ -98,8 +98,7 @@ def as_hex(hashes: np.ndarray) -> str:
 def fingerprints(df: DataFrame, text: str = "text", gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """Replace the text by ``hashes`` and ``positions`` arrays; every other column stays."""
     others = [c for c in df.columns if c not in (text, "hashes", "positions")]
-    schema = df.select(*others).schema.simpleString()[7:-1]
-    result = ", ".join(filter(None, [schema, "hashes array<bigint>", "positions array<bigint>"]))
+    result = with_fields(df.select(*others), "hashes array<bigint>, positions array<bigint>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
