@@ -9,39 +9,79 @@ the parts, one after another, are those of the text. Words repeat, so their ids
 from __future__ import annotations
 
 import base64
+import json
+from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 
+Encode = Callable[[str], list[int]]
 #: Words kept by a worker; the memory starts anew beyond it, which changes no result.
 MOST_WORDS = 1_000_000
+#: Letters up to here are letters in every version of Unicode that the libraries may follow.
+LAST_LATIN = "\u024f"
+#: Marks that end a letter's run: no alternative of the pattern goes from a letter into one of these.
+MARKS = frozenset(".,;:!?)]}\"")
+
+
+def byte_chars() -> dict[int, int]:
+    """The character that stands for each byte in byte-level vocabularies: printable ones for themselves,
+    the others in order from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+
+
+BYTE_CHARS = byte_chars()
 
 
 class WordMemory(dict):
     """Ids of ``lead + word`` as bytes; None for a word after which a text must not be cut."""
 
-    def __init__(self, encode: Callable[[str], list[int]], lead: str, kind: str):
+    def __init__(self, encode: Encode, lead: str, code: str, letters: Encode | None, start: WordMemory | None = None):
         super().__init__()
-        self.encode, self.lead, self.kind = encode, lead, kind
+        self.encode, self.lead, self.code, self.letters = encode, lead, code, letters or encode
+        self.start = self if start is None else start
+        self.marks: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes | None:
         if len(self) >= MOST_WORDS:
             self.clear()
-        if (not word and self.lead) or word[-1:].isspace():
+        if word.isalpha() and max(word) <= LAST_LATIN:
+            ids = array(self.code, self.letters(self.lead + word)).tobytes()
+        elif (not word and self.lead) or word[-1:].isspace():
             ids = None
+        elif word[-1:] in MARKS and word[-2:-1].isalpha() and word[-2] <= LAST_LATIN:
+            # Most words are known without the mark behind them.
+            ids = self[word[:-1]] + self._mark(word[-1])
         else:
-            ids = np.array(self.encode(self.lead + word), dtype=self.kind).tobytes()
+            line = word.rfind("\n")
+            if line > 0 and not word[line - 1].isspace() and "a" <= word[line + 1 : line + 2].lower() <= "z":
+                # A single line end before a letter is a piece of its own.
+                ids = self[word[:line]] + self._mark("\n") + self.start[word[line + 1 :]]
+            else:
+                ids = array(self.code, self.encode(self.lead + word)).tobytes()
         self[word] = ids
         return ids
 
+    def _mark(self, mark: str) -> bytes:
+        if mark not in self.marks:
+            self.marks[mark] = array(self.code, self.encode(mark)).tobytes()
+        return self.marks[mark]
+
 
 class TextEncoder:
-    """Ids of texts by an encoding function, as little-endian bytes of ``kind``."""
+    """Ids of texts by an encoding function, as little-endian bytes of ``kind``.
 
-    def __init__(self, encode: Callable[[str], list[int]], kind: str = "<u2"):
+    ``letters`` may be a quicker function for a word of Latin letters, with or without a blank before it.
+    """
+
+    def __init__(self, encode: Encode, kind: str = "<u2", letters: Encode | None = None):
         self.encode, self.kind = encode, np.dtype(kind)
-        self.first, self.later = WordMemory(encode, "", kind), WordMemory(encode, " ", kind)
+        code = self.kind.char
+        self.first = WordMemory(encode, "", code, letters)
+        self.later = WordMemory(encode, " ", code, letters, self.first)
 
     def __call__(self, text: str) -> bytes:
         words = text.split(" ")
@@ -78,7 +118,22 @@ def json_encoder(path: str) -> TextEncoder:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     kind = id_kind(max(tokenizer.get_vocab().values()))
-    return TextEncoder(lambda text: tokenizer.encode(text, add_special_tokens=False).ids, kind)
+
+    def encode(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    settings = json.loads(tokenizer.to_str())
+    before = settings["pre_tokenizer"] or {}
+    usual = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+    if not usual or settings["normalizer"]:
+        return TextEncoder(encode, kind)
+    model = tokenizer.model
+
+    def letters(word: str) -> list[int]:
+        # Such a word is one piece, so only the merges are left to do.
+        return [t.id for t in model.tokenize(word.encode().decode("latin-1").translate(BYTE_CHARS))]
+
+    return TextEncoder(encode, kind, letters)
 
 
 @lru_cache(maxsize=4)
