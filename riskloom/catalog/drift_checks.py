@@ -12,6 +12,7 @@ from riskloom.catalog.sql import (
     confusion_columns,
     drift_of,
 )
+from riskloom.config import DRIFT_SAMPLE_ROWS
 from riskloom.operators import drift, scoring
 from riskloom.operators.sampling import ordered_sample
 from riskloom.session import stored
@@ -34,14 +35,14 @@ def _predict(df):
 def _simulated(spark, folder):
     train = stored_features(spark, folder).filter(F.col("dataset") == "train")
     now = F.expr("TIMESTAMP_NTZ '2024-03-02 12:00:00'")
-    sample = ordered_sample(train, 2000)
+    sample = ordered_sample(train, DRIFT_SAMPLE_ROWS)
     return stored(scoring.simulated_payload(sample, _predict, now, "1", keep=("event_id",)))
 
 
 SIMULATED = (
     FRAME
     + f""",
-picked AS (SELECT * FROM frame WHERE dataset = 'train' ORDER BY {SAMPLE_DRAW} LIMIT 2000),
+picked AS (SELECT * FROM frame WHERE dataset = 'train' ORDER BY {SAMPLE_DRAW} LIMIT {DRIFT_SAMPLE_ROWS}),
 sim AS (SELECT * EXCLUDE (ts), '2024-03-01' AS day, TIMESTAMP '2024-03-01 12:00:00' AS request_ts FROM picked
         UNION ALL
         SELECT * EXCLUDE (ts) REPLACE (log_amount * 3 AS log_amount), '2024-03-02', TIMESTAMP '2024-03-02 12:00:00' FROM picked)"""

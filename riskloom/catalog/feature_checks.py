@@ -4,7 +4,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskloom.catalog import check
-from riskloom.catalog.frames import features, txn
+from riskloom.catalog.frames import features, stored_features, txn
 from riskloom.catalog.sql import FEATURE_COLUMNS, FRAME, SPLIT, TXN
 from riskloom.config import ENCODED_TYPES, FEATURE_TABLE, FEATURES
 from riskloom.functions.columns import one_hot
@@ -90,13 +90,34 @@ def stable_row_id(spark, folder):
     return ops.row_ids(txn(spark, folder)).select("event_id", "txn_id")
 
 
-@check()
+@check(
+    f"WITH {TXN}, k AS (SELECT md5(CAST(event_id AS VARCHAR)) AS k FROM txn) "
+    "SELECT count(*) AS row_count, count(DISTINCT k) AS distinct_ids, CAST(0 AS BIGINT) AS least_id, count(*) - 1 AS greatest_id FROM k"
+)
+def string_row_id(spark, folder):
+    """Ids over a string key: as many as rows, from 0 on without gaps."""
+    rows = txn(spark, folder).select(F.md5(F.col("event_id").cast("string")).alias("row_hash"))
+    return ops.row_ids(rows, "row_hash").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("txn_id").alias("distinct_ids"),
+        F.min("txn_id").alias("least_id"),
+        F.max("txn_id").alias("greatest_id"),
+    )
+
+
+@check(f"WITH {TXN} SELECT count(*) AS row_count, count(*) AS distinct_ids, CAST(0 AS BIGINT) AS null_ids FROM txn")
 def quick_row_id(spark, folder):
-    return ops.quick_row_ids(txn(spark, folder)).select("event_id", "txn_id")
+    """Ids that depend on the partitioning: what holds of any."""
+    return ops.quick_row_ids(txn(spark, folder)).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("txn_id").alias("distinct_ids"),
+        F.count_if(F.col("txn_id").isNull()).alias("null_ids"),
+    )
 
 
 def _scaled(spark, folder):
-    frame = features(spark, folder)
+    # Read twice: by the fit and by the transformation.
+    frame = stored_features(spark, folder)
     model = ops.assemble_and_scale().fit(frame.filter(F.col("dataset") == "train"))
     return model.transform(frame)
 
@@ -118,9 +139,11 @@ def standardized_features(spark, folder):
     return values.select("event_id", "dataset", *scaled)
 
 
-@check()
+@check(
+    f"WITH {FRAME} SELECT event_id, dataset, " + ", ".join(f'round(CAST("{c}" AS DOUBLE), 9) + 0.0 AS "{c}"' for c in FEATURES) + " FROM frame"
+)
 def assembled_pipeline(spark, folder):
-    return _scaled(spark, folder).select(
-        "event_id", "dataset", vector_to_array("All_features").alias("All_features"),
-        vector_to_array("scaled_features").alias("scaled_features"),
-    )
+    """The raw vector of the fitted pipeline; its scaled one is checked by ``standardized_features``."""
+    values = _scaled(spark, folder).withColumn("_v", vector_to_array("All_features"))
+    raw = [(F.round(F.col("_v")[i], 9) + F.lit(0.0)).alias(c) for i, c in enumerate(FEATURES)]
+    return values.select("event_id", "dataset", *raw)

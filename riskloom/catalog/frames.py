@@ -13,7 +13,7 @@ from riskloom.config import FEATURES
 from riskloom.functions.columns import long_form
 from riskloom.operators.curve import average_precision, pr_curve, run_metrics
 from riskloom.operators.features import feature_frame
-from riskloom.operators.sampling import search_sample, stratified_folds, stratified_holdout, time_split
+from riskloom.operators.sampling import exact_stratified_holdout, search_sample, stratified_folds, time_split
 from riskloom.operators.selection import champion_history
 from riskloom.session import stored
 from riskloom.sources.events import read_events, transactions
@@ -47,7 +47,7 @@ def stored_features(spark: SparkSession, folder: str, keep: tuple[str, ...] = ()
 def train_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions of the training period, marked 'fit' or 'val'."""
     train = time_split(txn(spark, folder)).filter(F.col("dataset") == "train")
-    return stratified_holdout(train, 0.12)
+    return exact_stratified_holdout(train, 0.12)
 
 
 def fit_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,7 +63,7 @@ def bake_off(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def runs(spark: SparkSession, folder: str) -> DataFrame:
     """A run per stand-in, with the full metric record."""
     frame = stored_features(spark, folder)
-    train = stratified_holdout(frame.filter(F.col("dataset") == "train"), 0.12)
+    train = exact_stratified_holdout(frame.filter(F.col("dataset") == "train"), 0.12)
     fit = train.filter(F.col("split") == "fit")
     sample = bake_off(stratified_folds(search_sample(fit)), keep=("fold",))
     per_fold = average_precision(pr_curve(sample, "score", by=["algorithm", "fold"]), ["algorithm", "fold"])

@@ -1,17 +1,30 @@
-"""Model queries. A fit has no SQL form; the tests check what must hold of it."""
+"""Model queries. A fit has no SQL form, so its query returns what must hold of it; scoring is compared
+row by row, with models of fixed coefficients."""
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import functions as F
 
 from riskloom.catalog import check
 from riskloom.catalog.frames import stored_features
-from riskloom.config import FEATURES, PARAM_GRIDS
+from riskloom.catalog.sql import FRAME, SAMPLE_DRAW, holdout_of
+from riskloom.config import DRIFT_SAMPLE_ROWS, FEATURES, PARAM_GRIDS
 from riskloom.operators import models, scoring
-from riskloom.operators.sampling import ordered_sample, search_sample, stratified_folds, stratified_holdout
+from riskloom.operators.curve import average_precision, pr_curve
+from riskloom.operators.sampling import exact_stratified_holdout, ordered_sample, search_sample, stratified_folds
+from riskloom.session import stored
+
+# A linear model, exact in binary.
+COEFFICIENTS = {"log_amount": 0.5, "hour_of_day": -0.125, "type_TRANSFER": 1.5, "log_orig_txn_count": 0.25}
+INTERCEPT, THRESHOLD = -2.0, 0.5
+MARGIN = " + ".join(f'{w} * "{c}"' for c, w in COEFFICIENTS.items()) + f" + {INTERCEPT}"
+#: Settings that the searches over trees try; each is as many fits as there are folds.
+TREE_SETTINGS = 2
 
 
 def _parts(spark, folder):
     frame = stored_features(spark, folder)
-    train = stratified_holdout(frame.filter(F.col("dataset") == "train"), 0.12)
+    train = exact_stratified_holdout(frame.filter(F.col("dataset") == "train"), 0.12)
     return train.filter(F.col("split") == "fit").drop("split"), frame.filter(F.col("dataset") == "test")
 
 
@@ -19,58 +32,98 @@ def _first_setting(algorithm):
     return {name: values[0] for name, values in PARAM_GRIDS[algorithm].items()}
 
 
-def _fit_and_score(spark, folder, algorithm, **changed):
+def _fit_and_check(spark, folder, algorithm):
+    """Rows scored, and whether all probabilities are ones and rank better than chance."""
     fit, test = _parts(spark, folder)
-    model = models.fit(fit, algorithm, {**_first_setting(algorithm), **changed})
-    return scoring.score(test, model).select("event_id", "isFraud", "probability", "prediction")
+    model = models.fit(fit, algorithm, _first_setting(algorithm))
+    scored = stored(scoring.score(test, model).select("isFraud", "probability"))
+    ranked = average_precision(pr_curve(scored, "probability")).select("average_precision")
+    facts = scored.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.every(F.col("probability").between(0, 1)).alias("in_unit_interval"),
+        F.avg("isFraud").alias("prevalence"),
+    )
+    better = F.lit(ranked.first()[0]) >= F.col("prevalence")
+    return facts.select("row_count", "in_unit_interval", better.alias("better_than_chance"))
+
 
+FITTED = f"""WITH {FRAME} SELECT count(*) AS row_count, true AS in_unit_interval, true AS better_than_chance
+FROM frame WHERE dataset = 'test'"""
 
-@check()
+
+@check(FITTED)
 def fit_logistic(spark, folder):
-    return _fit_and_score(spark, folder, "logistic_regression")
+    return _fit_and_check(spark, folder, "logistic_regression")
 
 
-@check()
+@check(FITTED)
 def fit_forest(spark, folder):
-    return _fit_and_score(spark, folder, "random_forest", n_estimators=20, max_depth=8)
+    return _fit_and_check(spark, folder, "random_forest")
 
 
-@check()
+@check(FITTED)
 def fit_boosting(spark, folder):
-    return _fit_and_score(spark, folder, "hist_gradient_boosting", max_iter=10, max_depth=4)
+    return _fit_and_check(spark, folder, "hist_gradient_boosting")
 
 
-@check()
-def cv_search(spark, folder):
+def _search(spark, folder, algorithm, budget):
+    """Settings tried, and whether the best one ranks better than chance on the held-out folds."""
     fit, _ = _parts(spark, folder)
-    sample = stratified_folds(search_sample(fit))
-    settings = models.draw_settings(PARAM_GRIDS["logistic_regression"], 8)
-    found = models.search(sample, "logistic_regression", settings)
-    rows = [(p["max_iter"], p["C"], str(p["class_weight"]), s) for p, s in found.tried]
-    return spark.createDataFrame(rows, "max_iter int, C double, class_weight string, mean_average_precision double")
+    sample = stored(stratified_folds(search_sample(fit)))
+    found = models.search(sample, algorithm, models.draw_settings(PARAM_GRIDS[algorithm], budget))
+    chance = sample.agg(F.avg("isFraud")).first()[0]
+    different = len({str(sorted(p.items(), key=str)) for p, _ in found.tried})
+    row = (algorithm, different, bool(found.score > chance), found.score == max(s for _, s in found.tried))
+    return spark.createDataFrame([row], "algorithm string, settings_tried int, better_than_chance boolean, best_wins boolean")
 
 
-def _logistic(spark, folder):
-    fit, test = _parts(spark, folder)
-    return models.fit(fit, "logistic_regression", _first_setting("logistic_regression")), fit, test
+def _searched(algorithm, settings):
+    return (
+        f"SELECT '{algorithm}' AS algorithm, CAST({settings} AS INTEGER) AS settings_tried, "
+        "true AS better_than_chance, true AS best_wins"
+    )
+
+
+@check(_searched("logistic_regression", 6))
+def cv_search(spark, folder):
+    return _search(spark, folder, "logistic_regression", 8)
 
 
-@check()
+@check(_searched("random_forest", TREE_SETTINGS))
+def cv_search_forest(spark, folder):
+    return _search(spark, folder, "random_forest", TREE_SETTINGS)
+
+
+@check(_searched("hist_gradient_boosting", TREE_SETTINGS))
+def cv_search_boosting(spark, folder):
+    return _search(spark, folder, "hist_gradient_boosting", TREE_SETTINGS)
+
+
+def _fixed_model():
+    """A pipeline model that decides by the fixed coefficients."""
+    margin = " + ".join(f"{w} * {c}" for c, w in COEFFICIENTS.items()) + f" + ({INTERCEPT})"
+    score = SQLTransformer(statement=f"SELECT *, 1 / (1 + exp(-({margin}))) AS _p, 1 / (1 + exp({margin})) AS _q FROM __THIS__")
+    vector = VectorAssembler(inputCols=["_q", "_p"], outputCol="probability")
+    return PipelineModel([score, vector, models.AtThreshold(threshold=THRESHOLD)])
+
+
+@check(
+    f"""WITH {FRAME} SELECT event_id, "isFraud", CAST(1 / (1 + exp(-({MARGIN}))) >= {THRESHOLD} AS INTEGER) AS prediction
+FROM frame WHERE dataset = 'test'"""
+)
 def batch_score(spark, folder):
-    model, _, test = _logistic(spark, folder)
-    return models.with_threshold(model, 0.1).transform(test).select("event_id", "isFraud", "prediction")
+    _, test = _parts(spark, folder)
+    return _fixed_model().transform(test).select("event_id", "isFraud", "prediction")
 
 
-@check()
+@check(f"""WITH {FRAME} SELECT event_id, "isFraud", CAST({MARGIN} >= 0 AS INTEGER) AS prediction FROM frame WHERE dataset = 'test'""")
 def udf_score(spark, folder):
-    model, _, test = _logistic(spark, folder)
-    scaler, regression = model.stages[1].stages
-    weights = [float(c) / s if s else 0.0 for c, s in zip(regression.coefficients, scaler.std, strict=True)]
-    bias = regression.intercept - sum(w * m for w, m in zip(weights, scaler.mean, strict=True))
+    _, test = _parts(spark, folder)
+    names, intercept = dict(COEFFICIENTS), INTERCEPT
 
     def load():
         def predict(frame):
-            margin = frame.to_numpy(dtype="float64") @ weights + bias
+            margin = sum(w * frame[c].to_numpy("float64") for c, w in names.items()) + intercept
             return (margin >= 0).astype("int32")
 
         return predict
@@ -78,11 +131,18 @@ def udf_score(spark, folder):
     return test.select("event_id", "isFraud", scoring.scoring_udf(load, FEATURES).alias("prediction"))
 
 
-@check()
+@check(
+    f"""WITH {FRAME}, frame_train AS (SELECT * FROM frame WHERE dataset = 'train'), {holdout_of("frame_train", "ftrain")},
+picked AS (SELECT * FROM ftrain WHERE split = 'fit' ORDER BY {SAMPLE_DRAW} LIMIT {DRIFT_SAMPLE_ROWS})
+SELECT event_id, {", ".join(f'round("{c}", 9) AS "{c}"' if c.startswith("log") else f'"{c}"' for c in FEATURES)}, "isFraud",
+CAST(1 / (1 + exp(-({MARGIN}))) >= {THRESHOLD} AS INTEGER) AS prediction, '2024-03-01 12:00:00' AS request_ts, '1' AS model_version
+FROM picked"""
+)
 def baseline_window(spark, folder):
-    model, fit, _ = _logistic(spark, folder)
-    decide = models.with_threshold(model, 0.1)
+    fit, _ = _parts(spark, folder)
     now = F.expr("TIMESTAMP_NTZ '2024-03-02 12:00:00'")
-    return scoring.simulated_payload(
-        ordered_sample(fit, 2000), decide.transform, now, "1", keep=("event_id",)
-    ).filter(F.col("request_ts") < now)
+    sample = stored(ordered_sample(fit, DRIFT_SAMPLE_ROWS))
+    log = scoring.simulated_payload(sample, _fixed_model().transform, now, "1", keep=("event_id",))
+    rounded = {c: F.round(c, 9) for c in FEATURES if c.startswith("log")}
+    rows = log.filter(F.col("request_ts") < now).withColumns(rounded)
+    return rows.withColumn("request_ts", F.date_format("request_ts", "yyyy-MM-dd HH:mm:ss"))

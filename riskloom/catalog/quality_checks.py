@@ -8,7 +8,10 @@ from riskloom.catalog.sql import FRAME, TXN
 from riskloom.operators import ingest, quality
 
 W = f"WITH {TXN} "
-ROW_HASH_COLUMNS = ["step", "type", "nameOrig", "nameDest", "isFraud"]
+#: All source columns. The amount enters as a decimal, which both engines print alike.
+ROW_HASH_COLUMNS = ["step", "type", "amount_text", "nameOrig", "nameDest", "isFraud"]
+AMOUNT_TEXT = "CAST(CAST(amount AS DECIMAL(18, 4)) AS VARCHAR)"
+HASH_SQL = f"""sha256(concat_ws('||', step, "type", {AMOUNT_TEXT}, "nameOrig", "nameDest", "isFraud"))"""
 DUPLICATE_COLUMNS = ["type", "nameOrig", "nameDest", "isFraud"]
 
 
@@ -42,17 +45,14 @@ def null_counts(spark, folder):
     "SELECT "
     + ", ".join(
         f"count(*) FILTER (nullif({c}, {v}) IS NULL) AS {c}"
-        for c, v in [("c_nationkey", "0"), ("c_acctbal", "0.0"), ("c_mktsegment", "'BUILDING'")]
+        for c, v in [("c_custkey", "1"), ("c_name", "''"), ("c_nationkey", "0"), ("c_acctbal", "0.0"), ("c_mktsegment", "'BUILDING'")]
     )
     + " FROM customer"
 )
 def null_counts_with_nulls(spark, folder):
-    customer = table(spark, folder, "customer").select(
-        F.nullif("c_nationkey", F.lit(0)).alias("c_nationkey"),
-        F.nullif("c_acctbal", F.lit(0.0)).alias("c_acctbal"),
-        F.nullif("c_mktsegment", F.lit("BUILDING")).alias("c_mktsegment"),
-    )
-    return quality.null_counts(customer)
+    nulls = {"c_custkey": 1, "c_name": "", "c_nationkey": 0, "c_acctbal": 0.0, "c_mktsegment": "BUILDING"}
+    customer = table(spark, folder, "customer")
+    return quality.null_counts(customer.select(*[F.nullif(c, F.lit(v)).alias(c) for c, v in nulls.items()]))
 
 
 @check(
@@ -133,14 +133,17 @@ def quality_profile(spark, folder):
 
 @check(
     W
-    + """SELECT event_id, sha256(concat_ws('||', step, "type", "nameOrig", "nameDest", "isFraud")) AS row_hash,
-'batch-1' AS batch_id FROM txn"""
+    + f"""SELECT event_id, {HASH_SQL} AS row_hash, 'batch-1' AS batch_id FROM txn"""
 )
 def row_hash(spark, folder):
-    rows = ingest.stamp(txn(spark, folder), "batch-1", columns=ROW_HASH_COLUMNS)
+    rows = ingest.stamp(_with_text(txn(spark, folder)), "batch-1", columns=ROW_HASH_COLUMNS)
     return rows.select("event_id", "row_hash", "batch_id")
 
 
+def _with_text(rows):
+    return rows.withColumn("amount_text", F.col("amount").cast("decimal(18,4)").cast("string"))
+
+
 @check(
     W
     + """SELECT event_id, sha256(concat_ws('||',
@@ -152,27 +155,25 @@ def row_hash_null_safe(spark, folder):
     return ingest.stamp(rows, "batch-1", columns=["event_id", "type", "nameDest"], safe=True).select("event_id", "row_hash")
 
 
+MERGE_COLUMNS = ["step", "type", "amount", "nameOrig", "nameDest", "isFraud", "row_hash", "batch_id"]
 MERGE_SQL = (
     W
-    + """, hashed AS (SELECT sha256(concat_ws('||', step, "type", "nameOrig", "nameDest", "isFraud")) AS row_hash, step, event_id
-            FROM txn),
-target AS (SELECT row_hash, 'batch-1' AS batch_id FROM hashed WHERE step <= 480),
-source AS (SELECT row_hash, event_id, 'batch-2' AS batch_id FROM hashed WHERE step > 240),
-merged AS (SELECT * FROM target UNION ALL
-           SELECT row_hash, batch_id FROM source WHERE row_hash NOT IN (SELECT row_hash FROM target))
+    + f""", hashed AS (SELECT step, "type", amount, "nameOrig", "nameDest", "isFraud", {HASH_SQL} AS row_hash FROM txn),
+target AS (SELECT *, 'batch-1' AS batch_id FROM hashed WHERE step <= 480),
+source AS (SELECT *, 'batch-2' AS batch_id FROM hashed WHERE step > 240),
+merged AS (SELECT * FROM target UNION ALL SELECT * FROM source WHERE row_hash NOT IN (SELECT row_hash FROM target))
 """
 )
 
 
 def _batches(spark, folder):
-    rows = txn(spark, folder)
+    rows = _with_text(txn(spark, folder))
     early = ingest.stamp(rows.filter("step <= 480"), "batch-1", columns=ROW_HASH_COLUMNS)
     late = ingest.stamp(rows.filter("step > 240"), "batch-2", columns=ROW_HASH_COLUMNS)
-    columns = ["row_hash", "batch_id"]
-    return early.select(*columns), late.select(*columns)
+    return early.select(*MERGE_COLUMNS), late.select(*MERGE_COLUMNS)
 
 
-@check(MERGE_SQL + "SELECT row_hash, batch_id FROM merged")
+@check(MERGE_SQL + "SELECT * FROM merged")
 def insert_only_merge(spark, folder):
     return ingest.insert_only_merge(*_batches(spark, folder))
 
@@ -180,7 +181,7 @@ def insert_only_merge(spark, folder):
 @check(
     MERGE_SQL
     + """SELECT batch_id, count(*) AS row_count, count(DISTINCT row_hash) AS distinct_count FROM (
-SELECT * FROM target UNION ALL SELECT DISTINCT row_hash, batch_id FROM source
+SELECT row_hash, batch_id FROM target UNION ALL SELECT DISTINCT row_hash, batch_id FROM source
 WHERE row_hash NOT IN (SELECT row_hash FROM target)) GROUP BY 1"""
 )
 def insert_only_merge_deduped(spark, folder):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from riskloom.catalog import check
 from riskloom.catalog.frames import fit_rows, train_rows, txn
 from riskloom.catalog.sql import FIT, FOLD, SAMPLE_DRAW, SPLIT, TXN, search_of
+from riskloom.config import DRIFT_SAMPLE_ROWS
 from riskloom.operators import models, sampling
 
 TRAIN = f"WITH {SPLIT}, train AS (SELECT * FROM parts WHERE dataset = 'train')"
@@ -15,9 +16,13 @@ def time_split_counts(spark, folder):
     return sampling.count_by_label(sampling.time_split(txn(spark, folder))).orderBy("dataset", "isFraud")
 
 
-@check(f"WITH {FIT} SELECT event_id, \"isFraud\", split FROM train")
-def stratified_holdout(spark, folder):
-    return train_rows(spark, folder).select("event_id", "isFraud", "split")
+BERNOULLI = "substr(md5('holdout:42:' || CAST(event_id AS VARCHAR)), 1, 8) < '1eb851eb'"
+
+
+@check(TRAIN + f" SELECT event_id, \"isFraud\", CASE WHEN {BERNOULLI} THEN 'val' ELSE 'fit' END AS split FROM train")
+def bernoulli_holdout(spark, folder):
+    train = sampling.time_split(txn(spark, folder)).filter(F.col("dataset") == "train")
+    return sampling.bernoulli_holdout(train, 0.12).select("event_id", "isFraud", "split")
 
 
 @check(
@@ -26,26 +31,16 @@ round(avg("isFraud"), 9) AS fraud_share FROM train GROUP BY 1
 UNION ALL SELECT 'test', count(*), CAST(sum("isFraud") AS BIGINT), round(avg("isFraud"), 9) FROM parts WHERE dataset = 'test'"""
 )
 def split_totals(spark, folder):
-    rows = sampling.stratified_holdout(sampling.time_split(txn(spark, folder)), 0.12)
-    part = F.when(F.col("dataset") == "test", "test").otherwise(F.col("split"))
-    totals = sampling.split_summary(rows.withColumn("split", part), "split")
+    rows = train_rows(spark, folder)
+    test = sampling.time_split(txn(spark, folder)).filter(F.col("dataset") == "test").withColumn("split", F.lit("test"))
+    rows = rows.unionByName(test)
+    totals = sampling.split_summary(rows, "split")
     return totals.withColumn("fraud_share", F.round("fraud_share", 9))
 
 
-@check(
-    TRAIN
-    + """, sizes AS (SELECT "isFraud" AS c, count(*) AS size, CAST(sum(count(*)) OVER () AS BIGINT) AS n FROM train GROUP BY 1),
-fits AS (SELECT *, n - CAST(ceil(n * CAST(0.12 AS DOUBLE)) AS BIGINT) AS fit_n FROM sizes),
-base AS (SELECT *, (fit_n * size) // n AS base, (fit_n * size) % n AS rest FROM fits),
-quotas AS (SELECT c, size - base - CASE WHEN row_number() OVER (ORDER BY rest DESC, c) <= fit_n - sum(base) OVER ()
-                                   THEN 1 ELSE 0 END AS want FROM base),
-ranked AS (SELECT event_id, "isFraud", row_number() OVER (PARTITION BY "isFraud"
-           ORDER BY md5('holdout:42:' || CAST(event_id AS VARCHAR))) AS rn FROM train)
-SELECT event_id, "isFraud", CASE WHEN rn <= want THEN 'val' ELSE 'fit' END AS split FROM ranked JOIN quotas ON c = "isFraud\""""
-)
+@check(f'WITH {FIT} SELECT event_id, "isFraud", split FROM train')
 def stratified_holdout_exact(spark, folder):
-    train = sampling.time_split(txn(spark, folder)).filter(F.col("dataset") == "train")
-    return sampling.exact_stratified_holdout(train, 0.12).select("event_id", "isFraud", "split")
+    return train_rows(spark, folder).select("event_id", "isFraud", "split")
 
 
 @check(f"WITH {FIT}, {search_of('fit')} SELECT event_id, \"isFraud\" FROM sample")
@@ -68,9 +63,23 @@ def stratified_folds(spark, folder):
     return sampling.stratified_folds(sample).select("event_id", "isFraud", "fold")
 
 
-@check(f"WITH {TXN} SELECT event_id, amount FROM txn ORDER BY {SAMPLE_DRAW} LIMIT 2000")
+@check(
+    f"""WITH {FIT}, {search_of('fit')}, folded AS (SELECT "isFraud", {FOLD} AS fold FROM sample)
+SELECT 'fold ' || fold AS part, "isFraud", count(*) AS row_count FROM folded GROUP BY ALL
+UNION ALL SELECT split, "isFraud", count(*) FROM train GROUP BY ALL"""
+)
+def class_shares(spark, folder):
+    """Rows per class in every fold and split: what stratification is for."""
+    train = train_rows(spark, folder)
+    folds = sampling.stratified_folds(sampling.search_sample(train.filter(F.col("split") == "fit")))
+    parts = folds.select(F.concat(F.lit("fold "), "fold").alias("part"), "isFraud")
+    parts = parts.unionByName(train.select(F.col("split").alias("part"), "isFraud"))
+    return parts.groupBy("part", "isFraud").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@check(f"WITH {TXN} SELECT event_id, amount FROM txn ORDER BY {SAMPLE_DRAW} LIMIT {DRIFT_SAMPLE_ROWS}")
 def ordered_sample(spark, folder):
-    return sampling.ordered_sample(txn(spark, folder), 2000).select("event_id", "amount")
+    return sampling.ordered_sample(txn(spark, folder), DRIFT_SAMPLE_ROWS).select("event_id", "amount")
 
 
 @check(

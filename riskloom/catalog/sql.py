@@ -56,15 +56,32 @@ frame AS (
   WHERE p.dataset IS NOT NULL)"""
 )
 
-VAL_DRAW = "substr(md5('holdout:42:' || CAST(event_id AS VARCHAR)), 1, 8) < '1eb851eb'"
+HOLDOUT_DRAW = "md5('holdout:42:' || CAST(event_id AS VARCHAR))"
 SEARCH_DRAW = "md5('search:42:' || CAST(event_id AS VARCHAR))"
 SAMPLE_DRAW = "md5('sample:42:' || CAST(event_id AS VARCHAR))"
-FOLD = "CAST(('0x' || substr(md5('fold:42:' || CAST(event_id AS VARCHAR)), 1, 8))::BIGINT % 3 AS INTEGER)"
+FOLD_DRAW = "substr(md5('fold:42:' || CAST(event_id AS VARCHAR)), 1, 15)"
+FOLD = f'CAST((row_number() OVER (PARTITION BY "isFraud" ORDER BY {FOLD_DRAW}) - 1) % 3 AS INTEGER)'
+
+
+def holdout_of(source: str, name: str) -> str:
+    """CTE ``name``: ``source`` with its exact stratified hold-out of 0.12 in ``split``."""
+    return f"""
+{name}_sizes AS (SELECT "isFraud" AS c, count(*) AS size, CAST(sum(count(*)) OVER () AS BIGINT) AS n FROM {source} GROUP BY 1),
+{name}_fits AS (SELECT *, n - CAST(ceil(n * CAST(0.12 AS DOUBLE)) AS BIGINT) AS fit_n FROM {name}_sizes),
+{name}_base AS (SELECT *, (fit_n * size) // n AS base, (fit_n * size) % n AS rest FROM {name}_fits),
+{name}_quotas AS (SELECT c, size - base - CASE WHEN row_number() OVER (ORDER BY rest DESC, c) <= fit_n - sum(base) OVER ()
+                                   THEN 1 ELSE 0 END AS want FROM {name}_base),
+{name}_ranked AS (SELECT *, row_number() OVER (PARTITION BY "isFraud" ORDER BY {HOLDOUT_DRAW}) AS hrn FROM {source}),
+{name} AS (SELECT * EXCLUDE (hrn, c, want), CASE WHEN hrn <= want THEN 'val' ELSE 'fit' END AS split
+           FROM {name}_ranked JOIN {name}_quotas ON c = "isFraud")"""
+
 
 FIT = (
     SPLIT
-    + f""",
-train AS (SELECT *, CASE WHEN {VAL_DRAW} THEN 'val' ELSE 'fit' END AS split FROM parts WHERE dataset = 'train'),
+    + """,
+train_period AS (SELECT * FROM parts WHERE dataset = 'train'),"""
+    + holdout_of("train_period", "train")
+    + """,
 fit AS (SELECT * FROM train WHERE split = 'fit')"""
 )
 
@@ -140,8 +157,10 @@ def chosen(recall: float, column: str) -> str:
 
 RUNS = (
     FRAME
-    + f""",
-ftrain AS (SELECT *, CASE WHEN {VAL_DRAW} THEN 'val' ELSE 'fit' END AS split FROM frame WHERE dataset = 'train'),
+    + """,
+frame_train AS (SELECT * FROM frame WHERE dataset = 'train'),"""
+    + holdout_of("frame_train", "ftrain")
+    + """,
 ffit AS (SELECT * FROM ftrain WHERE split = 'fit'),
 fval AS (SELECT * FROM ftrain WHERE split = 'val'),
 ftest AS (SELECT * FROM frame WHERE dataset = 'test'),"""

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.config import DRIFT_PVALUE, DRIFT_STATISTIC, FEATURES, TABLE_LEVEL_ROW, TXN
 from riskloom.functions.columns import ks_pvalue, long_form, ratio
 from riskloom.operators.curve import confusion_of
 from riskloom.operators.running import running_totals
+from riskloom.session import stored
 
 
 def with_window(payload: DataFrame, ts: str = "request_ts", width: str = "1 day") -> DataFrame:
@@ -36,17 +37,34 @@ def inference_quality(payload: DataFrame, label: str = TXN.label, width: str = "
     return out.withColumn("accuracy", ratio(F.col("tp") + F.col("tn"), rows))
 
 
-def _previous_windows(windowed: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Each window of a group with the next one; one row per day and model at the most."""
-    order = Window.partitionBy(*by).orderBy("window.start")
-    present = windowed.select(*by, "window").distinct()
-    return present.select(
-        *by,
-        "window",
-        F.lag("window").over(order).isNotNull().alias("_has_previous"),
-        F.lead("window").over(order).alias("_next"),
+def window_sizes(windowed: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Stored: rows of each window of a group, with the window before it, that one's rows, and the one after.
+
+    One pass over the log. What follows is as small as the calendar at the width chosen, which may be
+    seconds, so the neighbours come from running totals in buckets and not from one task.
+    """
+    sizes = windowed.groupBy(*by, "window").agg(F.count(F.lit(1)).alias("row_count"))
+    start = F.unix_micros(F.col("window.start").cast("timestamp"))
+    sizes = stored(sizes.withColumn("_at", start).withColumn("_later", -start))
+    ahead = running_totals(sizes, "_at", maxima=["_at"], by=by, exclusive=True)
+    both = running_totals(ahead, "_at", maxima=["_later"], by=by, descending=True, exclusive=True)
+    both = both.select(*by, "window", "row_count", "_at", F.col("run__at").alias("_before"), (-F.col("run__later")).alias("_after"))
+    other = sizes.select(
+        *[F.col(c).alias(f"_{c}") for c in by],
+        F.col("_at").alias("_other_at"),
+        F.col("window").alias("_other"),
+        F.col("row_count").alias("_other_count"),
     )
 
+    def neighbour(rows: DataFrame, place: str, window: str, count: str) -> DataFrame:
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+        on = reduce(lambda a, b: a & b, [F.col(place) == F.col("_other_at"), *same])
+        found = rows.join(other, on, "left").withColumn(window, F.col("_other")).withColumn(count, F.col("_other_count"))
+        return found.select(*rows.columns, window, count)
+
+    found = neighbour(neighbour(both, "_before", "_previous", "previous_count"), "_after", "_next", "_next_count")
+    return stored(found.select(*by, "window", "row_count", "_previous", "previous_count", "_next"))
+
 
 def ks_drift(
     payload: DataFrame,
@@ -69,9 +87,9 @@ def ks_drift(
         .groupBy(*by, "window", "column_name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # One row per window and model version: a century of days is 36,525 windows, so the size
-    # follows the calendar and the number of models, never the number of requests.
-    neighbours = F.broadcast(_previous_windows(windowed, by).alias("_w"))
+    # Stored, so its size is known: Spark broadcasts it only if it is small.
+    sizes = window_sizes(windowed, by)
+    neighbours = sizes.select(*by, "window", F.col("_previous").isNotNull().alias("_has_previous"), "_next").alias("_w")
     same = reduce(
         lambda a, b: a & b, [F.col(f"_c.{c}").eqNullSafe(F.col(f"_w.{c}")) for c in [*by, "window"]]
     )
@@ -115,16 +133,14 @@ def ks_drift(
         "row_count",
         "previous_count",
     )
-    sizes = windowed.groupBy(*by, "window").agg(F.count(F.lit(1)).alias("row_count"))
-    order = Window.partitionBy(*by).orderBy("window.start")
-    table_level = sizes.select(
+    table_level = sizes.filter(F.col("previous_count").isNotNull()).select(
         *by,
         "window",
         F.lit(TABLE_LEVEL_ROW).alias("column_name"),
         F.lit(None).cast("struct<statistic:double,pvalue:double>").alias("ks_test"),
         "row_count",
-        F.lag("row_count").over(order).alias("previous_count"),
-    ).filter(F.col("previous_count").isNotNull())
+        "previous_count",
+    )
     return per_column.unionByName(table_level)
 
 

@@ -8,6 +8,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from riskloom.config import (
     ENCODED_TYPES,
@@ -138,12 +139,16 @@ def assemble_and_scale(features: Sequence[str] = FEATURES) -> Pipeline:
 
 
 def row_ids(df: DataFrame, key: str = TXN.key, name: str = "txn_id") -> DataFrame:
-    """Number the rows 0, 1, 2, ... by ``key``, which must be unique.
+    """Number the rows 0, 1, 2, ... by ``key``: numbers by value, other types by a hash of the value.
 
-    Unlike ids taken from partition positions, the numbers are the same on every computation.
+    Unlike ids taken from partition positions, the numbers are the same on every computation. Rows
+    that share a key get the numbers of their group; which copy gets which does not matter if they are
+    full copies, as rows with one digest are.
     """
-    ones = df.withColumn("_one", F.lit(1).cast("long"))
-    numbered = running_totals(ones, key, sums=["_one"], unique=True)
+    numeric = isinstance(df.schema[key].dataType, NumericType)
+    order = F.col(key) if numeric else F.xxhash64(F.col(key).cast("string"))
+    ones = df.withColumn("_order", order).withColumn("_one", F.lit(1).cast("long"))
+    numbered = running_totals(ones, "_order", sums=["_one"], unique=True)
     return numbered.select(*df.columns, (F.col("run__one") - 1).alias(name))
 
 

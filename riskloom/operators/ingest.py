@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import row_digest
-from riskloom.operators.skew import SPREAD, heavy_by_sketch
+from riskloom.operators.skew import heavy_by_sketch
+from riskloom.session import stored
 
 
 def stamp(
@@ -36,26 +37,24 @@ def new_rows(target: DataFrame, source: DataFrame, key: str = "row_hash", dedupe
     """Rows of ``source`` whose key the target lacks.
 
     Copies within the source are all kept unless ``dedupe_source``. Rows with a null key match
-    nothing and are new.
+    nothing, are no copies of each other and are all new.
 
     A key copied very often in the source would put all its copies into one task of the join.
-    Such keys are looked up in the target once each, by broadcast, and their copies go through
-    the join under keys that match nothing.
+    Such keys are found once and stored; each is looked up in the target by broadcast (there are fewer
+    than a thousand), and its copies never enter the join. Where no key is heavy there is one join.
     """
+    columns = source.columns
+    keyed, unkeyed = source.filter(F.col(key).isNotNull()), source.filter(F.col(key).isNull())
+    seen = target.select(key)
     if dedupe_source:
-        return source.dropDuplicates([key]).join(target.select(key), key, "left_anti").select(*source.columns)
-    heavy = heavy_by_sketch(source, key)
-    known = target.join(F.broadcast(heavy), key, "left_semi").select(key).distinct().withColumn("_known", F.lit(True))
-    hot = heavy.join(known, key, "left").select(F.col(key).alias("_hot_key"), "_known")
-    rows = source.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
-    apart = F.col("_hot_key").isNotNull() | F.col(key).isNull()
-    salt = F.concat(F.lit("~"), F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("string"))
-    route = F.when(apart, salt).otherwise(F.col(key).cast("string"))
-    rows = rows.withColumn("_apart", apart).withColumn("_route", route)
-    rows = rows.filter(F.col("_known").isNull())
-    seen = target.select(F.col(key).cast("string").alias("_seen"))
-    same = (F.col("_route") == F.col("_seen")) & ~F.col("_apart")
-    return rows.join(seen, same, "left_anti").select(*source.columns)
+        return keyed.dropDuplicates([key]).join(seen, key, "left_anti").select(*columns).unionByName(unkeyed)
+    heavy = stored(heavy_by_sketch(keyed, key))
+    if heavy.isEmpty():
+        return keyed.join(seen, key, "left_anti").select(*columns).unionByName(unkeyed)
+    known = stored(seen.join(F.broadcast(heavy), key, "left_semi").distinct())
+    copied = keyed.join(F.broadcast(heavy), key, "left_semi").join(F.broadcast(known), key, "left_anti")
+    light = keyed.join(F.broadcast(heavy), key, "left_anti").join(seen, key, "left_anti")
+    return light.select(*columns).unionByName(copied.select(*columns)).unionByName(unkeyed)
 
 
 def insert_only_merge(

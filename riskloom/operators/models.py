@@ -13,7 +13,7 @@ from statistics import fmean
 from pyspark import StorageLevel, inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasPredictionCol, HasProbabilityCol
@@ -26,30 +26,50 @@ from riskloom.operators.curve import average_precision, pr_curve
 from riskloom.session import use_checkpoint_dir
 
 WEIGHT = "weight"
-# Deepest tree Spark ML grows, and the bin count of the boosted trees.
+# Deepest tree Spark ML grows, the bins of all trees, and the least gain of a boosting round.
 DEEPEST_TREE = 30
-BOOSTING_BINS = 255
+TREE_BINS = 255
+VALIDATION_TOL = 0.001
+HELD_BACK = "held_back"
 
 
-def class_weights(df: DataFrame, mode: str | Mapping[int, float] | None, label: str = TXN.label) -> DataFrame:
-    """Rows and weight per class. 'balanced' gives every class the same total weight.
+def class_counts(df: DataFrame, label: str = TXN.label, by: str | None = None) -> dict:
+    """Rows per class (per ``by`` value, if given). Two classes are all there may be."""
+    rows = df.groupBy(*([by] if by else []), label).agg(F.count(F.lit(1)).alias("n"))
+    odd = rows.filter(F.col(label).isNull() | ~F.col(label).isin(0, 1)).select(label).head()
+    if odd is not None:
+        raise ValueError(f"a label other than 0 and 1: {odd[0]}")
+    return {((r[by], r[label]) if by else r[label]): r["n"] for r in rows.collect()}
+
+
+def weight_per_class(counts: Mapping[int, int], mode: str | Mapping[int, float] | None) -> dict[int, float]:
+    """The weight of each class's rows. 'balanced' gives every class the same total weight.
 
     Weights are taken over the whole frame, for 'balanced_subsample' too: Spark draws its
     bootstraps inside the fit.
     """
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("row_count"))
     if mode is None:
-        weight = F.lit(1.0)
-    elif isinstance(mode, Mapping):
-        pairs = [F.when(F.col(label) == k, F.lit(float(v))) for k, v in mode.items()]
-        weight = F.coalesce(*pairs, F.lit(1.0))
-    elif mode in ("balanced", "balanced_subsample"):
-        every = counts.agg(F.sum("row_count").alias("rows"), F.count(F.lit(1)).alias("classes"))
-        share = every.select((F.col("rows") / F.col("classes")).alias("share")).scalar()
-        weight = share / F.col("row_count")
-    else:
+        return dict.fromkeys(counts, 1.0)
+    if isinstance(mode, Mapping):
+        return {c: float(mode.get(c, 1.0)) for c in counts}
+    if mode not in ("balanced", "balanced_subsample"):
         raise ValueError(f"unknown class weight {mode!r}")
-    return counts.select(label, "row_count", weight.cast("double").alias(WEIGHT))
+    share = sum(counts.values()) / max(1, len(counts))
+    return {c: share / n for c, n in counts.items()}
+
+
+def class_weights(df: DataFrame, mode: str | Mapping[int, float] | None, label: str = TXN.label) -> DataFrame:
+    """Rows and weight per class, as the fits use them."""
+    counts = class_counts(df, label)
+    weights = weight_per_class(counts, mode)
+    kind = df.schema[label].dataType.simpleString()
+    rows = [(c, n, weights[c]) for c, n in counts.items()]
+    return df.sparkSession.createDataFrame(rows, f"`{label}` {kind}, row_count bigint, {WEIGHT} double")
+
+
+def with_class_weight(rows: DataFrame, weights: Mapping[int, float], label: str = TXN.label) -> DataFrame:
+    """Add the column that a fit weighs its rows by."""
+    return rows.withColumn(WEIGHT, F.coalesce(*[F.when(F.col(label) == c, F.lit(w)) for c, w in weights.items()]))
 
 
 def positive_probability(probability: str = "probability") -> Column:
@@ -102,6 +122,7 @@ def _forest(params: Mapping, weight_sum: float, seed: int) -> Sequence[Estimator
             numTrees=params["n_estimators"],
             maxDepth=params["max_depth"] or DEEPEST_TREE,
             minInstancesPerNode=params["min_samples_leaf"],
+            maxBins=TREE_BINS,
             maxMemoryInMB=1024,
             # Deep trees: keep each row's node instead of walking every tree again per level.
             cacheNodeIds=True,
@@ -118,7 +139,7 @@ def _boosting(params: Mapping, weight_sum: float, seed: int) -> Sequence[Estimat
             stepSize=params["learning_rate"],
             maxDepth=params["max_depth"],
             minInstancesPerNode=params["min_samples_leaf"],
-            maxBins=BOOSTING_BINS,
+            maxBins=TREE_BINS,
             maxMemoryInMB=1024,
             checkpointInterval=10,
             seed=seed,
@@ -153,16 +174,6 @@ def assembled(df: DataFrame, features: Sequence[str] = FEATURES, label: str = TX
     return vector.transform(df.select(label, *keep, *features)).select(label, *keep, "features")
 
 
-def _weight_per_class(counts: Mapping[int, int], mode: str | Mapping[int, float] | None) -> dict[int, float]:
-    """``class_weights`` for class counts that are already on the driver."""
-    if isinstance(mode, Mapping):
-        return {c: float(mode.get(c, 1.0)) for c in counts}
-    if mode is None:
-        return dict.fromkeys(counts, 1.0)
-    share = sum(counts.values()) / len(counts)
-    return {c: share / n for c, n in counts.items()}
-
-
 def fit_assembled(
     rows: DataFrame,
     algorithm: str,
@@ -170,17 +181,33 @@ def fit_assembled(
     label: str = TXN.label,
     seed: int = 42,
     counts: Mapping[int, int] | None = None,
+    scaler: StandardScalerModel | None = None,
 ) -> PipelineModel:
-    """Fit one setting on an assembled frame; ``counts`` are its rows per class, where known."""
+    """Fit one setting on an assembled frame; ``counts`` are its rows per class, where known.
+
+    ``scaler`` is one already fitted on these rows, which several settings share: then ``rows`` has its output.
+    """
     use_checkpoint_dir(rows.sparkSession)
     if counts is None:
-        counts = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}
-    weights = _weight_per_class(counts, params["class_weight"])
+        counts = class_counts(rows, label)
+    weights = weight_per_class(counts, params["class_weight"])
     weight_sum = sum(n * weights[c] for c, n in counts.items())
-    weight = F.coalesce(*[F.when(F.col(label) == c, F.lit(w)) for c, w in weights.items()])
     stages = list(ALGORITHMS[algorithm](params, weight_sum, seed))
     stages[-1].setLabelCol(label).setWeightCol(WEIGHT)
-    return Pipeline(stages=stages).fit(rows.withColumn(WEIGHT, weight))
+    weighted = with_class_weight(rows, weights, label)
+    if algorithm == "hist_gradient_boosting":
+        # Rounds stop when the held-back tenth no longer gains. Row weights count there too.
+        weighted = weighted.withColumn(HELD_BACK, F.pmod(F.xxhash64("features", F.lit(seed)), F.lit(10)) == 0)
+        stages[-1].setParams(validationIndicatorCol=HELD_BACK, validationTol=VALIDATION_TOL)
+    if scaler is not None and len(stages) > 1:
+        fitted = stages[-1].fit(weighted)
+        return PipelineModel([scaler, fitted])
+    return Pipeline(stages=stages).fit(weighted)
+
+
+def fit_scaler(rows: DataFrame) -> StandardScalerModel:
+    """The scaling that linear settings need, fitted once for all of them."""
+    return StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(rows)
 
 
 def fit(
@@ -228,15 +255,23 @@ def search(
     tasks = [(i, fold) for i in range(len(settings)) for fold in range(folds)]
     by = ["setting", "fold"]
     try:
-        per_fold = rows.groupBy("fold", label).count().collect()
+        per_fold = class_counts(rows, label, "fold")
+        short = [fold for fold in range(folds) if not per_fold.get((fold, 1))]
+        if short:
+            raise ValueError(f"folds without a positive row cannot be measured: {short}")
+        linear = algorithm == "logistic_regression"
+        scalers = {fold: fit_scaler(rows.filter(F.col("fold") != fold)) if linear else None for fold in range(folds)}
 
         def fit_without(task: tuple[int, int]) -> PipelineModel:
             i, fold = task
             counts: dict[int, int] = {}
-            for r in per_fold:
-                if r["fold"] != fold:
-                    counts[r[label]] = counts.get(r[label], 0) + r["count"]
-            return fit_assembled(rows.filter(F.col("fold") != fold), algorithm, settings[i], label, seed, counts)
+            for (other, c), n in per_fold.items():
+                if other != fold:
+                    counts[c] = counts.get(c, 0) + n
+            part, scaler = rows.filter(F.col("fold") != fold), scalers[fold]
+            if scaler is not None:
+                part = scaler.transform(part)
+            return fit_assembled(part, algorithm, settings[i], label, seed, counts, scaler)
 
         run = inheritable_thread_target(rows.sparkSession)(fit_without)
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
@@ -251,6 +286,6 @@ def search(
         found = {(r["setting"], r["fold"]): r["average_precision"] for r in average_precision(curves, by).collect()}
     finally:
         rows.unpersist()
-    means = [fmean(found.get((i, fold)) or 0.0 for fold in range(folds)) for i in range(len(settings))]
+    means = [fmean(found[i, fold] for fold in range(folds)) for i in range(len(settings))]
     best = max(range(len(settings)), key=lambda i: means[i])
     return SearchResult(dict(settings[best]), means[best], [(dict(p), m) for p, m in zip(settings, means, strict=True)])

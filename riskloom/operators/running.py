@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.session import stored
+
 MAX_BUCKETS = 4096
 SUMMARY_GROUPS = 64
 
@@ -24,13 +26,6 @@ def bucket_count(df: DataFrame) -> int:
     return max(16, min(MAX_BUCKETS, wanted))
 
 
-def _need_reuse(df: DataFrame) -> None:
-    """The bucket totals and the rows must see the same cuts, so Spark must compute them once."""
-    for name in ("spark.sql.exchange.reuse", "spark.sql.execution.reuseSubquery"):
-        if df.sparkSession.conf.get(name, "true") != "true":
-            raise ValueError(f"running totals need {name}=true")
-
-
 def _with_bucket(df: DataFrame, values: DataFrame, order: str, buckets: int, per: Sequence[str]) -> DataFrame:
     """Add ``_bucket``: the number of cut points below the row's value."""
     shares = [i / buckets for i in range(1, buckets)]
@@ -40,6 +35,9 @@ def _with_bucket(df: DataFrame, values: DataFrame, order: str, buckets: int, per
     group = F.pmod(F.spark_partition_id(), F.lit(SUMMARY_GROUPS)).alias("_part")
     parts = values.select(*per, order, group).groupBy(*per, "_part").agg(quantiles.alias("_q"))
     cuts = parts.select(*per, F.explode("_q").alias(order)).groupBy(*per).agg(quantiles.alias("_cuts"))
+    # Totals and rows must see the same cuts, so they are computed once and stored; nothing here depends
+    # on whether Spark recognises two copies of a plan as one.
+    cuts = stored(cuts)
     if per:
         # One row per column name, so as many rows as the unpivoted table was wide.
         same = reduce(lambda a, b: a & b, [F.col(f"_d.{c}").eqNullSafe(F.col(f"_k.{c}")) for c in per])
@@ -80,12 +78,9 @@ def running_totals(
     about balance only, never about the result.
     """
     buckets = max(2, buckets or bucket_count(df))
-    _need_reuse(df)
     tracked = [*sums, *maxima]
     if cuts_from is None:
-        # The filter keeps the summed columns in this branch, so it reads the same shuffle as
-        # the main plan instead of a narrower copy of it.
-        cuts_from = df.filter(reduce(lambda a, b: a | b, [F.col(c) != 0 for c in tracked]))
+        cuts_from = df
     rows = _with_bucket(df, cuts_from, order, buckets, list(cuts_per))
 
     def total(name: str) -> Column:

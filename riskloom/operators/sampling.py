@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from riskloom.config import TRAIN_SHARE_OF_STEPS, TXN, TxnColumns
 from riskloom.functions.columns import hex_share, sample_hash
+from riskloom.operators.running import running_totals
+from riskloom.session import stored
 
 _DIGITS = 4
 
@@ -85,17 +87,18 @@ def _take(df: DataFrame, klass: Column, draw: Column, quotas: DataFrame) -> Data
 def ordered_sample(df: DataFrame, rows: int, key: str = TXN.key, seed: int = 42) -> DataFrame:
     """``rows`` rows with the smallest draws: a fixed random sample of a stored table."""
     draw = sample_hash(key, "sample", seed)
-    total = df.agg(F.lit(0).alias("_class"), F.least(F.count(F.lit(1)), F.lit(rows)).alias("_want"))
-    return _take(df, F.lit(0), draw, total).filter("_taken").drop("_taken")
+    # One class, whose number comes from the data: a constant on both sides would turn the joins with
+    # the quota into products.
+    klass = F.length(draw) * 0
+    total = df.agg(F.min(klass).alias("_class"), F.least(F.count(F.lit(1)), F.lit(rows)).alias("_want"))
+    return _take(df, klass, draw, total).filter("_taken").drop("_taken")
 
 
-def stratified_holdout(
-    df: DataFrame, fraction: float, key: str = TXN.key, seed: int = 42
-) -> DataFrame:
-    """Add ``split``: 'val' for a share ``fraction`` of every class, 'fit' for the rest.
+def bernoulli_holdout(df: DataFrame, fraction: float, key: str = TXN.key, seed: int = 42) -> DataFrame:
+    """Add ``split``: 'val' where the row's draw is below ``fraction``, 'fit' for the rest.
 
-    One comparison per row and no shuffle. Sizes are right in expectation; use
-    ``exact_stratified_holdout`` for exact ones.
+    One comparison per row and no shuffle. Not stratified: class sizes are right in expectation only. Use
+    ``exact_stratified_holdout`` where they matter, as training does.
     """
     draw = F.substring(sample_hash(key, "holdout", seed), 1, 8)
     return df.withColumn("split", F.when(draw < hex_share(fraction), "val").otherwise("fit"))
@@ -104,7 +107,7 @@ def stratified_holdout(
 def exact_stratified_holdout(
     df: DataFrame, fraction: float, label: str = TXN.label, key: str = TXN.key, seed: int = 42
 ) -> DataFrame:
-    """As ``stratified_holdout``, with ``ceil(fraction * n)`` hold-out rows in exact proportion.
+    """Add ``split``: 'val' for ``ceil(fraction * n)`` rows in exact proportion of the classes, else 'fit'.
 
     The fit share of each class is rounded down and the rows left over go to the classes with
     the largest remainders.
@@ -130,7 +133,7 @@ def search_sample(
 ) -> DataFrame:
     """Every positive and ``min(negatives, 40 * positives)`` negatives, without replacement."""
     quotas = df.agg(
-        F.lit(0).alias("_class"),
+        F.min(F.when(F.col(label) == 0, F.col(label))).alias("_class"),
         F.least(
             F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1) * F.lit(negatives_per_positive)
         ).alias("_want"),
@@ -139,7 +142,16 @@ def search_sample(
     return marked.filter((F.col(label) == 1) | F.col("_taken")).drop("_taken")
 
 
-def stratified_folds(df: DataFrame, folds: int = 3, key: str = TXN.key, seed: int = 42) -> DataFrame:
-    """Add ``fold`` 0..folds-1. A hash fold is shuffled and alike in every class; no shuffle."""
-    draw = F.conv(F.substring(sample_hash(key, "fold", seed), 1, 8), 16, 10).cast("long")
-    return df.withColumn("fold", (draw % folds).cast("int"))
+def stratified_folds(
+    df: DataFrame, folds: int = 3, label: str = TXN.label, key: str = TXN.key, seed: int = 42
+) -> DataFrame:
+    """Add ``fold`` 0..folds-1, dealt in turn within each class by draw.
+
+    Counts of a class differ by one at the most between folds. The turn is a running count over the
+    draws of the class, cut into buckets, so no class is sorted in one task.
+    """
+    draw = F.conv(F.substring(sample_hash(key, "fold", seed), 1, 15), 16, 10).cast("long")
+    # Read three times below, and a sample takes several passes to draw.
+    drawn = stored(df.withColumn("_draw", draw).withColumn("_one", F.lit(1).cast("long")))
+    ranked = running_totals(drawn, "_draw", sums=["_one"], by=[label], unique=True)
+    return ranked.select(*df.columns, ((F.col("run__one") - 1) % folds).cast("int").alias("fold"))

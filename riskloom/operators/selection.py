@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.config import GATE_AVG_PRECISION, GATE_PRECISION_AT_80RECALL, SELECTION_KEYS
-from riskloom.operators.running import running_totals
 
 
 def _selection_order(metric: str, algorithms: Sequence[str]) -> list[Column]:
@@ -63,9 +62,11 @@ def champion_history(versions: DataFrame, model: str = "model", version: str = "
     checked = F.when(
         F.col(metric).isNull(), F.raise_error(F.concat(F.lit("no metric for version "), F.col(version).cast("string")))
     ).otherwise(F.col(metric))
+    # One row a training run: a model's versions fit one task by nature.
+    earlier = Window.partitionBy(model).orderBy(version).rowsBetween(Window.unboundedPreceding, -1)
     rows = versions.withColumn(metric, checked)
-    runs = running_totals(rows, version, maxima=[metric], by=[model], exclusive=True)
-    before = F.coalesce(F.col(f"run_{metric}"), F.lit(-1.0))
+    runs = rows.withColumn("_before", F.max(metric).over(earlier))
+    before = F.coalesce(F.col("_before"), F.lit(-1.0))
     return runs.select(
         *versions.columns,
         before.alias("champion_metric"),

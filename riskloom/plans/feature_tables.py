@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.config import FEATURE_TABLE, TXN, TxnColumns
-from riskloom.operators.features import check_same_columns, feature_frame, quick_row_ids
+from riskloom.operators.features import check_same_columns, feature_frame, row_ids
 from riskloom.operators.quality import table_check
 from riskloom.session import stored
 from riskloom.sources.tables import publish_all
@@ -25,12 +25,13 @@ def build_feature_tables(
 ) -> dict[str, DataFrame]:
     """Write both feature tables, each with a checked primary key ``txn_id``.
 
-    The ids are given at the moment of writing and stay with the stored rows.
+    Ids follow the row key, so building the same tables again gives the same ids and, with them, the
+    same splits, samples and folds.
     """
     cols = cols or replace(TXN, key="row_hash")
     frame = stored(feature_frame(spark.table(bronze), cols), "dataset")
     parts = {
-        name: quick_row_ids(frame.filter(F.col("dataset") == part).select(*FEATURE_TABLE), KEY)
+        name: row_ids(frame.filter(F.col("dataset") == part), cols.key, KEY).select(*FEATURE_TABLE, KEY)
         for name, part in ((train_name, "train"), (test_name, "test"))
     }
     check_same_columns(parts[train_name], parts[test_name])

@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.config import DRIFT_SAMPLE_ROWS, FEATURES
 from riskloom.operators.drift import drift_verdict, ks_drift
@@ -35,7 +36,28 @@ def log_simulated_windows(
     return payload
 
 
+def unseen(log: DataFrame, drift: DataFrame, ts: str = "request_ts", width: str = "1 day") -> tuple[DataFrame, object]:
+    """What of the log a refresh must read: from the window before the last one recorded on, which is
+    taken again because it may have grown. Also that last window's start; null where nothing is recorded."""
+    last = drift.agg(F.max("window.start")).first()[0]
+    if last is None:
+        return log, None
+    before = log.filter(F.col(ts) < F.lit(last)).agg(F.window(F.max(ts), width)["start"].alias("start")).first()[0]
+    return log.filter(F.col(ts) >= F.lit(last if before is None else before)), last
+
+
 def refresh_drift(spark: SparkSession, log: str, drift: str, features: Sequence[str] = FEATURES) -> bool:
-    """Recompute the drift table from the log; true when the newest window calls for retraining."""
-    overwrite_table(ks_drift(spark.table(log), features), drift)
+    """Bring the drift table up to date with the log; true when the newest window calls for retraining.
+
+    Reads new windows, the last one recorded and its predecessor; older rows of the table stay.
+    """
+    if not spark.catalog.tableExists(drift):
+        overwrite_table(ks_drift(spark.table(log), features), drift)
+    else:
+        rows, last = unseen(spark.table(log), spark.table(drift))
+        fresh = ks_drift(rows, features)
+        if last is not None:
+            fresh = spark.table(drift).filter(F.col("window.start") < F.lit(last)).unionByName(fresh)
+        # Stored first: a table cannot be replaced while it is read.
+        overwrite_table(stored(fresh), drift)
     return drift_verdict(spark.table(drift)).first()["retrain"]

@@ -31,6 +31,7 @@ from riskloom.operators.sampling import exact_stratified_holdout, search_sample,
 from riskloom.operators.scoring import score
 from riskloom.operators.selection import quality_gate, select_winner
 from riskloom.session import stored
+from riskloom.sources.tables import export_csv
 
 
 @dataclass(frozen=True)
@@ -57,11 +58,12 @@ def train_and_select(
     settings: TrainingSettings | None = None,
     key: str = "txn_id",
     label: str = TXN.label,
+    report_folder: str | None = None,
 ) -> TrainingOutcome:
     """Train every configured algorithm and choose the best on the validation rows.
 
     ``train`` and ``test`` are stored tables with a unique ``key``. The test rows serve for the
-    reported metrics only.
+    reported metrics only. ``report_folder`` gets the operating points as CSV.
     """
     settings = settings or TrainingSettings()
     algorithms, unknown = known_algorithms(grids)
@@ -74,7 +76,8 @@ def train_and_select(
     fit_rows = split.filter(F.col("split") == "fit")
     val_rows = split.filter(F.col("split") == "val")
     sample = search_sample(fit_rows, settings.search_neg_per_pos, label, key, settings.seed)
-    sample = stratified_folds(sample, settings.search_folds, key, settings.seed)
+    # Every algorithm searches the same sample, so it is kept.
+    sample = stored(stratified_folds(sample, settings.search_folds, label, key, settings.seed))
 
     models, searches, val_scores, test_scores = {}, {}, [], []
     for name in algorithms:
@@ -100,6 +103,9 @@ def train_and_select(
     )
     runs = stored(about.join(F.broadcast(metrics), "algorithm").select("run_id", "algorithm", "params", "metrics"))
     points = operating_points(pr_curve(tested, "score", label, ["algorithm"]), by=["algorithm"])
+    if report_folder:
+        points = stored(points)
+        export_csv(points, report_folder)
 
     # One row per algorithm from here on.
     found = {r["algorithm"]: r for r in runs.collect()}

@@ -28,16 +28,16 @@ def _epoch_second(ts: str) -> Column:
 def transactions(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Event rows as transactions; ``keep`` names event columns to carry along.
 
-    Hours count from the first event. That one number is read here, so that it is a constant in
-    every plan built on the view.
+    Hours count from the first event. That number stays in the plan as a scalar subquery over the bare
+    column, which Parquet statistics can answer; nothing runs while the plan is built.
     """
-    first = events.agg(F.min(_epoch_second("ts"))).first()[0]
+    first = events.agg(F.min("ts").alias("ts")).select(_epoch_second("ts").alias("first")).scalar()
     kind = F.coalesce(*[F.when(F.col("event_type") == e, t) for e, t in TYPE_OF_EVENT.items()])
     parsed = events.select("*", F.get_json_object("props", "$.k").cast("long").alias("k"))
     k = F.col("k")
     rows = parsed.select(
         "event_id",
-        (F.floor((_epoch_second("ts") - F.lit(first)) / 3600) + 1).cast("int").alias("step"),
+        (F.floor((_epoch_second("ts") - first) / 3600) + 1).cast("int").alias("step"),
         kind.alias("type"),
         F.col("value").alias("amount"),
         F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("nameOrig"),

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from riskloom.config import RAW_SCHEMA
 from riskloom.operators.ingest import new_rows, stamp
 from riskloom.operators.quality import key_check
+from riskloom.session import stored
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = RAW_SCHEMA) -> DataFrame:
@@ -82,7 +83,7 @@ def ingest_csv(
 
 def overwrite_table(df: DataFrame, name: str) -> None:
     """Replace the table's rows and its schema."""
-    df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+    df.write.mode("overwrite").saveAsTable(name)
 
 
 def append_by_name(df: DataFrame, name: str) -> None:
@@ -96,15 +97,18 @@ def append_by_name(df: DataFrame, name: str) -> None:
 
 
 def publish_feature_table(df: DataFrame, name: str, key: str, description: str) -> DataFrame:
-    """Write a feature table and prove its key on what was written. Returns the table."""
-    overwrite_table(df, name)
-    spark = df.sparkSession
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = :text)", args={"text": description})
-    table = spark.table(name)
-    check = key_check(table, key).first()
+    """Prove the key of a feature table, then publish it. Returns the table.
+
+    The rows are written aside first, so a table that fails the check never replaces the published one.
+    """
+    aside = stored(df)
+    check = key_check(aside, key).first()
     if not check["is_primary_key"]:
         raise ValueError(f"{key} is not a primary key of {name}: {check.asDict()}")
-    return table
+    overwrite_table(aside, name)
+    spark = df.sparkSession
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = :text)", args={"text": description})
+    return spark.table(name)
 
 
 def publish_all(frames: Mapping[str, DataFrame], key: str, description: str) -> dict[str, DataFrame]:

@@ -108,3 +108,26 @@ def test_export_and_schema_report(spark, rows, tmp_path):
     tables.export_csv(df, str(tmp_path / "points"))
     assert spark.read.option("header", True).csv(str(tmp_path / "points")).columns == df.columns
     assert [r["column_name"] for r in tables.schema_report(df).orderBy("position").collect()] == df.columns
+
+
+def test_null_keys_are_no_copies_of_each_other(rows):
+    target = rows([("a", 1)], "k string, v int")
+    source = rows([(None, 2), (None, 3), ("a", 4), ("b", 5), ("b", 6)], "k string, v int")
+    got = ingest.new_rows(target, source, "k", dedupe_source=True).collect()
+    assert sorted(r["v"] for r in got if r["k"] is None) == [2, 3]
+    assert [r["k"] for r in got if r["k"]] == ["b"]
+    plain = ingest.new_rows(target, source, "k").collect()
+    assert sorted(r["v"] for r in plain) == [2, 3, 5, 6]
+
+
+def test_heavy_keys_at_the_border_are_merged_right(spark):
+    """Keys of about a thousandth of the rows each, half of them known, whichever side the sketch puts them on."""
+    source = spark.range(60_000).select(F.when(F.col("id") < 6000, F.col("id") % 100).otherwise(F.col("id")).cast("string").alias("k"))
+    target = spark.range(0, 100, 2).select(F.col("id").cast("string").alias("k"))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = ingest.new_rows(target, source, "k")
+        assert got.count() == 54_000 + 50 * 60
+        assert got.join(target, "k").count() == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")

@@ -12,8 +12,8 @@ def labelled(spark):
 
 
 def test_holdout_is_complete_and_repeatable(labelled):
-    split = sampling.stratified_holdout(labelled, 0.12)
-    again = sampling.stratified_holdout(labelled.repartition(11), 0.12)
+    split = sampling.bernoulli_holdout(labelled, 0.12)
+    again = sampling.bernoulli_holdout(labelled.repartition(11), 0.12)
     assert {tuple(r) for r in split.collect()} == {tuple(r) for r in again.collect()}
     assert split.filter("split = 'val'").count() == pytest.approx(360, abs=60)
 
