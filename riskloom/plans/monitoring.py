@@ -42,8 +42,9 @@ def unseen(log: DataFrame, drift: DataFrame, ts: str = "request_ts", width: str
     last = drift.agg(F.max("window.start")).first()[0]
     if last is None:
         return log, None
-    before = log.filter(F.col(ts) < F.lit(last)).agg(F.window(F.max(ts), width)["start"].alias("start")).first()[0]
-    return log.filter(F.col(ts) >= F.lit(last if before is None else before)), last
+    # A null maximum is in no window, so there may be no row.
+    before = log.filter(F.col(ts) < F.lit(last)).agg(F.max(ts).alias("ts")).select(F.window("ts", width)["start"]).first()
+    return log.filter(F.col(ts) >= F.lit(last if before is None else before[0])), last
 
 
 def refresh_drift(spark: SparkSession, log: str, drift: str, features: Sequence[str] = FEATURES) -> bool:

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.operators import curve
 
@@ -104,3 +105,17 @@ def test_the_data_is_never_in_one_task(spark):
             check(children.apply(i), above_totals)
 
     check(root, False)
+
+
+def test_running_totals_do_not_rely_on_reuse(spark):
+    rows = spark.range(3000).select((F.col("id") * 7919 % 1009 / 10).alias("score"), (F.col("id") % 11 == 0).cast("int").alias("isFraud"))
+    want = curve.pr_curve(rows, "score").collect()
+    names = ("spark.sql.exchange.reuse", "spark.sql.execution.reuseSubquery")
+    try:
+        for name in names:
+            spark.conf.set(name, "false")
+        got = curve.pr_curve(rows, "score").collect()
+    finally:
+        for name in names:
+            spark.conf.set(name, "true")
+    assert sorted(got) == sorted(want) and len(got) > 500

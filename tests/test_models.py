@@ -124,3 +124,56 @@ def test_whole_chain(spark):
     assert spark.table("chain_log").columns == [*FEATURES, "isFraud", "prediction", "request_ts", "model_version"]
     assert spark.table("chain_log").count() == 1000
     assert monitoring.refresh_drift(spark, "chain_log", "chain_drift")
+
+
+def test_a_fit_gets_the_checked_weights(separable, monkeypatch):
+    seen = []
+    monkeypatch.setattr(models.Pipeline, "fit", lambda self, rows: seen.append(rows))
+    params = {"max_iter": 5, "C": 1.0, "class_weight": "balanced"}
+    models.fit_assembled(models.assembled(separable, ["a", "b"]), "logistic_regression", params)
+    got = {r["isFraud"]: r["weight"] for r in seen[0].select("isFraud", "weight").distinct().collect()}
+    assert got == {r["isFraud"]: r["weight"] for r in models.class_weights(separable, "balanced").collect()}
+    with pytest.raises(ValueError, match="odd"):
+        models.fit_assembled(models.assembled(separable, ["a", "b"]), "logistic_regression", {**params, "class_weight": "odd"})
+
+
+def test_search_refuses_a_fold_without_positives(separable):
+    folded = separable.withColumn("fold", F.when(F.col("isFraud") == 1, 0).otherwise((F.col("txn_id") % 3).cast("int")))
+    with pytest.raises(ValueError, match="without a positive"):
+        models.search(folded, "logistic_regression", [{"max_iter": 5, "C": 1.0, "class_weight": None}], features=["a", "b"])
+
+
+def test_rebuilt_tables_split_alike(spark):
+    from riskloom.operators.ingest import stamp
+    from riskloom.operators.sampling import exact_stratified_holdout
+
+    raw = spark.range(900).select(
+        (F.col("id") % 50 + 1).cast("int").alias("step"), F.lit("TRANSFER").alias("type"), (F.col("id") % 300).cast("double").alias("amount"),
+        F.concat(F.lit("C"), (F.col("id") % 90).cast("string")).alias("nameOrig"), F.lit("M1").alias("nameDest"),
+        (F.col("id") % 9 == 0).cast("int").alias("isFraud"),
+    )
+    found = []
+    for parts in (3, 8):
+        tables.overwrite_table(stamp(raw, "b1").repartition(parts), f"bronze_again_{parts}")
+        written = feature_tables.build_feature_tables(spark, f"bronze_again_{parts}", f"again_train_{parts}", f"again_test_{parts}")
+        train = written[f"again_train_{parts}"]
+        split = exact_stratified_holdout(train, 0.12, key="txn_id").filter("split = 'val'")
+        found.append(sorted(tuple(r) for r in split.drop("split").collect()))
+        assert train.select("txn_id").distinct().count() == train.count()
+    assert found[0] == found[1] and found[0]
+
+
+def test_a_refresh_reads_new_windows_and_one_before(spark):
+    days = spark.range(4000).select((F.col("id") % 100 / 7).alias("log_amount"), F.expr("timestamp'2024-01-01 06:00:00' + make_interval(0, 0, 0, int(id % 4))").alias("request_ts"))
+    tables.overwrite_table(days.filter("request_ts < '2024-01-04'"), "refresh_log")
+    monitoring.refresh_drift(spark, "refresh_log", "refresh_drift", ["log_amount"])
+    tables.append_by_name(days.filter("request_ts >= '2024-01-04'"), "refresh_log")
+    rows, last = monitoring.unseen(spark.table("refresh_log"), spark.table("refresh_drift"))
+    assert str(last)[:10] == "2024-01-03"
+    assert sorted(str(r[0])[:10] for r in rows.select(F.to_date("request_ts")).distinct().collect()) == ["2024-01-02", "2024-01-03", "2024-01-04"]
+    monitoring.refresh_drift(spark, "refresh_log", "refresh_drift", ["log_amount"])
+    from riskloom.operators.drift import ks_drift
+
+    whole = ks_drift(spark.table("refresh_log"), ["log_amount"])
+    assert spark.table("refresh_drift").select(whole.columns).exceptAll(whole).count() == 0
+    assert spark.table("refresh_drift").count() == whole.count() == 6

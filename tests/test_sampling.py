@@ -58,3 +58,19 @@ def test_cutoffs_need_no_global_sort(labelled):
 def test_split_summary(labelled):
     got = sampling.split_summary(labelled.withColumn("part", F.lit("all")), "part").first()
     assert (got["row_count"], got["fraud_count"]) == (3000, 60)
+
+
+def test_classes_are_spread_evenly_over_folds_and_splits(labelled):
+    folds = sampling.stratified_folds(labelled.repartition(13))
+    counts = {(r["fold"], r["isFraud"]): r["count"] for r in folds.groupBy("fold", "isFraud").count().collect()}
+    for c in (0, 1):
+        own = [counts[f, c] for f in range(3)]
+        assert max(own) - min(own) <= 1
+    again = sampling.stratified_folds(labelled)
+    assert folds.exceptAll(again.select(folds.columns)).count() == 0
+
+
+def test_samples_need_no_product(spark, labelled):
+    for sample in (sampling.ordered_sample(labelled, 50), sampling.search_sample(labelled, 7)):
+        plan = sample._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -88,3 +88,8 @@ def test_register_and_promote(spark):
     assert promotion.aliases(spark, "versions_test").first()["champion"] == 3
     moved = promotion.promote_across(spark, "versions_test", "versions_absent").first()
     assert (moved["promoted"], moved["alias"]) == (True, "champion")
+    copied = spark.table("versions_absent").collect()
+    assert [(r["model"], r["version"], r["run_id"], r["metric"]) for r in copied] == [("fraud", 1, "r3", 0.6)]
+    promotion.register(spark, "versions_test", "fraud", "r4", 0.9)
+    assert promotion.promote_across(spark, "versions_test", "versions_absent").first()["promoted"]
+    assert promotion.aliases(spark, "versions_absent").first()["champion"] == 2
