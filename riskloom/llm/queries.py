@@ -125,6 +125,30 @@ def op7_block_anchors(spark: SparkSession, folder: str) -> DataFrame:
     return without_repeats(docs).select("doc_id", "n_words", "n_removed", digest)
 
 
+SQL["op7_block_anchors"] = r"""
+    WITH w AS (
+        SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS p, len(words) AS n
+        FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents)
+    ), win AS (
+        SELECT doc_id, p, n, sha256(string_agg(word, ' ') OVER (
+                   PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)) AS h
+        FROM w
+    ), least AS (
+        SELECT h, min(doc_id) AS first FROM win WHERE p + 49 <= n GROUP BY h
+    ), gone AS (
+        SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS p
+        FROM win JOIN least USING (h) WHERE p + 49 <= n AND first < doc_id
+    ), kept AS (
+        SELECT w.doc_id, count(*) AS n_words, count(gone.p) AS n_removed,
+               string_agg(word, ' ' ORDER BY w.p) FILTER (gone.p IS NULL) AS text
+        FROM w LEFT JOIN gone ON w.doc_id = gone.doc_id AND w.p = gone.p GROUP BY w.doc_id
+    )
+    SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+           sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM documents d LEFT JOIN kept USING (doc_id)
+"""
+
+
 @registered
 def op8_pii_boosting(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
