@@ -49,13 +49,13 @@ def op2_histogram_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 SQL["op2_histogram_topk"] = """
     WITH v AS (
-        SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+        SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
         FROM embeddings
         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+          AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
     ), s AS (
         SELECT q.vec_id AS query_id, c.vec_id,
-               CAST(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) AS BIGINT) AS score
+               CAST(list_sum([p[1] * p[2] for p in list_zip(q.e, c.e)]) AS BIGINT) AS score
         FROM v q JOIN v c ON q.vec_id <> c.vec_id
         WHERE q.vec_id % 100 = 0
     ), r AS (
