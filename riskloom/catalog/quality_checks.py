@@ -8,6 +8,13 @@ from riskloom.catalog.sql import FRAME, TXN
 from riskloom.operators import ingest, quality
 
 W = f"WITH {TXN} "
+
+
+def _placed(rows):
+    """The few rows of a sorted report with their places, so that the order is compared too."""
+    return rows.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1)
+
+
 #: All source columns. The amount enters as a decimal, which both engines print alike.
 ROW_HASH_COLUMNS = ["step", "type", "amount_text", "nameOrig", "nameDest", "isFraud"]
 AMOUNT_TEXT = "CAST(CAST(amount AS DECIMAL(18, 4)) AS VARCHAR)"
@@ -16,11 +23,11 @@ DUPLICATE_COLUMNS = ["type", "nameOrig", "nameDest", "isFraud"]
 
 
 @check(
-    W + 'SELECT "isFraud", count(*) AS row_count, round(count(*) / (SELECT count(*) FROM txn) * 100, 4) AS percentage '
-    "FROM txn GROUP BY 1"
+    W + 'SELECT "isFraud", count(*) AS row_count, round(count(*) / (SELECT count(*) FROM txn) * 100, 4) AS percentage, '
+    'row_number() OVER (ORDER BY "isFraud") AS place FROM txn GROUP BY 1'
 )
 def label_distribution(spark, folder):
-    return quality.label_distribution(txn(spark, folder))
+    return _placed(quality.label_distribution(txn(spark, folder)))
 
 
 @check(W + 'SELECT "type", "isFraud", count(*) AS row_count FROM txn GROUP BY ALL')
@@ -91,29 +98,30 @@ def balance_validity(spark, folder):
 
 @check(
     W + 'SELECT "type", count(*) AS transactions, round(avg(amount), 2) AS avg_amount, '
-    "round(max(amount), 2) AS max_amount FROM txn GROUP BY 1"
+    'round(max(amount), 2) AS max_amount, row_number() OVER (ORDER BY count(*) DESC, "type") AS place FROM txn GROUP BY 1'
 )
 def amount_by_type(spark, folder):
-    return quality.amount_by_type(txn(spark, folder))
+    return _placed(quality.amount_by_type(txn(spark, folder)))
 
 
 @check(
     W + 'SELECT substr("nameOrig", 1, 1) AS orig_type, substr("nameDest", 1, 1) AS dest_type, '
-    "count(*) AS row_count FROM txn GROUP BY ALL"
+    "count(*) AS row_count, row_number() OVER (ORDER BY count(*) DESC, orig_type, dest_type) AS place FROM txn GROUP BY orig_type, dest_type"
 )
 def entity_pair_counts(spark, folder):
-    return quality.entity_pairs(txn(spark, folder))
+    return _placed(quality.entity_pairs(txn(spark, folder)))
 
 
 @check(
     W
     + """SELECT CAST(substr("nameOrig", 1, 1) = 'C' AS INTEGER) AS orig_is_customer,
 CAST(substr("nameDest", 1, 1) = 'C' AS INTEGER) AS dest_is_customer,
-CAST(substr("nameDest", 1, 1) = 'M' AS INTEGER) AS dest_is_merchant, "isFraud", count(*) AS row_count
-FROM txn GROUP BY ALL"""
+CAST(substr("nameDest", 1, 1) = 'M' AS INTEGER) AS dest_is_merchant, "isFraud", count(*) AS row_count,
+row_number() OVER (ORDER BY count(*) DESC, orig_is_customer, dest_is_customer, dest_is_merchant, "isFraud") AS place
+FROM txn GROUP BY orig_is_customer, dest_is_customer, dest_is_merchant, "isFraud" """
 )
 def entity_flag_counts(spark, folder):
-    return quality.entity_flags(txn(spark, folder))
+    return _placed(quality.entity_flags(txn(spark, folder)))
 
 
 @check(

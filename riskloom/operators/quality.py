@@ -67,7 +67,7 @@ def amount_by_type(df: DataFrame, cols: TxnColumns = TXN) -> DataFrame:
             _cents(F.avg(cols.amount)).alias("avg_amount"),
             F.round(F.max(cols.amount), 2).alias("max_amount"),
         )
-        .orderBy(F.desc("transactions"))
+        .orderBy(F.desc("transactions"), cols.kind)
     )
 
 
@@ -76,7 +76,7 @@ def entity_pairs(df: DataFrame, cols: TxnColumns = TXN) -> DataFrame:
     return (
         df.groupBy(entity_class(cols.sender).alias("orig_type"), entity_class(cols.receiver).alias("dest_type"))
         .agg(F.count(F.lit(1)).alias("row_count"))
-        .orderBy(F.desc("row_count"))
+        .orderBy(F.desc("row_count"), "orig_type", "dest_type")
     )
 
 
@@ -90,7 +90,7 @@ def entity_flags(df: DataFrame, cols: TxnColumns = TXN) -> DataFrame:
             cols.label,
         )
         .agg(F.count(F.lit(1)).alias("row_count"))
-        .orderBy(F.desc("row_count"))
+        .orderBy(F.desc("row_count"), "orig_is_customer", "dest_is_customer", "dest_is_merchant", cols.label)
     )
 
 

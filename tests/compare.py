@@ -37,6 +37,8 @@ def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
     got, want = in_order(got), in_order(want)
     for name in got.columns:
         a, b = got[name], want[name]
+        if a.dtype != b.dtype and "Int64" in (str(a.dtype), str(b.dtype)):  # nulls among whole numbers
+            a, b = a.astype("Int64"), b.astype("Int64")
         if a.dtype != b.dtype and len(a):
             return f"{name}: type {a.dtype} != {b.dtype}"
         same = (a == b) | (a.isna() & b.isna())
