@@ -202,6 +202,7 @@ runs AS (
   FROM val JOIN tst USING (algorithm) JOIN cm USING (algorithm) LEFT JOIN cv USING (algorithm))"""
 )
 
+# The metrics of a run, by name.
 RUN_METRICS = (
     "avg_precision",
     "roc_auc",

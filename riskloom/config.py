@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
@@ -92,6 +93,17 @@ PARAM_GRIDS = {
 }
 
 
+def grids_from(path: str) -> dict[str, dict[str, list]]:
+    """Search grids from a JSON file of the shape of ``PARAM_GRIDS``; classes of weights may be strings there."""
+
+    def value(v):
+        return {int(c): float(w) for c, w in v.items()} if isinstance(v, dict) else v
+
+    with open(path, encoding="utf-8") as file:
+        grids = json.load(file)
+    return {name: {p: [value(v) for v in values] for p, values in grid.items()} for name, grid in grids.items()}
+
+
 @dataclass(frozen=True)
 class TrainingSettings:
     """Settings of a training run; a bad value fails before any plan is built."""

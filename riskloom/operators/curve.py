@@ -69,7 +69,7 @@ def _best_precision(recall: float) -> Column:
 
 
 def _point_at(recall: float) -> Column:
-    """The point with the highest threshold whose recall is still at least ``recall``."""
+    """Of the points that reach the recall, the one that flags fewest rows."""
     point = F.struct("threshold", "precision", "recall")
     return F.max(F.when(F.col("recall") >= recall, point))
 

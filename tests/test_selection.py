@@ -93,3 +93,13 @@ def test_register_and_promote(spark):
     promotion.register(spark, "versions_test", "fraud", "r4", 0.9)
     assert promotion.promote_across(spark, "versions_test", "versions_absent").first()["promoted"]
     assert promotion.aliases(spark, "versions_absent").first()["champion"] == 2
+
+
+def test_grids_from_a_file(tmp_path):
+    import json
+
+    from riskloom.config import PARAM_GRIDS, grids_from
+
+    path = tmp_path / "grids.json"
+    path.write_text(json.dumps(PARAM_GRIDS))
+    assert grids_from(str(path)) == PARAM_GRIDS
