@@ -45,9 +45,9 @@ def stored_features(spark: SparkSession, folder: str, keep: tuple[str, ...] = ()
 
 
 def train_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Transactions of the training period, marked 'fit' or 'val'."""
+    """Transactions of the training period, marked 'fit' or 'val'; stored, as samples pass over them several times."""
     train = time_split(txn(spark, folder)).filter(F.col("dataset") == "train")
-    return exact_stratified_holdout(train, 0.12)
+    return stored(exact_stratified_holdout(train, 0.12), "split")
 
 
 def fit_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -63,7 +63,7 @@ def bake_off(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def runs(spark: SparkSession, folder: str) -> DataFrame:
     """A run per stand-in, with the full metric record."""
     frame = stored_features(spark, folder)
-    train = exact_stratified_holdout(frame.filter(F.col("dataset") == "train"), 0.12)
+    train = stored(exact_stratified_holdout(frame.filter(F.col("dataset") == "train"), 0.12), "split")
     fit = train.filter(F.col("split") == "fit")
     sample = bake_off(stratified_folds(search_sample(fit)), keep=("fold",))
     per_fold = average_precision(pr_curve(sample, "score", by=["algorithm", "fold"]), ["algorithm", "fold"])

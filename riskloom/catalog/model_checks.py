@@ -24,7 +24,7 @@ TREE_SETTINGS = 2
 
 def _parts(spark, folder):
     frame = stored_features(spark, folder)
-    train = exact_stratified_holdout(frame.filter(F.col("dataset") == "train"), 0.12)
+    train = stored(exact_stratified_holdout(frame.filter(F.col("dataset") == "train"), 0.12), "split")
     return train.filter(F.col("split") == "fit").drop("split"), frame.filter(F.col("dataset") == "test")
 
 
