@@ -5,7 +5,10 @@ from compare import connect, difference
 from conftest import SMALL
 
 from __spark_entry__ import entry, oracle_sql, queries
+from riskloom.catalog import load
 
+# The document queries have their own tests.
+QUERIES, SQL = load()
 SLOW = {"cv_search_forest", "cv_search_boosting"}
 
 
@@ -14,19 +17,20 @@ def duck():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(set(oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(SQL) - SLOW))
 def test_matches_sql(spark, duck, name):
-    got = queries()[name](spark, SMALL).toPandas()
-    assert difference(got, duck.execute(oracle_sql()[name]).df()) is None
+    got = QUERIES[name](spark, SMALL).toPandas()
+    assert difference(got, duck.execute(SQL[name]).df()) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - SLOW))
 def test_rows_only(spark, name):
-    assert queries()[name](spark, SMALL).count() > 0
+    assert QUERIES[name](spark, SMALL).count() > 0
 
 
 def test_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) <= set(queries())
 
 
 def test_entry(spark):
