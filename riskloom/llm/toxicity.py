@@ -230,7 +230,7 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string")), F.lit(5)) == 0
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, model: np.ndarray, rows: int = TRAIN_ROWS) -> DataFrame:
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
     """Stored ``doc_id, text, toxic`` of at most ``rows`` labelled documents that may be learnt from, near copies once."""
     usable = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     usable = usable.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -300,7 +300,7 @@ def scored(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, keep_text
     """All columns of ``docs``, the text only if it is to be kept, with ``score`` (0 to 1, in place of a column of
     that name)."""
     model = character_model(docs)
-    sample = labelled_sample(docs, labels, model, rows)
+    sample = labelled_sample(docs, labels, rows)
     weights = evidence(sample, model)
     keep = [c for c in docs.columns if c not in ("score", "features") and (keep_text or c != "text")]
     if not weights:

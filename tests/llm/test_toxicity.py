@@ -113,7 +113,7 @@ def test_held_out_labels_change_nothing(spark):
 
 def test_disguised_copies_score_like_plain_ones(spark, model):
     docs, labels = (spark.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "labels"))
-    weights = evidence(labelled_sample(docs, labels, model), model)
+    weights = evidence(labelled_sample(docs, labels), model)
     scorer = Scorer(model, weights)
     plain = scorer.features("and then the idiot of them was a clown")
     assert plain[0] > 2
