@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import with_fields
+from riskloom.llm.common import Recent, with_fields
 from riskloom.llm.tokens import TextEncoder, id_kind, ranks
 
 LEAF = 1024
@@ -49,7 +49,7 @@ class Encoder:
         self.bytes = dict(zip(self.ranks.values(), self.ranks.keys(), strict=True))
         self.pattern = regex.compile(pattern)
         self.words = TextEncoder(self._pieces, id_kind(max(self.bytes)))
-        self._settled: dict[tuple[int, int], bool] = {}
+        self._settled = Recent(lambda pair: self.merge(self.bytes[pair[0]] + self.bytes[pair[1]]) == list(pair))
 
     # Bytes of one piece
 
@@ -101,12 +101,7 @@ class Encoder:
 
     def settled(self, left: int, right: int) -> bool:
         """Whether merging the bytes of the two tokens gives the two."""
-        key = (left, right)
-        if key not in self._settled:
-            if len(self._settled) > 500_000:
-                self._settled.clear()
-            self._settled[key] = self.merge(self.bytes[left] + self.bytes[right]) == [left, right]
-        return self._settled[key]
+        return self._settled[left, right]
 
     def join_tokens(self, left: Sequence[int], right: Sequence[int]) -> list[int]:
         """The merged bytes of two runs, from the tokens of each."""

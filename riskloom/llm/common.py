@@ -2,16 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 MOST_BUCKETS = 4096
+MOST_REMEMBERED = 200_000
 SUMMARY_GROUPS = 64
 
 
+class Recent(dict):
+    """What ``make`` gives for a key, remembered for the keys met lately.
+
+    Two generations of at most ``MOST_REMEMBERED`` keys: a full one becomes the old one, and keys met again move
+    into the new one. So keys that are frequent stay, and memory is bounded whatever comes.
+    """
+
+    def __init__(self, make: Callable[[Any], Any]):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: Any) -> Any:
+        if len(self) >= MOST_REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        value = self.old[key] if key in self.old else self.make(key)
+        self[key] = value
+        return value
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

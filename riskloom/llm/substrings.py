@@ -35,7 +35,7 @@ from riskloom.llm.common import task_count, with_fields
 
 WINDOW = 50
 BLOCK = 25
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
 #: Odd multipliers of the two rolling hashes.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 LOW_BITS = np.uint64((1 << 30) - 1)

@@ -16,9 +16,9 @@ from functools import lru_cache
 
 import numpy as np
 
+from riskloom.llm.common import Recent
+
 Encode = Callable[[str], list[int]]
-#: Words kept by a worker; the memory starts anew beyond it, which changes no result.
-MOST_WORDS = 1_000_000
 #: Letters up to here are letters in every version of Unicode that the libraries may follow.
 LAST_LATIN = "\u024f"
 #: Marks that end a letter's run: no alternative of the pattern goes from a letter into one of these.
@@ -36,18 +36,16 @@ def byte_chars() -> dict[int, int]:
 BYTE_CHARS = byte_chars()
 
 
-class WordMemory(dict):
+class WordMemory(Recent):
     """Ids of ``lead + word`` as bytes; None for a word after which a text must not be cut."""
 
     def __init__(self, encode: Encode, lead: str, code: str, letters: Encode | None, start: WordMemory | None = None):
-        super().__init__()
+        super().__init__(self._ids)
         self.encode, self.lead, self.code, self.letters = encode, lead, code, letters or encode
         self.start = self if start is None else start
         self.marks: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> bytes | None:
-        if len(self) >= MOST_WORDS:
-            self.clear()
+    def _ids(self, word: str) -> bytes | None:
         if word.isalpha() and max(word) <= LAST_LATIN:
             ids = array(self.code, self.letters(self.lead + word)).tobytes()
         elif (not word and self.lead) or word[-1:].isspace():
@@ -62,7 +60,6 @@ class WordMemory(dict):
                 ids = self[word[:line]] + self._mark("\n") + self.start[word[line + 1 :]]
             else:
                 ids = array(self.code, self.encode(self.lead + word)).tobytes()
-        self[word] = ids
         return ids
 
     def _mark(self, mark: str) -> bytes:

@@ -33,7 +33,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import with_fields
+from riskloom.llm.common import Recent, with_fields
 from riskloom.session import stored, use_checkpoint_dir
 
 TRAIN_ROWS = 20_000
@@ -41,7 +41,6 @@ LEAST_SHARE = 0.01
 MOST_EVIDENCE = 20_000
 #: A word's beginnings of these lengths are evidence beside the word.
 BEGINNINGS = (4, 5, 6, 7)
-MOST_WORDS = 1_000_000
 #: The letters that a symbol may stand for.
 LOOKALIKES = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
@@ -108,7 +107,7 @@ class Restorer:
 
     def __init__(self, model: np.ndarray):
         self.model = model.tolist()
-        self._known: dict[str, str] = {}
+        self._known = Recent(self._restored)
 
     def decode(self, region: str) -> str:
         """The likeliest reading of a region: a Viterbi search whose states are the last two classes."""
@@ -145,22 +144,18 @@ class Restorer:
 
     def word(self, word: str) -> str:
         """A lower-cased word without the marks around it, restored if it is disguised."""
-        known = self._known.get(word)
-        if known is None:
-            if len(self._known) >= MOST_WORDS:
-                self._known.clear()
-            known = word.strip(_EDGES)
-            if not known.isalpha():
-                known = _TRAILING.sub("", known).rstrip(_EDGES)
-            if _DISGUISED.search(known):
-                known = self.decode(known).strip(_EDGES)
-            self._known[word] = known
-        return known
+        return self._known[word]
+
+    def _restored(self, word: str) -> str:
+        known = word.strip(_EDGES)
+        if not known.isalpha():
+            known = _TRAILING.sub("", known).rstrip(_EDGES)
+        return self.decode(known).strip(_EDGES) if _DISGUISED.search(known) else known
 
     def words(self, text: str) -> list[str]:
         """The text's words, restored; single letters that stand in a row are read together."""
         found = text.lower().split()
-        restored = list(map(self.word, found))
+        restored = list(map(self._known.__getitem__, found))
         alone = np.fromiter(map(len, found), np.int64, len(found)) == 1
         if (alone[:-2] & alone[1:-1] & alone[2:]).any():
             out, at = [], 0
@@ -204,21 +199,16 @@ class Scorer:
 
     def __init__(self, model: np.ndarray, weights: dict[str, float]):
         self.restorer, self.weights = Restorer(model), weights
-        self._known: dict[str, tuple[str, ...]] = {}
+        self._known = Recent(self._found)
 
     def _found(self, word: str) -> tuple[str, ...]:
-        known = self._known.get(word)
-        if known is None:
-            if len(self._known) >= MOST_WORDS:
-                self._known.clear()
-            known = self._known[word] = tuple(e for e in evidence_of(word) if e in self.weights)
-        return known
+        return tuple(e for e in evidence_of(word) if e in self.weights)
 
     def features(self, text: str) -> list[float]:
         words = self.restorer.words(text)
         found, hits = set(), 0
-        for word in set(words):
-            if known := self._found(word):
+        for known in map(self._known.__getitem__, set(words)):
+            if known:
                 found.update(known)
                 hits += 1
         strongest = max((self.weights[e] for e in found), default=0.0)

@@ -21,3 +21,15 @@ def test_words_give_the_ids_of_the_text(text):
 @given(st.text(alphabet=st.sampled_from(list("ab's.1 \n\t \x1cé漢")), max_size=30))
 def test_any_text(text):
     assert json_encoder(PATH).ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_memory_is_bounded_and_keeps_what_is_met_again(monkeypatch):
+    from riskloom.llm import common
+
+    monkeypatch.setattr(common, "MOST_REMEMBERED", 3)
+    made = []
+    memory = common.Recent(lambda key: made.append(key) or -key)
+    for key in (1, 2, 3, 1, 4, 1, 5, 6, 1, 2):
+        assert memory[key] == -key
+        assert len(memory) <= 3 and len(memory.old) <= 3
+    assert made.count(1) == 1 and made.count(2) == 2
