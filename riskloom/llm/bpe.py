@@ -33,8 +33,12 @@ from riskloom.llm.common import Recent, with_fields
 from riskloom.llm.tokens import TextEncoder, id_kind, ranks
 
 LEAF = 1024
-#: Bytes merged by looking at every pair again after each merge; longer runs use a heap.
+#: Bytes merged by a scan for the best pair; longer runs use a heap.
 SHORT = 64
+#: Stands for the rank of a pair that no merge makes; above all ranks.
+NEVER = 1 << 60
+#: Rows that a task holds as Python values at a time.
+ROWS = 500
 #: Characters searched for a blank before the other safe cuts are tried.
 NEAR = 256
 _CUT = r"(?<=\p{L})(?!\p{L})|(?<=\p{N})(?!\p{N})|(?<=[^\s\p{L}\p{N}])(?=\s)"
@@ -48,7 +52,8 @@ class Encoder:
         self.ranks = ranks(path)
         self.bytes = dict(zip(self.ranks.values(), self.ranks.keys(), strict=True))
         self.pattern = regex.compile(pattern)
-        self.words = TextEncoder(self._pieces, id_kind(max(self.bytes)))
+        # A word of letters, with or without a blank before it, is one piece.
+        self.words = TextEncoder(self._pieces, id_kind(max(self.bytes)), lambda word: self.piece(word.encode()))
         self._settled = Recent(lambda pair: self.merge(self.bytes[pair[0]] + self.bytes[pair[1]]) == list(pair))
 
     # Bytes of one piece
@@ -58,15 +63,16 @@ class Encoder:
         if len(piece) > SHORT:
             return self._merge_long(piece)
         ranked, parts = self.ranks, [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            best, at = None, 0
-            for i in range(len(parts) - 1):
-                rank = ranked.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
-                break
+        pairs = [ranked.get(piece[i : i + 2], NEVER) for i in range(len(piece) - 1)]
+        while pairs and (best := min(pairs)) != NEVER:
+            at = pairs.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]
+            # Only the pairs on either side of the new part have changed.
+            if at < len(pairs):
+                pairs[at] = ranked.get(parts[at] + parts[at + 1], NEVER)
+            if at:
+                pairs[at - 1] = ranked.get(parts[at - 1] + parts[at], NEVER)
         return [ranked[p] for p in parts]
 
     def _merge_long(self, piece: bytes) -> list[int]:
@@ -196,7 +202,7 @@ class Encoder:
 
     def decode(self, ids: Sequence[int]) -> bytes:
         if len(ids) <= LEAF:
-            return b"".join([self.bytes[i] for i in ids])
+            return b"".join(map(self.bytes.__getitem__, ids))
         middle = len(ids) // 2
         return self.decode(ids[:middle]) + self.decode(ids[middle:])
 
@@ -206,16 +212,23 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in smaller batches, so that few are Python values at the same time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS):
+            yield batch.slice(start, ROWS)
+
+
 def encoded(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """Replace the text by its ``ids``; all other columns stay."""
     others = [c for c in df.columns if c not in (text, "ids")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, pattern).encode
-        for batch in batches:
+        for batch in _slices(batches):
             found = [encode(t or "") for t in batch.column(0).to_pylist()]
             ends = np.cumsum([0, *map(len, found)])
-            flat = np.concatenate(found).astype(np.int32) if found else np.empty(0, np.int32)
+            flat = np.concatenate(found).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], ids], names=[*others, "ids"])
 
@@ -229,7 +242,7 @@ def decoded(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = encoder(path, pattern).decode
-        for batch in batches:
+        for batch in _slices(batches):
             found = [None if i is None else decode(i) for i in batch.column(batch.num_columns - 1).to_pylist()]
             data = pa.array(found, pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, data], names=[*others, ids, "decoded"])

@@ -91,6 +91,11 @@ class TextEncoder:
         parts, held = [], None
         for at, word in enumerate(words):
             part = word if at == 0 else f" {word}"
+            if held is None:
+                known = self.later[word] if at else self.first[word]
+                if known is not None:
+                    parts.append(known)
+                    continue
             held = part if held is None else held + part
             if held and not held[-1].isspace():
                 parts.append(np.array(self.encode(held), dtype=self.kind).tobytes())
