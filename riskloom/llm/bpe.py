@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import Recent, with_fields
+from riskloom.llm.common import Recent, slices, with_fields
 from riskloom.llm.tokens import TextEncoder, id_kind, ranks
 
 LEAF = 1024
@@ -37,8 +37,6 @@ LEAF = 1024
 SHORT = 64
 #: Stands for the rank of a pair that no merge makes; above all ranks.
 NEVER = 1 << 60
-#: Rows that a task holds as Python values at a time.
-ROWS = 500
 #: Characters searched for a blank before the other safe cuts are tried.
 NEAR = 256
 _CUT = r"(?<=\p{L})(?!\p{L})|(?<=\p{N})(?!\p{N})|(?<=[^\s\p{L}\p{N}])(?=\s)"
@@ -212,20 +210,13 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows in smaller batches, so that few are Python values at the same time."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, ROWS):
-            yield batch.slice(start, ROWS)
-
-
 def encoded(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """Replace the text by its ``ids``; all other columns stay."""
     others = [c for c in df.columns if c not in (text, "ids")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, pattern).encode
-        for batch in _slices(batches):
+        for batch in slices(batches):
             found = [encode(t or "") for t in batch.column(0).to_pylist()]
             ends = np.cumsum([0, *map(len, found)])
             flat = np.concatenate(found).astype(np.int32)
@@ -242,7 +233,7 @@ def decoded(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = encoder(path, pattern).decode
-        for batch in _slices(batches):
+        for batch in slices(batches):
             found = [None if i is None else decode(i) for i in batch.column(batch.num_columns - 1).to_pylist()]
             data = pa.array(found, pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, data], names=[*others, ids, "decoded"])

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import in_order, running_starts
+from riskloom.llm.common import in_order, running_starts, slices
 from riskloom.llm.files import RangeFile, fresh_folder, write_file
 from riskloom.llm.tokens import json_encoder
 from riskloom.session import stored
@@ -143,7 +143,7 @@ def write_coded(df: DataFrame, vocabulary: str, end_id: int, file_ids: int = FIL
             row = {"bucket": bucket, "file": number, "path": path, "n_docs": len(docs), "n_tokens": len(ids)}
             return pa.RecordBatch.from_pylist([row])
 
-        for batch in batches:
+        for batch in slices(batches):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 parts.append(encode(text) + end)
                 docs.append(NO_ID if doc is None else doc)

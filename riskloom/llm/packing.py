@@ -26,6 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import slices
 from riskloom.llm.tokens import json_encoder
 from riskloom.session import stored
 
@@ -118,7 +119,7 @@ def tokenized(df: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
         part, sent = TaskContext.get().partitionId(), {}
         encode = json_encoder(vocabulary)
         end = np.array([end_id], encode.kind).tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             sources = batch.column(2).to_pylist()
             ids = [encode(text) + end for text in batch.column(1).to_pylist()]
             counts, at = [len(i) // encode.kind.itemsize for i in ids], []

@@ -30,7 +30,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import with_fields
+from riskloom.llm.common import slices, with_fields
 from riskloom.llm.files import fresh_folder
 from riskloom.session import stored, use_checkpoint_dir
 
@@ -272,7 +272,7 @@ def examples(df: DataFrame, most: int = TRAIN_CANDIDATES) -> DataFrame:
     """Stored ``kind, label, draw, features`` of at most ``most`` candidates (each with its rewritings)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 proposed = candidates(text or "")
@@ -354,7 +354,7 @@ def with_spans(df: DataFrame, trees: Trees | None) -> DataFrame:
     others = [c for c in df.columns if c not in ("text", "base", "spans", "redacted")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             base_out, all_out, redacted = [], [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 base = base_spans(text or "")

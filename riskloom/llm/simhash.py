@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import with_fields
+from riskloom.llm.common import slices, with_fields
 from riskloom.llm.components import components
 from riskloom.session import stored
 
@@ -69,7 +69,7 @@ def fingerprints(df: DataFrame, text: str = "text", size: int = SHINGLE) -> Data
     others = [c for c in df.columns if c not in (text, "fingerprint")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = np.array([simhash(t or "", size) for t in batch.column(0).to_pylist()], np.uint64)
             found = pa.array(found.view(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], found], names=[*others, "fingerprint"])

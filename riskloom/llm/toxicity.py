@@ -33,7 +33,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import Recent, with_fields
+from riskloom.llm.common import Recent, slices, with_fields
 from riskloom.session import stored, use_checkpoint_dir
 
 TRAIN_ROWS = 20_000
@@ -82,7 +82,7 @@ def character_model(df: DataFrame, text: str = "text") -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CLASSES**3, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for t in batch.column(0).to_pylist():
                 if t:
                     total += trigram_counts(t)
@@ -176,7 +176,7 @@ def restored(df: DataFrame, model: np.ndarray, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
-        for batch in batches:
+        for batch in slices(batches):
             found = [" ".join(restorer.words(t or "")) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found, pa.string())], names=[text, *others, "restored"]
@@ -278,7 +278,7 @@ def features_of(df: DataFrame, model: np.ndarray, weights: dict[str, float], *ke
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model, weights)
-        for batch in batches:
+        for batch in slices(batches):
             found = [scorer.features(t or "") for t in batch.column(place).to_pylist()]
             values = pa.array(found, pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], values], names=[*keep, "features"])

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import bucket_of, cut_points, task_count, with_fields
+from riskloom.llm.common import bucket_of, cut_points, slices, task_count, with_fields
 
 GRAM = 16
 WINDOW = 85
@@ -101,7 +101,7 @@ def fingerprints(df: DataFrame, text: str = "text", gram: int = GRAM, window: in
     result = with_fields(df.select(*others), "hashes array<bigint>, positions array<bigint>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [winnow(t or "", gram, window) for t in batch.column(0).to_pylist()]
             kinds = pa.list_(pa.int64())
             arrays = [pa.array([x[i].astype(np.int64) for x in found], kinds) for i in (0, 1)]
@@ -159,7 +159,7 @@ def compared_with_next(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, over = None, False
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for k, t, extra in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if over:
