@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 MOST_BUCKETS = 4096
 MOST_REMEMBERED = 200_000
 SLICE_ROWS = 500
+BATCH_ROWS = 1000
 SUMMARY_GROUPS = 64
 
 
@@ -43,7 +44,19 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, SLICE_ROWS)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let the session pass rows to Python in batches of a size that suits texts.
+
+    The usual ten thousand rows are tens of megabytes of text, which every task holds in the JVM and in Python,
+    going and coming; both keep that memory for later stages.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(setting)) > BATCH_ROWS:
+        spark.conf.set(setting, BATCH_ROWS)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
