@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import table
+from riskloom.llm.common import small_batches, table
 from riskloom.llm.pii import fitted, with_spans
 from riskloom.llm.queries import packed
 from riskloom.llm.simhash import one_of_each
@@ -54,19 +54,23 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return one_of_each(docs)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
     return _back(without_repeats(_apart(docs)), docs, text)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return _back(with_spans(_apart(docs), fitted(docs)), docs, F.col("redacted"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return packed(docs)
 
 
