@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.catalog import check
 from riskloom.catalog.frames import stored_features
 from riskloom.catalog.sql import FRAME, SAMPLE_DRAW, holdout_of
-from riskloom.config import DRIFT_SAMPLE_ROWS, FEATURES, PARAM_GRIDS
+from riskloom.config import DRIFT_SAMPLE_ROWS, FEATURES, PARAM_GRIDS, TrainingSettings
 from riskloom.operators import models, scoring
 from riskloom.operators.curve import StepAveragePrecision
 from riskloom.operators.sampling import exact_stratified_holdout, ordered_sample, search_sample, stratified_folds
@@ -18,8 +18,8 @@ from riskloom.session import stored
 COEFFICIENTS = {"log_amount": 0.5, "hour_of_day": -0.125, "type_TRANSFER": 1.5, "log_orig_txn_count": 0.25}
 INTERCEPT, THRESHOLD = -2.0, 0.5
 MARGIN = " + ".join(f'{w} * "{c}"' for c, w in COEFFICIENTS.items()) + f" + {INTERCEPT}"
-#: Settings that the searches over trees try; each is as many fits as there are folds.
-TREE_SETTINGS = 2
+#: Settings that the searches over trees try, as many as a training run; each is as many fits as there are folds.
+TREE_SETTINGS = TrainingSettings().search_n_iter
 
 
 def _parts(spark, folder):
