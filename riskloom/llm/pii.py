@@ -8,34 +8,40 @@ digits with any marks between, and long tokens of mixed characters. Trees booste
 by its format (counts, runs, check digits, entropy) and context (what stands around it, words before it).
 There are no labelled spans, so the trees learn from what is certain: candidates that hold a base span, or a
 key behind a word that announces one, are positive, as are copies of them written otherwise (without the
-plus sign, with "(at)"); the rest is negative. A third of the candidates only serves to calibrate: for each
+plus sign, with "(at)"); the rest is negative. A third of the candidates, by hash, only serves to calibrate: for each
 generator, the threshold is the lowest with a precision of ``PRECISION``. Candidates over it that touch no base span are added.
 
-The trees learn from at most ``TRAIN_CANDIDATES`` candidates, drawn by hash from those of all texts. Defined
-results: null texts are empty and have no spans; no candidates, or of one class only, add nothing; rows
+The trees learn from at most ``TRAIN_CANDIDATES`` candidates of each kind and label, drawn by hash from those of all
+texts, so a rare kind is learnt beside millions of others. The thresholds come from the scores of every candidate
+of the third, summed in ``BINS`` steps by kind and label. Defined results: null texts are empty and have no spans; no candidates, or of one class only, add nothing; rows
 with equal ids are handled each. Offsets are code points.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import slices, with_fields
+from riskloom.llm.common import SLICE_ROWS, slices, with_fields
 from riskloom.llm.files import fresh_folder
 from riskloom.session import stored, use_checkpoint_dir
 
 TRAIN_CANDIDATES = 20_000
 PRECISION = 0.97
+#: Steps of the scores that thresholds are taken from.
+BINS = 1 << 16
 ROUNDS, DEPTH = 20, 4
 BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("address", "number", "secret")
@@ -268,59 +274,126 @@ def _saved_trees(model, spark, folder: str) -> list[list[tuple]]:
     return [trees[i] for i in sorted(trees)]
 
 
+def draw_of(doc_id: int | None, text: str, span: Span) -> int:
+    """The place of a candidate in the hash order, from 0 to 2**63."""
+    start, end, kind = span
+    return xxhash.xxh3_64_intdigest(f"{doc_id}:{start}:{kind}:{text[start:end]}") >> 1
+
+
+def labelled(batch: pa.RecordBatch, held: bool) -> Iterator[tuple[str, int, int, str, Span]]:
+    """``kind, label, draw, text, span`` of the candidates of a batch, of the calibration third or of the others."""
+    for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        base = None
+        for span in candidates(text or ""):
+            draw = draw_of(doc, text, span)
+            if (draw % 3 == 0) == held:
+                base = base_spans(text) if base is None else base
+                yield span[2], int(certain(text, span, base)), draw, text, span
+
+
+def example_rows(text: str, span: Span, label: int) -> list[list[float]]:
+    """Features of a candidate and of its rewritings."""
+    rows = [features(text, *span)]
+    if label:
+        rows += [features(t, s, e, span[2]) for t, s, e in rewritten(text, span)]
+    return rows
+
+
+def _read(df: DataFrame) -> DataFrame:
+    return df.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+
+
 def examples(df: DataFrame, most: int = TRAIN_CANDIDATES) -> DataFrame:
-    """Stored ``kind, label, draw, features`` of at most ``most`` candidates (each with its rewritings)."""
+    """Stored ``kind, label, draw, features`` of at most ``most`` candidates of each kind and label (each with its
+    rewritings), none of them of the calibration third."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Of each kind and label, the ``most`` least draws of the task.
+        kept: dict[tuple[str, int], list] = {}
+        number = 0
+        for batch in slices(batches):
+            for kind, label, draw, text, span in labelled(batch, held=False):
+                own = kept.setdefault((kind, label), [])
+                number += 1
+                if len(own) < most:
+                    heapq.heappush(own, (-draw, number, np.array(example_rows(text, span, label))))
+                elif -draw > own[0][0]:
+                    heapq.heapreplace(own, (-draw, number, np.array(example_rows(text, span, label))))
+        for (kind, label), own in kept.items():
+            for at in range(0, len(own), SLICE_ROWS):
+                part = own[at : at + SLICE_ROWS]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([kind] * len(part), pa.string()),
+                        pa.array([label] * len(part), pa.int32()),
+                        pa.array([-draw for draw, _, _ in part], pa.int64()),
+                        pa.array([rows.tolist() for _, _, rows in part], pa.list_(pa.list_(pa.float64()))),
+                    ],
+                    names=["kind", "label", "draw", "rows"],
+                )
+
+    found = stored(_read(df).mapInArrow(run, "kind string, label int, draw bigint, rows array<array<double>>"))
+    drawn = [found.limit(0)]
+    # At most two rows a kind.
+    for kind, label, count in found.groupBy("kind", "label").count().collect():
+        # Draws are uniform: few more than ``most`` are below this one, and only those are sorted.
+        below = min(2**63 - 1, int((most + 8 * math.sqrt(most) + 64) / count * 2**63))
+        own = found.filter((F.col("kind") == kind) & (F.col("label") == label) & (F.col("draw") <= below))
+        drawn.append(own.orderBy("draw", "rows").limit(most))
+    return stored(reduce(DataFrame.union, drawn).select("kind", "label", "draw", F.explode("rows").alias("features")))
+
+
+def score_sums(df: DataFrame, trees: Trees) -> DataFrame:
+    """``kind, bin, n, positive``: how many candidates of the calibration third, with rewritings, have a score of
+    ``bin / BINS`` or up to a step more; from a score of 0.5 on, as no threshold is lower."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, len(ADDED_KINDS), BINS + 1), np.int64)
         for batch in slices(batches):
-            out = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                proposed = candidates(text or "")
-                base = base_spans(text) if proposed else []
-                for span in proposed:
-                    sure = certain(text, span, base)
-                    rows = [features(text, *span)]
-                    if sure:
-                        rows += [features(t, s, e, span[2]) for t, s, e in rewritten(text, span)]
-                    out.append((doc, span[0], span[2], int(sure), rows))
-            if out:
-                kinds = (pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.list_(pa.list_(pa.float64())))
-                columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "kind", "label", "rows"])
-
-    schema = "doc_id bigint, start bigint, kind string, label int, rows array<array<double>>"
-    found = df.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, schema)
-    drawn = found.withColumn("draw", F.xxhash64("doc_id", "start", "kind")).orderBy("draw", "doc_id", "start").limit(most)
-    return stored(drawn.select("kind", "label", "draw", F.explode("rows").alias("features")))
+            rows, kinds, labels = [], [], []
+            for kind, label, _, text, span in labelled(batch, held=True):
+                own = example_rows(text, span, label)
+                rows += own
+                kinds += [ADDED_KINDS.index(kind)] * len(own)
+                labels += [label] * len(own)
+            if rows:
+                bins = (trees.probabilities(np.array(rows)) * BINS).astype(np.int64)
+                np.add.at(sums[0], (kinds, bins), 1)
+                np.add.at(sums[1], (kinds, bins), labels)
+        kinds, bins = np.nonzero(sums[0][:, BINS // 2 :])
+        bins += BINS // 2
+        arrays = [pa.array([ADDED_KINDS[k] for k in kinds], pa.string()), *(pa.array(c) for c in (bins, sums[0][kinds, bins], sums[1][kinds, bins]))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["kind", "bin", "n", "positive"])
+
+    each = _read(df).mapInArrow(run, "kind string, bin bigint, n bigint, positive bigint")
+    return each.groupBy("kind", "bin").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive"))
 
 
 def fitted(df: DataFrame, most: int = TRAIN_CANDIDATES) -> Trees | None:
     """The trees and calibrated thresholds for the texts of a table; None where nothing can be learnt."""
     spark = df.sparkSession
-    sample = examples(df, most)
-    held = F.pmod("draw", F.lit(3)) == 0
-    train = sample.filter(~held).select("label", array_to_vector("features").alias("features"))
+    train = examples(df, most).select("label", array_to_vector("features").alias("features"))
     if train.select("label").distinct().count() < 2:
         return None
     use_checkpoint_dir(spark)
     classifier = GBTClassifier(labelCol="label", maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, seed=7, maxBins=64)
-    model = classifier.fit(stored(train.withColumn("features", vector_to_array("features"))).withColumn("features", array_to_vector("features")))
+    model = classifier.fit(train)
     trees = Trees(_saved_trees(model, spark, fresh_folder(spark, "trees")), model.treeWeights, {})
-    # At most ``most`` rows and their rewritings.
-    rows = sample.filter(held).select("kind", "label", "features").collect()
+    # At most BINS / 2 + 1 rows a kind.
+    sums = score_sums(df, trees).collect()
     for kind in ADDED_KINDS:
-        own = [r for r in rows if r["kind"] == kind]
-        values = np.array([r["features"] for r in own]).reshape(-1, FEATURES)
-        trees.thresholds[kind] = calibrated(trees.probabilities(values), np.array([r["label"] for r in own], int))
+        own = [r for r in sums if r["kind"] == kind]
+        scores, counts, positive = (np.array([r[c] for r in own], float) for c in ("bin", "n", "positive"))
+        trees.thresholds[kind] = calibrated(scores / BINS, positive, counts=counts)
     return trees
 
 
-def calibrated(scores: np.ndarray, labels: np.ndarray, precision: float = PRECISION) -> float:
+def calibrated(scores: np.ndarray, labels: np.ndarray, precision: float = PRECISION, counts: np.ndarray | None = None) -> float:
     """The lowest score, of 0.5 or more, from which on up the share of positives is at least the precision;
-    over 1 if there is none."""
+    over 1 if there is none. With ``counts``, each score stands for so many and ``labels`` says how many are positive."""
     order = np.argsort(-scores, kind="stable")
     ordered = scores[order]
-    share = np.cumsum(labels[order]) / np.arange(1, len(order) + 1)
+    share = np.cumsum(labels[order]) / (np.arange(1, len(order) + 1) if counts is None else np.cumsum(counts[order]))
     last = np.r_[ordered[1:] != ordered[:-1], True][: len(ordered)]
     good = np.nonzero((share >= precision) & last)[0]
     return max(0.5, float(ordered[good[-1]])) if len(good) else 1.1

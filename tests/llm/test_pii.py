@@ -130,3 +130,20 @@ def test_nulls_repeats_and_nothing_to_learn(rows):
     got = with_spans(frame, None).collect()
     assert sorted((r.base, r.redacted is None) for r in got) == [("", False), ("", True), ("email:0:6", False), ("email:0:6", False)]
     assert with_spans(rows([], "doc_id long, text string"), None).count() == 0
+
+
+def test_a_rare_kind_is_learnt_and_calibrated_beside_a_common_one(rows):
+    """Each kind and label has its own draw, and every candidate of the third counts for the thresholds."""
+    rng = random.Random(5)
+    hexed = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    data = [(i, " ".join(f"number {rng.randint(10**7, 10**9)} of" for _ in range(50))) for i in range(200)]
+    data += [(1000 + i, f"file {hexed(40)} has token={hexed(40)} in it") for i in range(60)]
+    docs = rows(data, "doc_id long, text string")
+    drawn = Counter((r.kind, r.label) for r in examples(docs, 25).collect())
+    assert drawn["secret", 1] == drawn["secret", 0] == drawn["number", 0] == 25
+    trees = fitted(docs, 25)
+    assert trees.thresholds["secret"] <= 1
+    text = f"now token={hexed(40)} ends"
+    assert [(s, e, k) for s, e, k in trees.chosen(text, [])] == [(10, 50, "secret")]
+    held = sum(pii.draw_of(d, t, c) % 3 == 0 for d, t in data for c in candidates(t) if c[2] == "secret" and t[c[0] - 1] == "=")
+    assert sum(r.positive for r in pii.score_sums(docs, trees).collect() if r.kind == "secret") == held
