@@ -112,7 +112,7 @@ def base_spans(text: str) -> list[Span]:
 # Candidates
 
 _AT, _DOT = r"\s?[(\[{]\s?at\s?[)\]}]\s?", r"\s?[(\[{]\s?dot\s?[)\]}]\s?|\sdot\s"
-#: Each generator's pattern; possessive and bounded repetition keeps them linear.
+#: Each generator's pattern; possessive or bounded repetition keeps them linear.
 GENERATORS = {
     "address": re.compile(
         rf"(?<![\w.%+-])[\w.%+-]{{1,64}}+(?:(?:@|{_AT})[\w-]{{1,63}}+(?:(?:\.|{_DOT})[\w-]{{2,63}}+){{1,4}}"
@@ -120,12 +120,12 @@ GENERATORS = {
         re.I,
     ),
     "number": re.compile(r"(?<![\w.])[+(]?[0-9](?:[ ().\-/]{0,3}[0-9]){6,24}+(?!\w)"),
-    "secret": re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/-]{16,128}+={0,2}(?![A-Za-z0-9_+/=-])"),
+    "secret": re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/-]{16,}+={0,2}(?![A-Za-z0-9_+/=-])"),
 }
 _DIGIT = re.compile(r"[0-9]")
 _SPELLED = re.compile(rf"{_AT}|\sdot\s", re.I)
 _AFTER_KEY = re.compile(r"[A-Za-z0-9_-]*(?:pass|pwd|secret|token|key|auth)[A-Za-z0-9_-]*\s{0,2}[=:]\s{0,2}[\"']?$", re.I)
-_KEY_VALUE = re.compile(r"([A-Za-z_-]{2,20})=([A-Za-z0-9_+/-]{8,128})")
+_KEY_VALUE = re.compile(r"([A-Za-z_-]{2,20})=([A-Za-z0-9_+/-]{8,}+)")
 _CUES = (
     re.compile(r"mail|contact|write|e-mail", re.I),
     re.compile(r"phone|call|tel|mobile|fax", re.I),

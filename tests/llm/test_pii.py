@@ -147,3 +147,15 @@ def test_a_rare_kind_is_learnt_and_calibrated_beside_a_common_one(rows):
     assert [(s, e, k) for s, e, k in trees.chosen(text, [])] == [(10, 50, "secret")]
     held = sum(pii.draw_of(d, t, c) % 3 == 0 for d, t in data for c in candidates(t) if c[2] == "secret" and t[c[0] - 1] == "=")
     assert sum(r.positive for r in pii.score_sums(docs, trees).collect() if r.kind == "secret") == held
+
+
+@pytest.mark.parametrize("size", [128, 129, 5000])
+def test_long_secrets_are_proposed_whole(size):
+    value = ("k3Y" * size)[:size]
+    assert candidates(f"token={value} rest") == [(6, 6 + size, "secret")]
+    assert candidates(f"see {value}== rest") == [(4, 6 + size, "secret")]
+    assert redact(f"token={value}", candidates(f"token={value}")) == "token=[secret]"
+    start = time.time()
+    for text in ("a1" * 300_000 + "===", "token=" + "a1" * 300_000, "ab=" + "a" * 300_000 + "=" * 5, "token=a1b2c3d4" * 30_000):
+        candidates(text)
+    assert time.time() - start < 20
