@@ -3,7 +3,8 @@
 Every run of ``GRAM`` code points is hashed; of each window of ``WINDOW`` consecutive hashes the
 smallest is chosen, of equal ones the rightmost. A window that keeps its choice adds nothing. Two
 texts that share ``GRAM + WINDOW - 1`` code points in a row share a chosen hash, and no match
-shorter than ``GRAM`` is seen. Positions of the chosen grams are kept.
+shorter than ``GRAM`` is seen. Positions of the chosen grams are kept. With windows of 8, runs of 23 code points
+are never missed and about two grams in nine are chosen.
 
 Defined results: a null text is the empty text, whose fingerprint is empty. A text shorter than
 ``GRAM`` is one gram. A text with fewer grams than a window has one choice. Likeness is the share of
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import bucket_of, cut_points, slices, task_count, with_fields
 
 GRAM = 16
-WINDOW = 85
+#: Short, so that a text of 46 code points already shares a hash with itself half replaced.
+WINDOW = 8
 #: Any odd constants do: the first is the base of the rolling hash, the others spread its bits.
 BASE = 0x9E3779B97F4A7C15
 SPREAD = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)

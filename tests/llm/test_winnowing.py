@@ -5,7 +5,7 @@ import pytest
 
 from riskloom.llm import winnowing
 from riskloom.llm.queries import op9_winnowing
-from riskloom.llm.winnowing import compared_with_next, fingerprints, gram_hashes, likeness, winnow
+from riskloom.llm.winnowing import compared_with_next, edited, fingerprints, gram_hashes, likeness, winnow
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -78,3 +78,12 @@ def test_query_matches_brute_force(spark):
         assert got[k].edited_sha256 == hashlib.sha256(e.encode()).hexdigest()
         assert got[k].fingerprint == "".join(f"{h:08x}" for h in winnow(t)[0])
         assert got[k].near_next == likeness(winnow(t)[0], winnow(n)[0])
+
+
+@pytest.mark.parametrize("size", [46, 60, 75, 100, 150, 300])
+def test_half_edited_texts_are_nearer_than_the_next(spark, size):
+    texts = [r.text[-size:] for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").collect() if r.text and len(r.text) >= size]
+    texts = sorted(set(texts))
+    for text, other in zip(texts, texts[1:], strict=False):
+        own = winnow(text)[0]
+        assert likeness(own, winnow(edited(text, other))[0]) > 0
