@@ -12,8 +12,13 @@ Windows are full, so nothing is padded but the rest of the corpus; that is cut i
 lengths are powers of two. A document is cut where its window ends.
 
 Defined results: a null text is the empty text, a null source the empty source. Every document ends
-with the given id, so none is without tokens. The ``MOST_QUEUES`` largest sources have queues of their
-own and all others share one; no row is lost by it. Queues are in the order of the stored token table.
+with the given id, so none is without tokens. Queues are in the order of the stored token table.
+
+Every source is a queue. Those of the ``MOST_QUEUES`` largest (sources with a target first) are known to every
+task. All others are queues under one that stands for them and has the sum of their shares; its tokens go in the
+order in which they are due by the same rule, source by source. That order is a distributed sort of these tokens, so
+no number of sources meets in one task. Where there are targets, sources without one are apart from those with one.
+A source under the common queue that runs dry leaves its share to the others there.
 """
 
 from __future__ import annotations
@@ -23,15 +28,21 @@ from collections.abc import Iterator, Mapping
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import slices
+from riskloom.llm.common import running_starts, slices, task_count
 from riskloom.llm.tokens import json_encoder
 from riskloom.session import stored
 
 WINDOW = 2048
 MOST_QUEUES = 256
+#: Tokens of a document that are rows of one batch.
+MOST_AT_ONCE = 10_000
+PIECES = (
+    "doc_id bigint, source string, start bigint, length bigint, ids binary, "
+    "doc_tokens bigint, sequence_id bigint, offset bigint"
+)
 
 
 class Mixture:
@@ -142,28 +153,111 @@ def tokenized(df: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     return stored(rows.mapInArrow(run, schema))
 
 
-def queues_of(tokens: DataFrame, targets: Mapping[str, float] | None) -> tuple[DataFrame, Mixture]:
-    """``source, part, queue, before`` for the stored tokens, and the mixture of their queues."""
+def queues_of(tokens: DataFrame, targets: Mapping[str, float] | None) -> tuple[DataFrame, Mixture, int]:
+    """``source, part, queue, before, share`` for the stored tokens, where ``before`` counts the tokens of the source
+    in earlier parts; the mixture of the queues; and the number of the first queue that sources share."""
+    spark = tokens.sparkSession
     parts = stored(tokens.groupBy("source", "part").agg(F.sum("n").alias("n")))
-    largest = parts.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "source")
+    sources = parts.groupBy("source").agg(F.sum("n").alias("n"))
+    wanted: Column = F.col("n").cast("double")
+    if targets is not None:
+        given = spark.createDataFrame([(k, float(v)) for k, v in targets.items() if v > 0], "source string, wanted double")
+        sources, wanted = sources.join(F.broadcast(given), "source", "left"), F.coalesce("wanted", F.lit(0.0))
+    sources = stored(sources.select("source", "n", wanted.alias("wanted")))
+    largest = sources.orderBy(F.desc(F.col("wanted") > 0), F.desc("n"), "source")
     names = [r["source"] for r in largest.limit(MOST_QUEUES).collect()]
-    numbered = tokens.sparkSession.createDataFrame(
-        [(name, i) for i, name in enumerate(names)], "source string, queue int"
-    )
+    numbered = spark.createDataFrame([(name, i) for i, name in enumerate(names)], "source string, queue int")
     # At most MOST_QUEUES rows.
-    queued = parts.join(F.broadcast(numbered), "source", "left").fillna({"queue": len(names)})
-    earlier = Window.partitionBy("queue").orderBy("part", "source").rowsBetween(Window.unboundedPreceding, -1)
-    starts = queued.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    lengths = np.zeros(len(names) + 1, np.int64)
-    for row in queued.groupBy("queue").agg(F.sum("n").alias("n")).collect():
-        lengths[row["queue"]] = row["n"]
-    kept = max(1, len(names) + bool(lengths[-1]))
-    shares = np.maximum(lengths[:kept].astype(float), 1.0)
-    if targets is not None:
-        shares = np.array([float(targets.get(name, 0)) for name in [*names, ""]][:kept])
-        # A source without a target is served when all others are dry.
-        shares[shares <= 0] = 1e-9 * max(1e-300, shares.max())
-    return stored(starts.select("source", "part", "queue", "before")), Mixture(lengths[:kept], shares)
+    queued = sources.join(F.broadcast(numbered), "source", "left")
+    common = F.when(F.col("wanted") > 0, len(names)).otherwise(len(names) + 1)
+    queued = queued.withColumn("queue", F.coalesce("queue", common))
+    # Sources without a target are equal among themselves.
+    queued = queued.withColumn("share", F.when(F.col("wanted") > 0, F.col("wanted")).otherwise(F.lit(1.0)))
+    queued = stored(queued.select("source", "queue", "n", "wanted", "share"))
+    # A source has a row a part at most.
+    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    starts = starts.select("source", "part", "before").join(queued.select("source", "queue", "share"), "source")
+    lengths, shares, members = np.zeros(len(names) + 2, np.int64), np.zeros(len(names) + 2), np.ones(len(names) + 2)
+    sums = queued.groupBy("queue").agg(F.sum("n").alias("n"), F.sum("wanted").alias("wanted"), F.count(F.lit(1)).alias("m"))
+    for row in sums.collect():
+        lengths[row["queue"]], shares[row["queue"]], members[row["queue"]] = row["n"], row["wanted"], row["m"]
+    kept = max(1, int(np.nonzero(lengths)[0].max(initial=0)) + 1)
+    lengths, shares, members = lengths[:kept], shares[:kept], members[:kept]
+    # A source without a target is served when all others are dry.
+    shares = np.where(shares > 0, shares, members * 1e-9 * (max(1e-300, shares.max()) if targets is not None else 1.0))
+    return stored(starts.select("source", "part", "queue", "before", "share")), Mixture(lengths, shares), len(names)
+
+
+def shared_pieces(placed: DataFrame, mixture: Mixture, first: int, kind: np.dtype) -> DataFrame:
+    """Pieces of the documents whose sources share a queue (those from ``first`` on)."""
+    schema = "queue int, due double, source string, j bigint, doc_id bigint, start bigint, doc_tokens bigint, id bigint"
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Every token with when it is due and its place in its source."""
+        for batch in slices(batches):
+            for row in range(batch.num_rows):
+                doc_id, source, queue, share, at, n, ids = (c[row].as_py() for c in batch.columns)
+                ids = np.frombuffer(ids, kind)
+                for low in range(0, n, MOST_AT_ONCE):
+                    start = np.arange(low, min(n, low + MOST_AT_ONCE))
+                    same = [pa.array([v] * len(start), t) for v, t in ((queue, pa.int32()), (source, pa.string()), (doc_id, pa.int64()), (n, pa.int64()))]
+                    arrays = [same[0], pa.array((at + start + 0.5) / share), same[1], pa.array(at + start), same[2], pa.array(start), same[3]]
+                    arrays.append(pa.array(ids[start].astype(np.int64)))
+                    yield pa.RecordBatch.from_arrays(arrays, names=["queue", "due", "source", "j", "doc_id", "start", "doc_tokens", "id"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, place = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            more = [pa.array(np.full(batch.num_rows, part, np.int32)), pa.array(np.arange(place, place + batch.num_rows))]
+            place += batch.num_rows
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "task", "place"])
+
+    tokens = placed.select("doc_id", "source", "queue", "share", "at", "n", "ids").mapInArrow(single, schema)
+    order = ["queue", "due", "source", "j"]
+    dealt = tokens.repartitionByRange(task_count(placed), *order).sortWithinPartitions(*order)
+    # Stored, as ranges are drawn anew by each run.
+    ordered = stored(dealt.mapInArrow(counted, f"{schema}, task int, place bigint"))
+    # A row a task.
+    totals = running_starts(ordered.groupBy("task").agg(F.count(F.lit(1)).alias("n")), "n", "task")
+    ordered = ordered.join(F.broadcast(totals.select("task", "before")), "task")
+    ordered = ordered.select("queue", "source", "j", "doc_id", "start", "doc_tokens", "id", (F.col("before") + F.col("place")).alias("place"))
+    earlier = np.cumsum(mixture.lengths[first:]) - mixture.lengths[first:]
+
+    def in_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            queue, place = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 7))
+            place = place - earlier[queue - first].astype(np.int64)
+            window, ahead = np.empty_like(place), np.empty_like(place)
+            for number in np.unique(queue):
+                mine = np.nonzero(queue == number)[0]
+                windows, sent, before = mixture.cover(int(number), int(place[mine].min()), int(place[mine].max()) + 1)
+                at = np.searchsorted(sent, place[mine], side="right") - 1
+                window[mine], ahead[mine] = windows[at], before[at]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:7], pa.array(window), pa.array(ahead)],
+                names=["queue", "source", "j", "doc_id", "start", "doc_tokens", "id", "sequence_id", "ahead"],
+            )
+
+    schema = "queue int, source string, j bigint, doc_id bigint, start bigint, doc_tokens bigint, id bigint, sequence_id bigint, ahead bigint"
+    found = ordered.mapInArrow(in_windows, schema)
+    # A window's tokens, of which a document has some that follow each other.
+    inside = F.row_number().over(Window.partitionBy("sequence_id", "queue").orderBy("source", "j"))
+    found = found.withColumn("offset", F.col("ahead") + inside - 1).withColumn("begin", F.col("j") - F.col("start"))
+    pieces = found.groupBy("sequence_id", "queue", "source", "begin", "doc_id", "doc_tokens").agg(
+        F.min("start").alias("start"),
+        F.count(F.lit(1)).alias("length"),
+        F.min("offset").alias("offset"),
+        F.array_sort(F.collect_list(F.struct("start", "id"))).getField("id").alias("ids"),
+    )
+
+    def as_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = pa.array([np.array(x, "<u4").tobytes() for x in batch.column(4).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], ids, *batch.columns[5:]], names=batch.schema.names)
+
+    pieces = pieces.select("doc_id", "source", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")
+    return pieces.mapInArrow(as_bytes, PIECES)
 
 
 def pieces_of(mixture: Mixture, queue: int, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -192,11 +286,13 @@ def pack(df: DataFrame, vocabulary: str, end_id: int, targets: Mapping[str, floa
     end together. ``ids`` are little-endian unsigned 32-bit numbers.
     """
     tokens = tokenized(df, vocabulary, end_id)
-    starts, mixture = queues_of(tokens, targets)
+    starts, mixture, first = queues_of(tokens, targets)
     # A (source, part) group is no larger than what one task reads. The stored starts have a known
     # size, so Spark broadcasts them only if they are small.
     placed = tokens.join(starts, ["source", "part"])
-    placed = placed.select("doc_id", "source", "queue", (F.col("before") + F.col("at")).alias("at"), "n", "ids")
+    placed = placed.withColumn("at", F.col("before") + F.col("at"))
+    shared = placed.filter(F.col("queue") >= first)
+    placed = placed.filter(F.col("queue") < first).select("doc_id", "source", "queue", "at", "n", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = json_encoder(vocabulary).kind
@@ -223,8 +319,7 @@ def pack(df: DataFrame, vocabulary: str, end_id: int, targets: Mapping[str, floa
                     names=["doc_id", "source", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"],
                 )
 
-    schema = (
-        "doc_id bigint, source string, start bigint, length bigint, ids binary, "
-        "doc_tokens bigint, sequence_id bigint, offset bigint"
-    )
-    return placed.mapInArrow(run, schema)
+    own = placed.mapInArrow(run, PIECES)
+    if len(mixture.lengths) <= first:
+        return own
+    return own.union(shared_pieces(shared, mixture, first, json_encoder(vocabulary).kind))

@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from riskloom.llm import packing
 from riskloom.llm.packing import WINDOW, Mixture, pack
 from riskloom.llm.queries import op6_mixture_packing
 
@@ -119,3 +120,48 @@ def test_targets_and_repeated_rows(rows):
 
 def test_no_documents(rows):
     assert pack(rows([], "doc_id long, text string, source string"), PATH, 1).count() == 0
+
+
+def by_window(pieces):
+    out = defaultdict(Counter)
+    for r in pieces:
+        out[r.sequence_id][r.source] += r.length
+    return out
+
+
+def test_sources_beyond_the_largest_keep_their_share(rows, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(packing, "MOST_QUEUES", 2)
+    sizes = {"a": 900, "b": 800, "c": 300, "d": 290, "e": 200, "f": 7, "": 150}
+    data = [(i, "some words of it " * (n // 10), s) for i, (s, n) in enumerate((s, n) for s, n in sizes.items() for _ in range(20))]
+    data += data[-3:]
+    frame = rows(data, "doc_id long, text string, source string").repartition(5)
+    got = pack(frame, PATH, 1).withColumn("ids_crc32", F.crc32("ids")).collect()
+    unique = [r for r in got if r.doc_id < data[-3][0]]
+    total = Counter()
+    for r in got:
+        total[r.source] += r.length
+    everything, places = sum(total.values()), defaultdict(int)
+    assert everything == sum(len(plain.encode(t, add_special_tokens=False).ids) + 1 for _, t, _ in data)
+    for r in unique:
+        ids = np.array([*plain.encode(data[r.doc_id][1], add_special_tokens=False).ids, 1], "<u4")
+        assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == places[r.sequence_id]
+        places[r.sequence_id] += r.length
+    for have in by_window(got).values():
+        if sum(have.values()) == WINDOW:
+            assert all(abs(have[s] - WINDOW * total[s] / everything) <= 3 for s in total)
+
+
+def test_small_sources_have_their_targets(rows, monkeypatch):
+    monkeypatch.setattr(packing, "MOST_QUEUES", 1)
+    data = [(1, "a b c d " * 4000, "x"), (2, "e f g h " * 1000, "y"), (3, "i j k l " * 900, "z"), (4, "m n o p " * 800, "w"), (5, "q " * 500, "v")]
+    targets = {"x": 0.5, "y": 0.3, "z": 0.2}
+    got = pack(rows(data, "doc_id long, text string, source string"), PATH, 1, targets=targets).collect()
+    first = by_window(got)[0]
+    assert all(abs(first[s] - targets.get(s, 0) * WINDOW) <= 2 for s in "xyzwv")
+    last = {s: max(r.sequence_id for r in got if r.source == s) for s in "xyz"}
+    assert min(r.sequence_id for r in got if r.source in "wv") >= max(last.values())
+    assert sum(r.length for r in got) == sum(len(plain.encode(t, add_special_tokens=False).ids) + 1 for _, t, _ in data)
