@@ -5,7 +5,7 @@ Every stage but the last returns documents with the columns it was given, and it
 1. ``toxicity`` drops documents whose restored text scores 0.5 or more, learnt from the labels of its folder
    (only the rows that are not held out). Rows without text are clean.
 2. ``simhash`` keeps the document that names each component: 3-word shingles, at most 2 differing bits. Rows
-   without an id cannot name one and stay; of rows with the same id one stays.
+   without an id cannot name one and stay; of rows with the same id one a component stays.
 3. ``substrings`` takes out words under a 50-word window that a document with a smaller id also has; the words that
    stay are joined by blanks. Texts that lose nothing stay as they are, also their white space.
 4. ``pii`` puts the kind in brackets in place of each span of personal data.

@@ -166,21 +166,36 @@ def links(prints: DataFrame) -> DataFrame:
     return edges.union(least.select("u", "v").distinct())
 
 
-def near_duplicates(df: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``doc_id, fingerprint, component_id``: the least ``doc_id`` that can be reached over links."""
-    rows = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+def in_components(rows: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """The rows with their ``fingerprint`` in place of the text, the ``root`` of their component (a fingerprint) and
+    ``component_id``."""
     prints = stored(fingerprints(rows, size=size))
     nodes = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")))
     stars = components(links(nodes)).select(F.col("u").alias("fingerprint"), F.col("v").alias("root"))
     rooted = nodes.join(stars, "fingerprint", "left")
     rooted = stored(rooted.withColumn("root", F.coalesce("root", "fingerprint")))
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    found = rooted.join(named, "root").select("fingerprint", "component_id")
-    return prints.join(found, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    found = rooted.join(named, "root").select("fingerprint", "root", "component_id")
+    return prints.join(found, "fingerprint")
+
+
+def near_duplicates(df: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``doc_id, fingerprint, component_id``: the least ``doc_id`` that can be reached over links."""
+    rows = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return in_components(rows, size).select("doc_id", "fingerprint", "component_id")
 
 
 def one_of_each(df: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """The documents whose id names their component, once each; those without an id stay as they are."""
-    kept = near_duplicates(df, size).filter("doc_id = component_id").select("doc_id").distinct()
-    named = df.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One document of each component, of those whose id names it that with the least digest of the text; those
+    without an id stay as they are. Components that are named by the same id keep a document each."""
+    name = "digest"
+    while name in map(str.lower, df.columns):
+        name += "_"
+    # Rows of equal id and text are in the same component, so the pair stands for the row.
+    digest = F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    rows = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", digest.alias(name))
+    naming = in_components(rows, size).filter("doc_id = component_id")
+    kept = naming.groupBy("root", "doc_id").agg(F.min(name).alias(name)).select("doc_id", name)
+    named = df.filter("doc_id is not null").withColumn(name, digest)
+    named = named.join(kept, ["doc_id", name], "left_semi").dropDuplicates(["doc_id", name])
     return named.select(*df.columns).union(df.filter("doc_id is null"))

@@ -94,3 +94,11 @@ def test_nulls_copies_and_clashing_columns(rows):
 
 def test_no_documents(rows):
     assert near_duplicates(rows([], "doc_id long, text string")).count() == 0
+
+
+def test_components_named_by_the_same_id_keep_a_document_each(rows):
+    one, two, three = (f"{a} words that say {b} and nothing else at all " * 4 for a, b in (("some", "this"), ("quite", "other things"), ("last", "a third matter")))
+    data = [(5, one, "a"), (5, two, "b"), (6, two, "c"), (5, three, "d"), (2, three, "e"), (5, one, "a"), (9, one, "f")]
+    kept = one_of_each(rows(data, "doc_id long, text string, digest string"))
+    assert kept.columns == ["doc_id", "text", "digest"]
+    assert sorted(map(tuple, kept.collect())) == sorted([(5, one, "a"), (5, two, "b"), (2, three, "e")])
