@@ -1,9 +1,9 @@
 """Toxicity of whole texts: noisy-channel restoration of disguised words, then a score of the restored text.
 
-Restoration. A word is disguised if it mixes letters with look-alike symbols, repeats a letter three times
-or more, puts separators between single letters, or if single letters stand alone in a row. Such a region
-is a lattice: a symbol is itself or a letter it looks like, a long run is one or two letters, a separator stays
-or goes. Viterbi decoding picks the path that is likeliest under the channel and a character trigram model,
+Restoration. A word may be disguised if it mixes letters with look-alike symbols, repeats a letter, has
+separators between letters, or if single letters stand alone in a row. Such a region is a lattice: a symbol is
+itself or a letter it looks like, a run is one or two letters, separators stay or go. Blanks between groups of
+letters always stay. Viterbi decoding picks the path that is likeliest under the channel and a character trigram model,
 whose counts come from every text of the table. All other words have one path, themselves.
 
 Score. Evidence is whole restored words and word beginnings. Their document counts by label come from
@@ -49,6 +49,8 @@ LOOKALIKES = {
 SEPARATORS = " .-_*"
 #: Log probabilities of the channel: a symbol meant as such, a separator that stays, one that was put in.
 AS_IS, STAYS, PUT_IN = math.log(0.01), math.log(0.5), math.log(0.5)
+#: Of a letter written twice: meant so, meant once. Rare, so that plain words of the corpus keep their double letters.
+TWICE, ONCE = math.log(0.997), math.log(0.003)
 #: Classes of the model: 0 for the edge of a word, then a to z, then every other letter.
 CLASSES = 28
 _CLASS = np.zeros(256, np.int64)
@@ -57,7 +59,7 @@ _CLASS[0xC0:] = 27
 
 _EDGES = "\"'.,;:?()[]{}<>%&*#~`"
 _SYMBOLS = re.escape("".join(LOOKALIKES))
-_DISGUISED = re.compile(rf"(?=.*[^\W\d_])(?=.*[{_SYMBOLS}])|([^\W\d_])\1\1|^(?:[^\W_][.\-_*])+[^\W_]$")
+_DISGUISED = re.compile(rf"(?=.*[^\W\d_])(?=.*[{_SYMBOLS}])|([^\W\d_])\1|^(?=.*[^\W\d_])(?:[^\W_]+[.\-_*]+)+[^\W_]+$")
 #: Marks at the end of a word that stand for nothing.
 _TRAILING = re.compile(r"!+$|([$+|@])\1\1+$")
 
@@ -72,7 +74,12 @@ def _class_of(char: str) -> int:
 
 def trigram_counts(text: str) -> np.ndarray:
     """Counts of class trigrams of the lower-cased text; the places of the alphabet are digits to base 28."""
-    classes = _CLASS[np.frombuffer(f" {text.lower()} ".encode("latin-1", "replace"), np.uint8)]
+    lowered = f" {text.lower()} "
+    try:
+        classes = _CLASS[np.frombuffer(lowered.encode("latin-1"), np.uint8)]
+    except UnicodeEncodeError:
+        found, place = np.unique(np.frombuffer(lowered.encode("utf-32-le", "surrogatepass"), "<u4"), return_inverse=True)
+        classes = np.array([_class_of(chr(c)) for c in found.tolist()], np.int64)[place]
     codes = (classes[:-2] * CLASSES + classes[1:-1]) * CLASSES + classes[2:]
     return np.bincount(codes, minlength=CLASSES**3)
 
@@ -138,6 +145,8 @@ class Restorer:
             return [(char * length, AS_IS)] + [(c * n, meant) for c in letters for n in {length if length < 3 else 1, min(length, 2)}]
         if char in SEPARATORS and inside:
             return [(char * length, STAYS), ("", PUT_IN)]
+        if length == 2 and char.isalpha():
+            return [(char * 2, TWICE), (char, ONCE)]
         if length >= 3 and char.isalpha():
             return [(char, math.log(0.5)), (char * 2, math.log(0.5))]
         return [(char * length, 0.0)]

@@ -130,3 +130,21 @@ def test_no_labels_nulls_and_clashing_columns(rows, spark):
     many = [(i, f"{'bad ' * (i % 2)} word{i} " * 5 + "x" * (i * 500)) for i in range(60)]
     got = scored(rows([*many, (None, "bad")], "doc_id long, text string"), rows([(i, i % 2) for i in range(60)], "doc_id long, toxic int"))
     assert all((r.score >= 0.5) == bool(r.doc_id % 2) for r in got.collect() if r.doc_id is not None)
+
+
+@pytest.mark.parametrize(
+    "written,meant",
+    [("stuupid", "stupid"), ("idiiot", "idiot"), ("stu.pid", "stupid"), ("id-iot", "idiot"), ("i..d..i..o..t", "idiot"), ("555-1234", "555-1234"),
+     ("worthless", "worthless"), ("beer", "beer")],
+)
+def test_doubles_and_separated_groups(model, written, meant):
+    assert Restorer(model).word(written) == meant
+
+
+def test_letters_beyond_latin_1_are_counted_as_letters():
+    text = "Дом ab ЖжЖ łódź"
+    classes = [_class_of(c) for c in f" {text.lower()} "]
+    counts = np.zeros(CLASSES**3)
+    for a, b, c in zip(classes, classes[1:], classes[2:], strict=False):
+        counts[(a * CLASSES + b) * CLASSES + c] += 1
+    assert (trigram_counts(text) == counts).all()
