@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.bpe import decoded, encoded
 from riskloom.llm.codes import read_coded, write_coded
 from riskloom.llm.common import table
+from riskloom.llm.decontaminate import contaminated
 from riskloom.llm.packing import pack
 from riskloom.llm.pii import BASE_KINDS, fitted, with_spans
 from riskloom.llm.simhash import near_duplicates
@@ -167,3 +168,56 @@ def op10_simhash_pivots(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates(table(spark, folder, "documents"))
     hex_digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint")
     return found.select("doc_id", hex_digits, "component_id")
+
+
+@registered
+def op13_winnowed_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+SQL["op13_winnowed_decontamination"] = r"""
+    WITH d AS (
+        SELECT doc_id, row_number() OVER () AS r, translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents
+    ), dw AS (
+        SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS p, len(words) AS n
+        FROM (SELECT r, regexp_extract_all(low, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM d)
+    ), i AS (
+        SELECT item_id, row_number() OVER () AS r, translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM benchmark
+    ), iw AS (
+        SELECT item_id, r, unnest(words) AS word, generate_subscripts(words, 1) AS p, len(words) AS n,
+               least(len(words), 10) AS span
+        FROM (SELECT item_id, r, regexp_extract_all(low, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM i)
+    ), ig AS (
+        SELECT item_id, p, n, span, string_agg(word, ' ') OVER (
+                   PARTITION BY r ORDER BY p ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS g
+        FROM iw
+    ), marks AS (
+        SELECT DISTINCT span, g, item_id FROM ig WHERE p + span - 1 <= n
+    ), dg AS (
+        SELECT r, p, n, span, string_agg(word, ' ') OVER (
+                   PARTITION BY r, span ORDER BY p ROWS BETWEEN CURRENT ROW AND span - 1 FOLLOWING) AS g
+        FROM dw CROSS JOIN (SELECT DISTINCT span FROM marks)
+    ), hits AS (
+        SELECT r, p, span, item_id FROM dg JOIN marks USING (span, g) WHERE p + span - 1 <= n
+    ), words AS (
+        SELECT r, count(*) AS n_words FROM dw GROUP BY r
+    ), cover AS (
+        SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + span)) AS q FROM hits) GROUP BY r
+    ), listed AS (
+        SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+        FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY r
+    )
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN words USING (r) LEFT JOIN cover USING (r) LEFT JOIN listed USING (r)
+"""
