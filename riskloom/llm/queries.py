@@ -12,6 +12,7 @@ from riskloom.llm.bpe import decoded, encoded
 from riskloom.llm.codes import read_coded, write_coded
 from riskloom.llm.common import table
 from riskloom.llm.decontaminate import contaminated
+from riskloom.llm.negatives import hard_negatives
 from riskloom.llm.packing import pack
 from riskloom.llm.pii import BASE_KINDS, fitted, with_spans
 from riskloom.llm.simhash import near_duplicates
@@ -170,6 +171,40 @@ def op10_simhash_pivots(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", hex_digits, "component_id")
 
 
+@registered
+def op11_residue_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, moved)
+
+
+SQL["op11_residue_negatives"] = """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+    ), s AS (
+        SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+               CAST(list_sum([p[1] * p[2] for p in list_zip(a.e, c.e)]) AS BIGINT) AS score
+        FROM v a JOIN v c ON a.vec_id <> c.vec_id
+        WHERE a.vec_id % 100 = 0
+    ), p AS (
+        SELECT * FROM (
+            SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same
+        ) WHERE place <= 5
+    ), n AS (
+        SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+               s.score AS negative_score,
+               row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+         AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+    )
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+    FROM n WHERE rank <= 10
+"""
+
+
 @registered
 def op13_winnowed_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
