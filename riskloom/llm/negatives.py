@@ -34,8 +34,10 @@ from pyspark.sql import functions as F
 from riskloom.session import stored
 
 SCALE = 256
-CANDIDATES = 1024
-ANCHORS = 256
+#: Most rows and components of a block, on average over a label group.
+CANDIDATES = 16_384
+ANCHORS = 64
+COMPONENTS = 1 << 20
 LABEL_GROUPS = 16
 DEEPEST = 1024
 EXACT = 1 << 24
@@ -136,8 +138,9 @@ class Blocks:
     def __init__(self, rows: DataFrame, size: int, scale: int):
         group = F.pmod(F.xxhash64("label"), F.lit(LABEL_GROUPS)).cast("int")
         rows = rows.withColumn("group", group)
-        found = {r["group"]: r["count"] for r in rows.groupBy("group").count().collect()}
-        counts = [-(-found.get(g, 0) // size) for g in range(LABEL_GROUPS)]
+        sizes = rows.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("vector")).alias("components"))
+        found = {r["group"]: max(-(-r["n"] // size), -(-r["components"] // COMPONENTS)) for r in sizes.collect()}
+        counts = [found.get(g, 0) for g in range(LABEL_GROUPS)]
         self.total = sum(counts)
         #: First block and number of blocks of each label group.
         self.spans = [(sum(counts[:g]), n) for g, n in enumerate(counts)]
@@ -170,7 +173,7 @@ _FOUND = pa.schema([(f.split()[0], pa.int64()) for f in FOUND.split(", ")])
 
 def _first(order: np.ndarray, copies: np.ndarray, k: int) -> np.ndarray:
     """The first k of the ordered rows, each as often as it stands there."""
-    some = order[copies[order] > 0][:k]
+    some = order[:k]
     return np.repeat(some, np.minimum(copies[some], k))[:k]
 
 
@@ -230,7 +233,8 @@ def hard_negatives(
         for i in range(len(asking.ids)):
             own = (block.ids == asking.ids[i]) & (block.rows == asking.rows[i])
             copies = np.where(block.labels == asking.labels[i], block.copies - own, 0)
-            taken = _first(np.argsort(~scores[i], kind="stable"), copies, positives)
+            some = np.flatnonzero(copies > 0)
+            taken = _first(some[np.argsort(~scores[i][some], kind="stable")], copies, positives)
             if len(taken):
                 same = np.ones(len(taken), np.int64)
                 head = [asking.ids[i] * same, asking.rows[i] * same, 0 * same, 0 * same, 0 * same]
@@ -263,15 +267,17 @@ def hard_negatives(
         for i, key in enumerate(zip(asking.ids.tolist(), asking.rows.tolist(), strict=True)):
             if key not in wanted:
                 continue
-            order = np.argsort(~scores[i], kind="stable")
-            order = order[block.labels[order] != asking.labels[i]]
-            ranked = ~scores[i][order]  # ascending, and without overflow
-            for s in wanted[key]:
-                most, least = high * s["positive_score"] // 100, -(-low * s["positive_score"] // 100)
+            limits = [(-(-low * s["positive_score"] // 100), high * s["positive_score"] // 100) for s in wanted[key]]
+            inside = (scores[i] >= min(least for least, _ in limits)) & (scores[i] <= max(most for _, most in limits))
+            order = np.flatnonzero(inside & (block.labels != asking.labels[i]))
+            # The complement ascends where the score descends, and does not overflow.
+            order = order[np.argsort(~scores[i][order], kind="stable")]
+            ranked = ~scores[i][order]
+            for s, (least, most) in zip(wanted[key], limits, strict=True):
                 if most < least:
                     continue
-                inside = slice(np.searchsorted(ranked, ~most, "left"), np.searchsorted(ranked, ~least, "right"))
-                taken = _first(order[inside], block.copies, negatives)
+                part = slice(np.searchsorted(ranked, ~most, "left"), np.searchsorted(ranked, ~least, "right"))
+                taken = _first(order[part], block.copies, negatives)
                 if len(taken):
                     same = np.ones(len(taken), np.int64)
                     head = [s[c] * same for c in ("anchor_id", "anchor_row", "positive", "positive_id", "positive_score")]
