@@ -19,6 +19,7 @@ from riskloom.llm.simhash import near_duplicates
 from riskloom.llm.substrings import without_repeats
 from riskloom.llm.topk import top_k
 from riskloom.llm.toxicity import held_out, scored
+from riskloom.llm.variants import spelling_variants
 from riskloom.llm.warc import read_archives, write_archives
 from riskloom.llm.winnowing import compared_with_next
 
@@ -205,6 +206,61 @@ SQL["op11_residue_negatives"] = """
 """
 
 
+@registered
+def op12_bloom_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(spark, folder, "documents"))
+
+
+SQL["op12_bloom_variants"] = r"""
+    WITH RECURSIVE crc AS (
+        SELECT list(c ORDER BY i) AS t FROM (
+            SELECT i, list_reduce([i] || range(8), lambda c, k:
+                       CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+            FROM (SELECT unnest(range(256)) AS i)
+        )
+    ), runs AS (
+        SELECT doc_id, run, count(*) AS n FROM (
+            SELECT doc_id, unnest(regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[a-z\x{C0}-\x{FF}]+')) AS run
+            FROM documents
+        ) WHERE length(run) >= 7 GROUP BY ALL
+    ), bytes AS (
+        SELECT doc_id, run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h FROM runs
+    ), hashed AS (
+        SELECT run, n, xor(4294967295, list_reduce(
+                   [4294967295] || [CAST('0x' || h[2 * k - 1:2 * k] AS BIGINT) for k in range(1, len(h) // 2 + 1)],
+                   lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1]))) AS h
+        FROM bytes, crc
+    ), vocabulary AS (
+        SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+            SELECT n, CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word
+            FROM hashed
+        ) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+    ), less AS (
+        SELECT word, n, p, word[:p - 1] || word[p + 1:] AS part
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM vocabulary)
+    ), near AS (
+        SELECT a.word, b.word AS other, b.n FROM less a JOIN less b ON a.p = b.p AND a.part = b.part AND a.word <> b.word
+        UNION SELECT a.word, b.word, b.n FROM less a JOIN vocabulary b ON a.part = b.word
+        UNION SELECT b.word, a.word, a.n FROM less a JOIN vocabulary b ON a.part = b.word
+    ), best AS (
+        SELECT word, count(*) AS n_near, max(n) AS most, min(other) FILTER (n = m) AS first
+        FROM (SELECT *, max(n) OVER (PARTITION BY word) AS m FROM near) GROUP BY word
+    ), formed AS (
+        SELECT v.word, CASE WHEN most >= 10 * v.n THEN first END AS form, v.n, coalesce(n_near, 0) AS n_near,
+               CASE WHEN most >= 10 * v.n THEN most END AS form_n
+        FROM vocabulary v LEFT JOIN best USING (word)
+    ), walk AS (
+        SELECT word, word AS stop FROM formed
+        UNION ALL SELECT walk.word, form FROM walk JOIN formed ON walk.stop = formed.word WHERE form IS NOT NULL
+    )
+    SELECT formed.word, formed.form, ends.stop AS root, formed.n, formed.n_near, formed.form_n
+    FROM formed JOIN (SELECT walk.word, stop FROM walk JOIN formed f ON walk.stop = f.word WHERE f.form IS NULL) ends
+      ON formed.word = ends.word
+"""
+
+
 @registered
 def op13_winnowed_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
