@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import slices
+from riskloom.llm.common import slices, task_count
 from riskloom.session import stored
 
 # The letters, which of them are dropped, and what counts as a word and as its form.
@@ -274,7 +274,8 @@ def likely_edits(vocabulary: DataFrame, known: Filters) -> DataFrame:
                     sizes = [pa.array(np.full(len(passed), s, np.int32)) for s in (size, words.size)]
                     yield pa.RecordBatch.from_arrays([a, b, sizes[0], c, d, sizes[1]], names=names)
 
-    return vocabulary.select("word").mapInArrow(run, schema)
+    # The words are few bytes and much work, so tasks are not left to the size of the files.
+    return vocabulary.select("word").repartition(task_count(vocabulary), "word").mapInArrow(run, schema)
 
 
 def codes_in(vocabulary: DataFrame) -> np.ndarray:
