@@ -1,19 +1,21 @@
-"""Training on Spark ML: class weights, estimators, search, refit and thresholded models."""
+"""Training: class weights, fits, search, refit and thresholded models, all as Spark ML models."""
 
 from __future__ import annotations
 
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from itertools import product
 from statistics import fmean
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasPredictionCol, HasProbabilityCol
@@ -22,15 +24,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.config import FEATURES, TXN
+from riskloom.operators.boosting import fit_boosting
 from riskloom.operators.curve import average_precision, pr_curve
+from riskloom.operators.linear import fit_linear
 from riskloom.session import use_checkpoint_dir
 
 WEIGHT = "weight"
-# Deepest tree Spark ML grows, the bins of all trees, and the least gain of a boosting round.
+# Deepest tree Spark ML grows, and the bins of its trees.
 DEEPEST_TREE = 30
 TREE_BINS = 255
-VALIDATION_TOL = 0.001
-HELD_BACK = "held_back"
 
 
 def class_counts(df: DataFrame, label: str = TXN.label, by: str | None = None) -> dict:
@@ -102,21 +104,7 @@ def with_threshold(model: Model, threshold: float) -> PipelineModel:
     return PipelineModel([model, AtThreshold(threshold=threshold)])
 
 
-def _logistic(params: Mapping, weight_sum: float, seed: int) -> Sequence[Estimator]:
-    # The penalty applies to the summed loss in the settings and to the mean loss in Spark.
-    return [
-        StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
-        LogisticRegression(
-            featuresCol="scaled",
-            maxIter=params["max_iter"],
-            regParam=1.0 / (params["C"] * weight_sum),
-            elasticNetParam=0.0,
-            standardization=False,
-        ),
-    ]
-
-
-def _forest(params: Mapping, weight_sum: float, seed: int) -> Sequence[Estimator]:
+def _forest(params: Mapping, seed: int) -> Sequence[Estimator]:
     return [
         RandomForestClassifier(
             numTrees=params["n_estimators"],
@@ -132,26 +120,11 @@ def _forest(params: Mapping, weight_sum: float, seed: int) -> Sequence[Estimator
     ]
 
 
-def _boosting(params: Mapping, weight_sum: float, seed: int) -> Sequence[Estimator]:
-    return [
-        GBTClassifier(
-            maxIter=params["max_iter"],
-            stepSize=params["learning_rate"],
-            maxDepth=params["max_depth"],
-            minInstancesPerNode=params["min_samples_leaf"],
-            maxBins=TREE_BINS,
-            maxMemoryInMB=1024,
-            checkpointInterval=10,
-            seed=seed,
-        )
-    ]
-
-
-ALGORITHMS = {
-    "logistic_regression": _logistic,
-    "random_forest": _forest,
-    "hist_gradient_boosting": _boosting,
-}
+#: Fits that take all settings and folds in the same passes over the rows.
+TOGETHER = {"logistic_regression": fit_linear, "hist_gradient_boosting": fit_boosting}
+#: Fits of Spark ML, one after the other.
+ESTIMATORS = {"random_forest": _forest}
+ALGORITHMS = (*TOGETHER, *ESTIMATORS)
 
 
 def known_algorithms(grids: Mapping[str, Mapping]) -> tuple[list[str], list[str]]:
@@ -181,33 +154,17 @@ def fit_assembled(
     label: str = TXN.label,
     seed: int = 42,
     counts: Mapping[int, int] | None = None,
-    scaler: StandardScalerModel | None = None,
 ) -> PipelineModel:
-    """Fit one setting on an assembled frame; ``counts`` are its rows per class, where known.
-
-    ``scaler`` is one already fitted on these rows, which several settings share: then ``rows`` has its output.
-    """
+    """Fit one setting on an assembled frame; ``counts`` are its rows per class, where known."""
     use_checkpoint_dir(rows.sparkSession)
     if counts is None:
         counts = class_counts(rows, label)
     weights = weight_per_class(counts, params["class_weight"])
-    weight_sum = sum(n * weights[c] for c, n in counts.items())
-    stages = list(ALGORITHMS[algorithm](params, weight_sum, seed))
+    if algorithm in TOGETHER:
+        return PipelineModel(TOGETHER[algorithm](rows, [(params, weights, None)], label, seed))
+    stages = list(ESTIMATORS[algorithm](params, seed))
     stages[-1].setLabelCol(label).setWeightCol(WEIGHT)
-    weighted = with_class_weight(rows, weights, label)
-    if algorithm == "hist_gradient_boosting":
-        # Rounds stop when the held-back tenth no longer gains. Row weights count there too.
-        weighted = weighted.withColumn(HELD_BACK, F.pmod(F.xxhash64("features", F.lit(seed)), F.lit(10)) == 0)
-        stages[-1].setParams(validationIndicatorCol=HELD_BACK, validationTol=VALIDATION_TOL)
-    if scaler is not None and len(stages) > 1:
-        fitted = stages[-1].fit(weighted)
-        return PipelineModel([scaler, fitted])
-    return Pipeline(stages=stages).fit(weighted)
-
-
-def fit_scaler(rows: DataFrame) -> StandardScalerModel:
-    """The scaling that linear settings need, fitted once for all of them."""
-    return StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(rows)
+    return Pipeline(stages=stages).fit(with_class_weight(rows, weights, label))
 
 
 def fit(
@@ -228,6 +185,28 @@ def fit(
     return PipelineModel([vector, fitted])
 
 
+def held_out_scores(
+    rows: DataFrame, scorers: Sequence[tuple[int, int, Callable[[np.ndarray], np.ndarray]]], label: str = TXN.label
+) -> DataFrame:
+    """``label, setting, fold, score`` of each row by the models that were fitted without its fold, in one pass.
+
+    ``scorers`` are (setting, fold, function of a matrix with a row a feature)."""
+    narrow = rows.select(F.col(label).cast("int"), F.col("fold").cast("int"), vector_to_array("features").alias("x"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            y, fold = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            x = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).T
+            for setting, of, scorer in scorers:
+                here = fold == of
+                n = int(here.sum())
+                if n:
+                    columns = [y[here], np.full(n, setting, np.int32), fold[here], scorer(x[:, here])]
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=[label, "setting", "fold", "score"])
+
+    return narrow.mapInArrow(run, f"`{label}` int, setting int, fold int, score double")
+
+
 @dataclass(frozen=True)
 class SearchResult:
     params: dict
@@ -247,9 +226,9 @@ def search(
 ) -> SearchResult:
     """The setting with the best mean average precision over the folds in column ``fold``.
 
-    The sample is assembled once and kept. Every fit is a Spark job over it, and ``parallelism``
-    of them share the cluster; all held-out folds are then measured in one job, as groups of one
-    curve. Equal scores go to the setting listed first.
+    The sample is assembled once and kept. Linear models and boosting fit all settings on all folds in the same passes;
+    a forest is a Spark job a setting and fold, and ``parallelism`` of them share the cluster. All held-out folds are
+    then measured in one job, as groups of one curve. Equal scores go to the setting listed first.
     """
     rows = assembled(sample, features, label, keep=["fold"]).persist(StorageLevel.MEMORY_AND_DISK)
     tasks = [(i, fold) for i in range(len(settings)) for fold in range(folds)]
@@ -259,30 +238,36 @@ def search(
         short = [fold for fold in range(folds) if not per_fold.get((fold, 1))]
         if short:
             raise ValueError(f"folds without a positive row cannot be measured: {short}")
-        linear = algorithm == "logistic_regression"
-        scalers = {fold: fit_scaler(rows.filter(F.col("fold") != fold)) if linear else None for fold in range(folds)}
 
-        def fit_without(task: tuple[int, int]) -> PipelineModel:
-            i, fold = task
+        def counts_without(fold: int) -> dict[int, int]:
             counts: dict[int, int] = {}
             for (other, c), n in per_fold.items():
                 if other != fold:
                     counts[c] = counts.get(c, 0) + n
-            part, scaler = rows.filter(F.col("fold") != fold), scalers[fold]
-            if scaler is not None:
-                part = scaler.transform(part)
-            return fit_assembled(part, algorithm, settings[i], label, seed, counts, scaler)
-
-        run = inheritable_thread_target(rows.sparkSession)(fit_without)
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            models = list(pool.map(run, tasks))
-        held_out = [
-            model.transform(rows.filter(F.col("fold") == fold)).select(
-                label, F.lit(i).alias("setting"), "fold", positive_probability().alias("score")
-            )
-            for (i, fold), model in zip(tasks, models, strict=True)
-        ]
-        curves = pr_curve(reduce(DataFrame.unionByName, held_out), "score", label, by)
+            return counts
+
+        def fit_without(task: tuple[int, int]) -> PipelineModel:
+            i, fold = task
+            part = rows.filter(F.col("fold") != fold)
+            return fit_assembled(part, algorithm, settings[i], label, seed, counts_without(fold))
+
+        if algorithm in TOGETHER:
+            weights = [weight_per_class(counts_without(fold), settings[i]["class_weight"]) for i, fold in tasks]
+            every = [(settings[i], w, fold) for (i, fold), w in zip(tasks, weights, strict=True)]
+            models = TOGETHER[algorithm](rows, every, label, seed)
+            scored = held_out_scores(rows, [(i, fold, m.scorer()) for (i, fold), m in zip(tasks, models, strict=True)], label)
+        else:
+            run = inheritable_thread_target(rows.sparkSession)(fit_without)
+            with ThreadPoolExecutor(max_workers=parallelism) as pool:
+                models = list(pool.map(run, tasks))
+            held_out = [
+                model.transform(rows.filter(F.col("fold") == fold)).select(
+                    label, F.lit(i).alias("setting"), "fold", positive_probability().alias("score")
+                )
+                for (i, fold), model in zip(tasks, models, strict=True)
+            ]
+            scored = reduce(DataFrame.unionByName, held_out)
+        curves = pr_curve(scored, "score", label, by)
         found = {(r["setting"], r["fold"]): r["average_precision"] for r in average_precision(curves, by).collect()}
     finally:
         rows.unpersist()

@@ -58,10 +58,42 @@ def stored(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+class TemporaryTables:
+    """Stored frames that go when the block ends, or before that one by one.
+
+    For loops that store a new state a round. Frames stored by others, in this block or elsewhere, stay.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self._spark, self._paths = spark, []
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        path = f"{shared_folder(self._spark)}/stored-{uuid4().hex}"
+        self._paths.append(path)
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    def drop_all_but_last(self) -> None:
+        """Delete every frame but the one stored last."""
+        while len(self._paths) > 1:
+            _delete(self._spark, self._paths.pop(0))
+
+    def __enter__(self) -> TemporaryTables:
+        return self
+
+    def __exit__(self, *_) -> None:
+        while self._paths:
+            _delete(self._spark, self._paths.pop())
+
+
+def _delete(spark: SparkSession, address: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(address)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release_stored(spark: SparkSession) -> int:
     """Delete every stored frame of this driver; the number of folders deleted."""
     released = 0
     while _paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_paths.pop())
-        released += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        released += _delete(spark, _paths.pop())
     return released

@@ -129,12 +129,23 @@ def test_whole_chain(spark):
 def test_a_fit_gets_the_checked_weights(separable, monkeypatch):
     seen = []
     monkeypatch.setattr(models.Pipeline, "fit", lambda self, rows: seen.append(rows))
-    params = {"max_iter": 5, "C": 1.0, "class_weight": "balanced"}
-    models.fit_assembled(models.assembled(separable, ["a", "b"]), "logistic_regression", params)
+    params = {**SETTINGS["random_forest"], "class_weight": "balanced"}
+    models.fit_assembled(models.assembled(separable, ["a", "b"]), "random_forest", params)
     got = {r["isFraud"]: r["weight"] for r in seen[0].select("isFraud", "weight").distinct().collect()}
     assert got == {r["isFraud"]: r["weight"] for r in models.class_weights(separable, "balanced").collect()}
     with pytest.raises(ValueError, match="odd"):
-        models.fit_assembled(models.assembled(separable, ["a", "b"]), "logistic_regression", {**params, "class_weight": "odd"})
+        models.fit_assembled(models.assembled(separable, ["a", "b"]), "random_forest", {**params, "class_weight": "odd"})
+
+
+@pytest.mark.parametrize("algorithm", ["logistic_regression", "hist_gradient_boosting"])
+def test_a_common_fit_gets_the_checked_weights(separable, monkeypatch, algorithm):
+    seen = []
+    monkeypatch.setitem(models.TOGETHER, algorithm, lambda rows, settings, label, seed: seen.extend(settings) or [])
+    params = {**SETTINGS[algorithm], "class_weight": "balanced"}
+    models.fit_assembled(models.assembled(separable, ["a", "b"]), algorithm, params)
+    ((_, weights, without),) = seen
+    assert weights == {r["isFraud"]: r["weight"] for r in models.class_weights(separable, "balanced").collect()}
+    assert without is None
 
 
 def test_search_refuses_a_fold_without_positives(separable):
