@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from datetime import datetime
 from pathlib import PurePath
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from riskloom.config import RAW_SCHEMA
-from riskloom.operators.ingest import new_rows, stamp
+from riskloom.operators.ingest import new_rows, stamp, without_copies
 from riskloom.operators.quality import key_check
 from riskloom.session import stored
 
+#: Keys of a batch that the driver takes and pushes into the scan of the target, at most.
+PUSHED_KEYS = 2000
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = RAW_SCHEMA) -> DataFrame:
     """CSV with a header. Without a schema Spark reads the file once more to infer one."""
@@ -51,21 +56,45 @@ def merge_into_table(
 ) -> str:
     """Create the table from ``source``, or append the rows whose key it lacks.
 
-    ``buckets`` stores a new table bucketed by the key, so that later merges do not shuffle it.
-    Returns 'created' or 'merged'. One writer at a time: plain tables have no transactions.
+    ``buckets`` stores a new table bucketed by the key, so that later merges do not shuffle it. Its files carry Bloom
+    filters of the key, and rows are sorted by it within a file. A batch of at most ``PUSHED_KEYS`` keys is looked up
+    by these: Spark's scan gets the keys and leaves out the row groups that have none of them. A larger batch has keys
+    in most row groups, so the key column is read as a whole. Returns 'created' or 'merged'. One writer at a time: plain
+    tables have no transactions.
     """
     spark = source.sparkSession
     if not spark.catalog.tableExists(name):
-        first = source.dropDuplicates([key]) if dedupe_source else source
-        writer = first.write.mode("overwrite")
+        first = without_copies(source, key) if dedupe_source else source
+        # The options are kept with the table and hold for what is appended later.
+        writer = first.sortWithinPartitions(key).write.mode("overwrite").options(**key_filters(key))
         (writer.bucketBy(buckets, key).sortBy(key) if buckets else writer).saveAsTable(name)
         return "created"
-    target = spark.table(name)
-    fresh = new_rows(target, source, key, dedupe_source).select(*target.columns)
-    fresh.write.mode("append").insertInto(name)
+    target, rows = spark.table(name), stored(source)
+    with few_keys(rows, key) as keys:
+        seen = target if keys is None else target.filter(F.col(key).isin(keys))
+        fresh = new_rows(seen, rows, key, dedupe_source).select(*target.columns)
+        fresh.sortWithinPartitions(key).write.mode("append").insertInto(name)
     return "merged"
 
 
+def key_filters(key: str) -> dict[str, str]:
+    """Options under which Parquet files carry Bloom filters of a column, as large as its values need."""
+    return {f"parquet.bloom.filter.enabled#{key}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
+
+@contextmanager
+def few_keys(rows: DataFrame, key: str) -> Iterator[list | None]:
+    """The distinct keys of a batch if they are few, for a filter that is pushed into scans inside the block; else None."""
+    found = rows.filter(F.col(key).isNotNull()).select(key).distinct().limit(PUSHED_KEYS + 1).collect()
+    setting, conf = "spark.sql.parquet.pushdown.inFilterThreshold", rows.sparkSession.conf
+    before = conf.get(setting)
+    conf.set(setting, max(int(before), PUSHED_KEYS))
+    try:
+        yield [r[0] for r in found] if len(found) <= PUSHED_KEYS else None
+    finally:
+        conf.set(setting, before)
+
+
 def ingest_csv(
     spark: SparkSession,
     path: str,

@@ -131,3 +131,65 @@ def test_heavy_keys_at_the_border_are_merged_right(spark):
         assert got.join(target, "k").count() == 0
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_first_load_keeps_null_keys(spark, rows):
+    source = rows([(None, 1), (None, 2), ("a", 3), ("a", 3)], "row_hash string, v int")
+    assert tables.merge_into_table(source, "null_keys", dedupe_source=True) == "created"
+    assert sorted(r["v"] for r in spark.table("null_keys").collect()) == [1, 2, 3]
+    again = rows([("a", 3), ("b", 4)], "row_hash string, v int")
+    assert tables.merge_into_table(again, "null_keys", dedupe_source=True) == "merged"
+    assert sorted(r["v"] for r in spark.table("null_keys").collect()) == [1, 2, 3, 4]
+
+
+def scanned(df):
+    """Rows that the table scans of a computed frame gave."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+def test_row_groups_without_a_key_of_the_batch_are_not_read(spark, buckets):
+    name = f"filtered_{buckets or 'plain'}"
+    raw = spark.range(0, 200_000, 1, 4).select(F.sha2(F.col("id").cast("string"), 256).alias("row_hash"), "id")
+    spark.conf.set("parquet.block.size", 1 << 20)
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.setInt("parquet.block.size", 1 << 20)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tables.merge_into_table(raw, name, buckets=buckets)
+        batch = raw.filter("id = 77").unionByName(spark.createDataFrame([("f" * 64, -1)], "row_hash string, id long"))
+        with tables.few_keys(batch, "row_hash") as keys:
+            assert len(keys) == 2
+            read = spark.table(name).filter(F.col("row_hash").isin(keys)).select("row_hash")
+            assert 0 < scanned(read) < 100_000
+        assert scanned(spark.table(name).select("row_hash")) == 200_000
+        assert tables.merge_into_table(batch, name) == "merged"
+        assert spark.table(name).filter("id < 0").count() == 1 and spark.table(name).count() == 200_001
+    finally:
+        hadoop.unset("parquet.block.size")
+        spark.conf.unset("parquet.block.size")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_large_batches_are_not_collected(spark):
+    with tables.few_keys(spark.range(tables.PUSHED_KEYS + 1).withColumnRenamed("id", "k"), "k") as keys:
+        assert keys is None
+
+
+def test_merge_reads_each_side_at_most_twice(spark, tmp_path):
+    source = spark.range(3000).select((F.col("id") % 10).cast("string").alias("row_hash"), "id")
+    source.write.parquet(str(tmp_path / "source"))
+    spark.range(5).select(F.col("id").cast("string").alias("row_hash"), "id").write.parquet(str(tmp_path / "target"))
+    got = ingest.new_rows(spark.read.parquet(str(tmp_path / "target")), spark.read.parquet(str(tmp_path / "source")))
+    assert got.count() == 1500
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("target") <= 2 and plan.count("Relation") <= 5
+
+
+def test_numbers_as_keys(rows):
+    source = rows([(i % 7, i) for i in range(700)] + [(None, -1), (None, -2), (1000, 5)], "k long, v int")
+    got = ingest.new_rows(rows([(1, 0), (2, 0), (50, 0)], "k long, v int"), source, "k")
+    assert got.count() == 500 + 2 + 1
