@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 MOST_BUCKETS = 4096
 MOST_REMEMBERED = 200_000
+LONGEST_REMEMBERED = 64
 SLICE_ROWS = 500
 BATCH_ROWS = 1000
 SUMMARY_GROUPS = 64
@@ -21,7 +22,8 @@ class Recent(dict):
     """What ``make`` gives for a key, remembered for the keys met lately.
 
     Two generations of at most ``MOST_REMEMBERED`` keys: a full one becomes the old one, and keys met again move
-    into the new one. So keys that are frequent stay, and memory is bounded whatever comes.
+    into the new one. So keys that are frequent stay, and memory is bounded whatever comes: a key of more than
+    ``LONGEST_REMEMBERED`` characters, such as a text without blanks, is made anew each time.
     """
 
     def __init__(self, make: Callable[[Any], Any]):
@@ -29,6 +31,8 @@ class Recent(dict):
         self.make, self.old = make, {}
 
     def __missing__(self, key: Any) -> Any:
+        if isinstance(key, str) and len(key) > LONGEST_REMEMBERED:
+            return self.make(key)
         if len(self) >= MOST_REMEMBERED:
             self.old = dict(self)
             self.clear()

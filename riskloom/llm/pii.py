@@ -22,9 +22,11 @@ from __future__ import annotations
 import heapq
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -190,13 +192,31 @@ def features(text: str, start: int, end: int, kind: str) -> list[float]:
 FEATURES = 20 + len(_CUES)
 
 
-def certain(text: str, span: Span, base: list[Span]) -> bool:
+class Placed:
+    """Spans by place, for finding those that touch a stretch without looking at all of them."""
+
+    def __init__(self, spans: list[Span]):
+        self.spans = sorted(spans)
+        self.starts = [s for s, _, _ in self.spans]
+        self.furthest = list(accumulate((e for _, e, _ in self.spans), max))
+
+    def touching(self, start: int, end: int) -> Iterator[Span]:
+        at = bisect_left(self.starts, end) - 1
+        # No span up to here ends behind the furthest end.
+        while at >= 0 and self.furthest[at] > start:
+            if self.spans[at][1] > start:
+                yield self.spans[at]
+            at -= 1
+
+
+def certain(text: str, span: Span, base: Placed) -> bool:
     """Whether a candidate surely is what it looks like: it holds most of a base span, or a key says so."""
     start, end, kind = span
     if kind == "secret":
         return bool(_AFTER_KEY.search(text, max(0, start - 40), start))
     fits = ("email",) if kind == "address" else ("ip", "card", "phone")
-    return any(k in fits and min(e, end) - max(s, start) >= 0.8 * (end - start) for s, e, k in base)
+    found = base.touching(start, end)
+    return any(k in fits and min(e, end) - max(s, start) >= 0.8 * (end - start) for s, e, k in found)
 
 
 def rewritten(text: str, span: Span) -> list[tuple[str, int, int]]:
@@ -216,8 +236,28 @@ def rewritten(text: str, span: Span) -> list[tuple[str, int, int]]:
     return [(left + w + right, len(left), len(left) + len(w)) for w in out]
 
 
-def overlaps(span: Span, others: list[Span]) -> bool:
-    return any(span[0] < e and s < span[1] for s, e, _ in others)
+def likeliest(scored: list[tuple[float, Span]]) -> list[Span]:
+    """Of spans that touch each other the one of the highest score, then the first; best first within a stretch."""
+    kept: list[Span] = []
+    stretch: list[tuple[float, Span]] = []
+    reach = -1
+    for score, span in sorted(scored, key=lambda x: x[1]):
+        if span[0] >= reach:
+            kept += _greedy(stretch)
+            stretch = []
+        stretch.append((score, span))
+        reach = max(reach, span[1])
+    return kept + _greedy(stretch)
+
+
+def _greedy(stretch: list[tuple[float, Span]]) -> list[Span]:
+    """Spans kept are apart, so the one before and the one behind a place are all that may touch."""
+    kept: list[Span] = []
+    for _, span in sorted(stretch, key=lambda x: (-x[0], x[1])):
+        at = bisect_left(kept, span)
+        if (at == 0 or kept[at - 1][1] <= span[0]) and (at == len(kept) or kept[at][0] >= span[1]):
+            kept.insert(at, span)
+    return kept
 
 
 # Trees
@@ -243,15 +283,13 @@ class Trees:
 
     def chosen(self, text: str, base: list[Span]) -> list[Span]:
         """Candidates over the threshold that touch no base span; of overlapping ones the likeliest."""
-        proposed = [c for c in candidates(text) if not overlaps(c, base)]
+        known = Placed(base)
+        proposed = [c for c in candidates(text) if not any(known.touching(c[0], c[1]))]
         if not proposed:
             return []
         scores = self.probabilities(np.array([features(text, *c) for c in proposed]))
-        kept: list[Span] = []
-        for score, span in sorted(zip(scores.tolist(), proposed, strict=True), key=lambda x: (-x[0], x[1])):
-            if score >= self.thresholds[span[2]] and not overlaps(span, kept):
-                kept.append(span)
-        return kept
+        fine = [(score, c) for score, c in zip(scores.tolist(), proposed, strict=True) if score >= self.thresholds[c[2]]]
+        return likeliest(fine)
 
 
 def _saved_trees(model, spark, folder: str) -> list[list[tuple]]:
@@ -287,7 +325,7 @@ def labelled(batch: pa.RecordBatch, held: bool) -> Iterator[tuple[str, int, int,
         for span in candidates(text or ""):
             draw = draw_of(doc, text, span)
             if (draw % 3 == 0) == held:
-                base = base_spans(text) if base is None else base
+                base = Placed(base_spans(text)) if base is None else base
                 yield span[2], int(certain(text, span, base)), draw, text, span
 
 

@@ -54,10 +54,14 @@ class WordMemory(Recent):
             # Most words are known without the mark behind them.
             ids = self[word[:-1]] + self._mark(word[-1])
         else:
-            line = word.rfind("\n")
-            if line > 0 and not word[line - 1].isspace() and "a" <= word[line + 1 : line + 2].lower() <= "z":
+            lines, rest = [], word
+            while (line := rest.rfind("\n")) > 0 and not rest[line - 1].isspace() and "a" <= rest[line + 1 : line + 2].lower() <= "z":
                 # A single line end before a letter is a piece of its own.
-                ids = self[word[:line]] + self._mark("\n") + self.start[word[line + 1 :]]
+                lines.append(rest[line + 1 :])
+                rest = rest[:line]
+            if lines:
+                end = self._mark("\n")
+                ids = self[rest] + b"".join(end + self.start[part] for part in reversed(lines))
             else:
                 ids = array(self.code, self.encode(self.lead + word)).tobytes()
         return ids

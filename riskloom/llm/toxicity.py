@@ -59,11 +59,19 @@ _CLASS[0xC0:] = 27
 
 _EDGES = "\"'.,;:?()[]{}<>%&*#~`"
 _SYMBOLS = re.escape("".join(LOOKALIKES))
-_DISGUISED = re.compile(rf"(?=.*[^\W\d_])(?=.*[{_SYMBOLS}])|([^\W\d_])\1|^(?=.*[^\W\d_])(?:[^\W_]+[.\-_*]+)+[^\W_]+$")
+_LETTER, _SYMBOL = re.compile(r"[^\W\d_]"), re.compile(f"[{_SYMBOLS}]")
+_TWICE = re.compile(r"([^\W\d_])\1")
+#: Groups of letters and digits with separators between them; possessive, so linear.
+_PARTED = re.compile(r"(?:[^\W_]++[.\-_*]++)++[^\W_]++$")
 #: Marks at the end of a word that stand for nothing.
 _TRAILING = re.compile(r"!+$|([$+|@])\1\1+$")
 
 
+def disguised(word: str) -> bool:
+    """Whether a word gets a lattice: it has a letter, and symbols, a letter twice in a row, or separators inside."""
+    return bool(_TWICE.search(word) or _LETTER.search(word) and (_SYMBOL.search(word) or _PARTED.match(word)))
+
+
 def _class_of(char: str) -> int:
     code = ord(char)
     return int(_CLASS[code]) if code < 256 else (27 if char.isalpha() else 0)
@@ -117,23 +125,31 @@ class Restorer:
         self._known = Recent(self._restored)
 
     def decode(self, region: str) -> str:
-        """The likeliest reading of a region: a Viterbi search whose states are the last two classes."""
-        best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        """The likeliest reading of a region: a Viterbi search whose states are the last two classes.
+
+        A state keeps its last reading and the state before, so a region of any length takes linear time and space.
+        """
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         runs = [(char, len(list(same))) for char, same in groupby(region)]
         for place, (char, length) in enumerate([*runs, ("", 1)]):
-            after: dict[tuple[int, int], tuple[float, str]] = {}
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for reading, cost in self._readings(char, length, inside=0 < place < len(runs) - 1):
-                for (a, b), (score, text) in best.items():
+                classes = tuple(map(_class_of, reading)) if char else (0,)
+                for (a, b), (score, path) in best.items():
                     score += cost
                     # An empty reading leaves the state, and the end of the region is an edge.
-                    for c in map(_class_of, reading) if char else (0,):
+                    for c in classes:
                         score += self.model[a][b][c]
                         a, b = b, c
                     state = (a, b)
                     if state not in after or score > after[state][0]:
-                        after[state] = (score, text + reading)
+                        after[state] = (score, (reading, path))
             best = after
-        return max(best.values())[1]
+        path, readings = max(best.values(), key=lambda found: found[0])[1], []
+        while path:
+            reading, path = path
+            readings.append(reading)
+        return "".join(reversed(readings))
 
     @staticmethod
     def _readings(char: str, length: int, inside: bool) -> list[tuple[str, float]]:
@@ -159,7 +175,7 @@ class Restorer:
         known = word.strip(_EDGES)
         if not known.isalpha():
             known = _TRAILING.sub("", known).rstrip(_EDGES)
-        return self.decode(known).strip(_EDGES) if _DISGUISED.search(known) else known
+        return self.decode(known).strip(_EDGES) if disguised(known) else known
 
     def words(self, text: str) -> list[str]:
         """The text's words, restored; single letters that stand in a row are read together."""

@@ -159,3 +159,30 @@ def test_long_secrets_are_proposed_whole(size):
     for text in ("a1" * 300_000 + "===", "token=" + "a1" * 300_000, "ab=" + "a" * 300_000 + "=" * 5, "token=a1b2c3d4" * 30_000):
         candidates(text)
     assert time.time() - start < 20
+
+
+def test_many_spans_take_linear_time():
+    rng = random.Random(2)
+    text = " ".join(f"+49 30 {rng.randrange(10**7, 10**8)}" for _ in range(50_000))
+    start = time.time()
+    base = pii.base_spans(text)
+    known = pii.Placed(base)
+    assert sum(pii.certain(text, c, known) for c in candidates(text)) == 50_000
+    assert len(pii.likeliest([(rng.random(), c) for c in candidates(text)])) == 50_000
+    assert time.time() - start < 10
+
+
+def test_touching_and_likeliest_are_those_of_all_pairs():
+    rng = random.Random(7)
+    for _ in range(200):
+        spans = [(s, s + rng.randrange(1, 12), "number") for s in (rng.randrange(40) for _ in range(rng.randrange(12)))]
+        known = pii.Placed(spans)
+        for start in range(40):
+            end = start + rng.randrange(1, 6)
+            assert sorted(known.touching(start, end)) == sorted(x for x in spans if start < x[1] and x[0] < end)
+        scored = [(rng.choice([0.5, 0.7, 0.9]), x) for x in spans]
+        kept = []
+        for _, x in sorted(scored, key=lambda y: (-y[0], y[1])):
+            if not any(x[0] < e and s < x[1] for s, e, _ in kept):
+                kept.append(x)
+        assert sorted(pii.likeliest(scored)) == sorted(kept)

@@ -33,3 +33,16 @@ def test_memory_is_bounded_and_keeps_what_is_met_again(monkeypatch):
         assert memory[key] == -key
         assert len(memory) <= 3 and len(memory.old) <= 3
     assert made.count(1) == 1 and made.count(2) == 2
+
+
+def test_long_unspaced_texts_are_not_remembered():
+    encode = json_encoder(PATH)
+    before = len(encode.first) + len(encode.later)
+    for i in range(10_000):
+        encode(chr(0x4E00 + i) * 100)
+    assert len(encode.first) + len(encode.later) == before
+
+
+@pytest.mark.parametrize("text", ["\n".join(["abc"] * 5000), "x " + "\n".join(["Abc", "é", "1"] * 2000) + ".", "\n\nab\ncd\n\nef\n"])
+def test_a_word_a_line(text):
+    assert json_encoder(PATH).ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids

@@ -1,4 +1,6 @@
 import math
+import re
+import time
 import zlib
 
 import numpy as np
@@ -10,6 +12,7 @@ from riskloom.llm.toxicity import (
     Restorer,
     Scorer,
     _class_of,
+    disguised,
     character_model,
     evidence,
     labelled_sample,
@@ -148,3 +151,20 @@ def test_letters_beyond_latin_1_are_counted_as_letters():
     for a, b, c in zip(classes, classes[1:], classes[2:], strict=False):
         counts[(a * CLASSES + b) * CLASSES + c] += 1
     assert (trigram_counts(text) == counts).all()
+
+
+def test_long_words_take_linear_time():
+    restorer = Restorer(np.log(np.full((CLASSES, CLASSES, CLASSES), 1 / CLASSES)))
+    start = time.time()
+    assert restorer.words("abcdefghij" * 100_000) == ["abcdefghij" * 100_000]
+    restorer.words("漢字かな" * 250_000)
+    restorer.words("ab.cd." * 20_000 + "!")
+    restorer.words("a1b2c3d0" * 10_000)
+    restorer.words("a b c d " * 10_000)
+    assert time.time() - start < 20
+
+
+def test_what_gets_a_lattice():
+    old = re.compile(r"(?=.*[^\W\d_])(?=.*[01345789@\$!|+])|([^\W\d_])\1|^(?=.*[^\W\d_])(?:[^\W_]+[.\-_*]+)+[^\W_]+$")
+    words = ["idiot", "1d1ot", "f.u.c.k", "f..k", "a.", ".a.b", "1.2", "1.b", "aab", "a_b", "a!", "123", "漢字", "a-b-c!", "é1", "__", ""]
+    assert [disguised(w) for w in words] == [bool(old.search(w)) for w in words]
