@@ -82,6 +82,12 @@ def ordered_sample(spark, folder):
     return sampling.ordered_sample(txn(spark, folder), DRIFT_SAMPLE_ROWS).select("event_id", "amount")
 
 
+@check(f"WITH {TXN} SELECT event_id, amount FROM txn ORDER BY {SAMPLE_DRAW} LIMIT 300")
+def ordered_sample_of_300(spark, folder):
+    """A limit below the number of rows at every size of the tables."""
+    return sampling.ordered_sample(txn(spark, folder), 300).select("event_id", "amount")
+
+
 @check(
     f"""WITH {FIT}, counts AS (SELECT "isFraud", count(*) AS row_count FROM fit GROUP BY 1),
 total AS (SELECT sum(row_count) AS n FROM counts)

@@ -16,6 +16,13 @@ def model_leaderboard(spark, folder):
     return selection.leaderboard(runs(spark, folder), SHOWN, "avg_precision", list(STAND_INS))
 
 
+@check(f"WITH {RUNS} SELECT run_id, algorithm, row_number() OVER (ORDER BY {ORDER}) AS place FROM runs")
+def model_leaderboard_places(spark, folder):
+    """The order of the leaderboard, one row a model."""
+    board = selection.leaderboard(runs(spark, folder), SHOWN, "avg_precision", list(STAND_INS)).select("run_id", "algorithm")
+    return board.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1)
+
+
 @check(f"WITH {RUNS} SELECT run_id, algorithm FROM runs ORDER BY {ORDER} LIMIT 1")
 def select_winner(spark, folder):
     best = selection.select_winner(runs(spark, folder), "avg_precision", list(STAND_INS))

@@ -138,17 +138,21 @@ def assemble_and_scale(features: Sequence[str] = FEATURES) -> Pipeline:
     )
 
 
+def _key_hash(key: Column) -> Column:
+    return F.xxhash64(key)
+
+
 def row_ids(df: DataFrame, key: str = TXN.key, name: str = "txn_id") -> DataFrame:
     """Number the rows 0, 1, 2, ... by ``key``: numbers by value, other types by a hash of the value.
 
-    Unlike ids taken from partition positions, the numbers are the same on every computation. Rows
-    that share a key get the numbers of their group; which copy gets which does not matter if they are
-    full copies, as rows with one digest are.
+    Unlike ids taken from partition positions, the numbers are the same on every computation. Keys with the same
+    hash follow each other by value. Rows that share a key get the numbers of their group; which copy gets which
+    does not matter if they are full copies, as rows with one digest are.
     """
     numeric = isinstance(df.schema[key].dataType, NumericType)
-    order = F.col(key) if numeric else F.xxhash64(F.col(key).cast("string"))
+    order = F.col(key) if numeric else _key_hash(F.col(key).cast("string"))
     ones = df.withColumn("_order", order).withColumn("_one", F.lit(1).cast("long"))
-    numbered = running_totals(ones, "_order", sums=["_one"], unique=True)
+    numbered = running_totals(ones, "_order", sums=["_one"], unique=True, ties=() if numeric else [key])
     return numbered.select(*df.columns, (F.col("run__one") - 1).alias(name))
 
 

@@ -64,6 +64,7 @@ def running_totals(
     descending: bool = False,
     exclusive: bool = False,
     unique: bool = False,
+    ties: Sequence[str] = (),
     cuts_per: Sequence[str] = (),
     cuts_from: DataFrame | None = None,
     buckets: int | None = None,
@@ -71,7 +72,8 @@ def running_totals(
     """Add ``run_<c>`` for each summed or maximised column and ``all_<c>`` for each group's total.
 
     Totals run over ``order`` within each ``by`` group and take in every row with an equal value.
-    Where the order is ``unique`` in its group, say so: there are no equal values to look for.
+    Where the order is ``unique`` in its group, say so: there are no equal values to look for. It may also be unique
+    together with the columns in ``ties``: rows of equal order are in one bucket and follow each other by these.
     With ``exclusive`` the totals stop before the row, which needs a unique order.
     ``cuts_per`` names columns of few values, a subset of ``by``, whose value ranges differ.
     ``cuts_from`` is a smaller frame with the same values, where there is one; the cuts decide
@@ -99,7 +101,7 @@ def running_totals(
     both = starts.unionByName(rows.withColumn("_is_row", F.lit(1)), allowMissingColumns=True)
 
     row_order = F.col(order).desc() if descending else F.col(order).asc()
-    cell = Window.partitionBy(*by, "_bucket").orderBy("_is_row", row_order)
+    cell = Window.partitionBy(*by, "_bucket").orderBy("_is_row", row_order, *ties)
     if exclusive:
         upto = cell.rowsBetween(Window.unboundedPreceding, -1)
     elif unique:

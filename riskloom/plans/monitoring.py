@@ -14,7 +14,7 @@ from riskloom.operators.drift import drift_verdict, ks_drift
 from riskloom.operators.sampling import ordered_sample
 from riskloom.operators.scoring import simulated_payload
 from riskloom.session import stored
-from riskloom.sources.tables import append_by_name, overwrite_table
+from riskloom.sources.tables import append_by_day, append_by_name, replace_partitions
 
 
 def log_simulated_windows(
@@ -25,14 +25,16 @@ def log_simulated_windows(
     log: str,
     rows: int = DRIFT_SAMPLE_ROWS,
     key: str = "txn_id",
+    by_day: bool = False,
 ) -> DataFrame:
     """Append a normal and a shifted window of scored rows to the inference log.
 
-    ``model`` decides by itself, see ``served_model``. Returns what was appended.
+    ``model`` decides by itself, see ``served_model``. ``by_day`` keeps the log in a folder a day, of which a refresh
+    reads the last ones only. Returns what was appended.
     """
     sample = stored(ordered_sample(table, rows, key))
     payload = stored(simulated_payload(sample, model.transform, as_of, model_version))
-    append_by_name(payload, log)
+    (append_by_day if by_day else append_by_name)(payload, log)
     return payload
 
 
@@ -44,21 +46,24 @@ def unseen(log: DataFrame, drift: DataFrame, ts: str = "request_ts", width: str
         return log, None
     # A null maximum is in no window, so there may be no row.
     before = log.filter(F.col(ts) < F.lit(last)).agg(F.max(ts).alias("ts")).select(F.window("ts", width)["start"]).first()
-    return log.filter(F.col(ts) >= F.lit(last if before is None else before[0])), last
+    start = F.lit(last if before is None else before[0])
+    rows = log.filter(F.col(ts) >= start)
+    if "request_date" in log.columns:
+        # A day more, in case the days were cut in another time zone.
+        rows = rows.filter(F.col("request_date") >= F.date_sub(F.to_date(start), 1))
+    return rows, last
 
 
 def refresh_drift(spark: SparkSession, log: str, drift: str, features: Sequence[str] = FEATURES) -> bool:
     """Bring the drift table up to date with the log; true when the newest window calls for retraining.
 
-    Reads new windows, the last one recorded and its predecessor; older rows of the table stay.
+    Reads new windows, the last one recorded and its predecessor. The table has a partition a window, ``window_date``;
+    those of older windows are not written again. Windows are days.
     """
-    if not spark.catalog.tableExists(drift):
-        overwrite_table(ks_drift(spark.table(log), features), drift)
-    else:
-        rows, last = unseen(spark.table(log), spark.table(drift))
-        fresh = ks_drift(rows, features)
-        if last is not None:
-            fresh = spark.table(drift).filter(F.col("window.start") < F.lit(last)).unionByName(fresh)
-        # Stored first: a table cannot be replaced while it is read.
-        overwrite_table(stored(fresh), drift)
+    rows = spark.table(log)
+    if spark.catalog.tableExists(drift):
+        rows, _ = unseen(rows, spark.table(drift))
+    fresh = ks_drift(rows, features).withColumn("window_date", F.to_date("window.start"))
+    # Stored first: a table cannot be replaced while it is read.
+    replace_partitions(stored(fresh), drift, "window_date")
     return drift_verdict(spark.table(drift)).first()["retrain"]

@@ -82,17 +82,23 @@ def key_filters(key: str) -> dict[str, str]:
     return {f"parquet.bloom.filter.enabled#{key}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: object) -> Iterator[None]:
+    """A setting of the session inside the block."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def few_keys(rows: DataFrame, key: str) -> Iterator[list | None]:
     """The distinct keys of a batch if they are few, for a filter that is pushed into scans inside the block; else None."""
     found = rows.filter(F.col(key).isNotNull()).select(key).distinct().limit(PUSHED_KEYS + 1).collect()
-    setting, conf = "spark.sql.parquet.pushdown.inFilterThreshold", rows.sparkSession.conf
-    before = conf.get(setting)
-    conf.set(setting, max(int(before), PUSHED_KEYS))
-    try:
+    with setting(rows.sparkSession, "spark.sql.parquet.pushdown.inFilterThreshold", PUSHED_KEYS):
         yield [r[0] for r in found] if len(found) <= PUSHED_KEYS else None
-    finally:
-        conf.set(setting, before)
 
 
 def ingest_csv(
@@ -125,23 +131,55 @@ def append_by_name(df: DataFrame, name: str) -> None:
         df.write.saveAsTable(name)
 
 
-def publish_feature_table(df: DataFrame, name: str, key: str, description: str) -> DataFrame:
-    """Prove the key of a feature table, then publish it. Returns the table.
+def append_by_day(df: DataFrame, name: str, ts: str = "request_ts") -> None:
+    """``append_by_name`` to a log with a folder a day: column ``request_date`` is added and readers can filter by it."""
+    spark = df.sparkSession
+    df = df.withColumn("request_date", F.to_date(ts))
+    if spark.catalog.tableExists(name):
+        append_by_name(df, name)
+    else:
+        # One task a day and not every day in every task: a file a day.
+        df.repartition("request_date").write.partitionBy("request_date").saveAsTable(name)
 
-    The rows are written aside first, so a table that fails the check never replaces the published one.
-    """
+
+def replace_partitions(df: DataFrame, name: str, partition: str) -> None:
+    """Replace the partitions that the frame has rows of, and leave all others as they are."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(name):
+        df.write.partitionBy(partition).saveAsTable(name)
+        return
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+
+
+def proven(df: DataFrame, name: str, key: str) -> DataFrame:
+    """The rows written aside, with ``key`` as their primary key; an error if it is none."""
     aside = stored(df)
     check = key_check(aside, key).first()
     if not check["is_primary_key"]:
         raise ValueError(f"{key} is not a primary key of {name}: {check.asDict()}")
-    overwrite_table(aside, name)
-    spark = df.sparkSession
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = :text)", args={"text": description})
-    return spark.table(name)
+    return aside
+
+
+def publish_feature_table(df: DataFrame, name: str, key: str, description: str) -> DataFrame:
+    """Prove the key of a feature table, then publish it. Returns the table.
+
+    The rows are written aside first, so a table that fails the check never replaces the published one.
+    """
+    return publish_all({name: df}, key, description)[name]
 
 
 def publish_all(frames: Mapping[str, DataFrame], key: str, description: str) -> dict[str, DataFrame]:
-    return {name: publish_feature_table(df, name, key, f"{description} ({name})") for name, df in frames.items()}
+    """Publish feature tables that belong together: all are computed and proven before the first is replaced."""
+    aside = {name: proven(df, name, key) for name, df in frames.items()}
+    out = {}
+    for name, rows in aside.items():
+        overwrite_table(rows, name)
+        spark = rows.sparkSession
+        text = f"{description} ({name})" if len(aside) > 1 else description
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('comment' = :text)", args={"text": text})
+        out[name] = spark.table(name)
+    return out
 
 
 def export_csv(df: DataFrame, path: str) -> None:

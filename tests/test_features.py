@@ -125,3 +125,12 @@ def test_feature_columns_and_schema_checks(rows):
         features.check_features_present(["a", "z"], df)
     with pytest.raises(ValueError):
         features.check_same_columns(df, df.drop("a"))
+
+
+def test_ids_of_keys_with_one_hash_follow_the_keys(spark, monkeypatch):
+    """All keys share one of three hashes; numbers must not depend on partitions."""
+    monkeypatch.setattr(features, "_key_hash", lambda key: F.pmod(F.xxhash64(key), F.lit(3)))
+    df = spark.range(2000).select(F.sha2(F.col("id").cast("string"), 256).alias("row_hash"))
+    found = [sorted(tuple(r) for r in features.row_ids(df.repartition(n), "row_hash").collect()) for n in (1, 4, 9)]
+    assert found[0] == found[1] == found[2]
+    assert sorted(i for _, i in found[0]) == list(range(2000))

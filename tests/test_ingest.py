@@ -103,6 +103,14 @@ def test_publish_checks_the_key(spark, rows):
         tables.publish_feature_table(rows([(1, 2.0), (1, 2.0)], "txn_id long, a double"), "silver_bad", "txn_id", "no")
 
 
+def test_both_tables_or_none(spark, rows):
+    good, bad = rows([(1, 2.0), (2, 2.0)], "txn_id long, a double"), rows([(1, 2.0), (1, 2.0)], "txn_id long, a double")
+    tables.publish_all({"both_train": good, "both_test": good}, "txn_id", "first")
+    with pytest.raises(ValueError, match="both_test"):
+        tables.publish_all({"both_train": good.filter("txn_id = 1"), "both_test": bad}, "txn_id", "second")
+    assert spark.table("both_train").count() == spark.table("both_test").count() == 2
+
+
 def test_export_and_schema_report(spark, rows, tmp_path):
     df = rows([(0.5, 0.7)], "target_recall double, threshold double")
     tables.export_csv(df, str(tmp_path / "points"))

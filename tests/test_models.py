@@ -188,3 +188,25 @@ def test_a_refresh_reads_new_windows_and_one_before(spark):
     whole = ks_drift(spark.table("refresh_log"), ["log_amount"])
     assert spark.table("refresh_drift").select(whole.columns).exceptAll(whole).count() == 0
     assert spark.table("refresh_drift").count() == whole.count() == 6
+
+
+def test_a_log_by_day_is_read_and_written_by_partition(spark):
+    from riskloom.operators.drift import ks_drift
+
+    rows = spark.range(6000).select((F.col("id") % 100 / 7).alias("log_amount"), F.expr("timestamp'2024-01-01 06:00:00' + make_interval(0, 0, 0, int(id % 6))").alias("request_ts"))
+    tables.append_by_day(rows.filter("request_ts < '2024-01-05'"), "day_log")
+    monitoring.refresh_drift(spark, "day_log", "day_drift", ["log_amount"])
+    files = lambda: {r[0]: r[1] for r in spark.table("day_drift").select("_metadata.file_path", "window_date").distinct().collect()}
+    before = files()
+    tables.append_by_day(rows.filter("request_ts >= '2024-01-05'"), "day_log")
+    seen, _ = monitoring.unseen(spark.table("day_log"), spark.table("day_drift"))
+    assert "PartitionFilters: [isnotnull(request_date" in seen._jdf.queryExecution().executedPlan().toString()
+    assert {str(r[0]) for r in seen.select("request_date").distinct().collect()} == {f"2024-01-0{d}" for d in (3, 4, 5, 6)}
+    monitoring.refresh_drift(spark, "day_log", "day_drift", ["log_amount"])
+    after = files()
+    # The windows before the last one recorded keep their files.
+    kept = {path for path, day in before.items() if str(day) < "2024-01-04"}
+    assert kept and kept <= set(after) and not (set(before) - kept) & set(after)
+    whole = ks_drift(spark.table("day_log"), ["log_amount"])
+    assert spark.table("day_drift").select(whole.columns).exceptAll(whole).count() == 0
+    assert spark.table("day_drift").count() == whole.count() == 10
