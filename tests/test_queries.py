@@ -9,7 +9,7 @@ from riskloom.catalog import load
 
 # The document queries have their own tests.
 QUERIES, SQL = load()
-SLOW = {"cv_search_forest", "cv_search_boosting"}
+SLOW = {"cv_search_forest"}
 
 
 @pytest.fixture(scope="module")
