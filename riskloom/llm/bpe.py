@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +37,21 @@ LEAF = 1024
 SHORT = 64
 #: Stands for the rank of a pair that no merge makes; above all ranks.
 NEVER = 1 << 60
+#: The same in tables of 32-bit ids.
+NEVER_32 = np.iinfo(np.int32).max
 #: Characters searched for a blank before the other safe cuts are tried.
 NEAR = 256
 _CUT = r"(?<=\p{L})(?!\p{L})|(?<=\p{N})(?!\p{N})|(?<=[^\s\p{L}\p{N}])(?=\s)"
 _FIRST_CUT, _LAST_CUT = regex.compile(_CUT), regex.compile(f"(?r){_CUT}")
 
 
+def _without(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Each row without its element at one place."""
+    keep = np.ones(rows.shape, bool)
+    keep[np.arange(len(rows)), at] = False
+    return rows[keep].reshape(len(rows), rows.shape[1] - 1)
+
+
 class Encoder:
     """Ids of texts by a rank file and a splitting pattern."""
 
@@ -51,7 +60,9 @@ class Encoder:
         self.bytes = dict(zip(self.ranks.values(), self.ranks.keys(), strict=True))
         self.pattern = regex.compile(pattern)
         # A word of letters, with or without a blank before it, is one piece.
-        self.words = TextEncoder(self._pieces, id_kind(max(self.bytes)), lambda word: self.piece(word.encode()))
+        self.words = TextEncoder(self._pieces, id_kind(max(self.bytes)), lambda word: self.piece(word.encode()), self._words)
+        # Numbers and marks, which are met inside many words; longer pieces are not remembered.
+        self._short = Recent(lambda piece: self.piece(piece.encode()))
         self._settled = Recent(lambda pair: self.merge(self.bytes[pair[0]] + self.bytes[pair[1]]) == list(pair))
 
     # Bytes of one piece
@@ -103,6 +114,75 @@ class Encoder:
             i = end[i]
         return out
 
+    @cached_property
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Every pair of tokens whose bytes make a token, as one number in order, and that token."""
+        size, found = self._pad + 1, {}
+        for token, rank in self.ranks.items():
+            for at in range(1, len(token)):
+                left, right = self.ranks.get(token[:at]), self.ranks.get(token[at:])
+                if left is not None and right is not None:
+                    found[left * size + right] = rank
+        keys = np.array(sorted(found), np.int64)
+        return keys, np.array([found[k] for k in keys.tolist()], np.int32)
+
+    @cached_property
+    def _pad(self) -> int:
+        """No token: fills rows behind their end."""
+        return max(self.bytes) + 1
+
+    def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys, made = self._pairs
+        wanted = left.astype(np.int64) * (self._pad + 1) + right
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, made[at], NEVER_32)
+
+    def merge_many(self, pieces: Sequence[bytes]) -> list[bytes]:
+        """``merge`` of pieces, none of them empty, side by side: a step merges the best pair of every piece that has one.
+
+        Ids are given as bytes, as the memory of words holds them. The rows of the table are as long as the longest piece, so pieces should be of similar length.
+        """
+        out, kind = [b""] * len(pieces), self.words.kind
+        if not pieces:
+            return out
+        width = max(map(len, pieces))
+        single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        tokens = single[np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8)].reshape(-1, width)
+        tokens[np.arange(width) >= np.array(list(map(len, pieces)))[:, None]] = self._pad
+        pairs = self._pair_ranks(tokens[:, :-1], tokens[:, 1:])
+        number = np.arange(len(pieces))
+        while True:
+            row = np.arange(len(tokens))
+            # The first of the least, as a scan from the left finds it.
+            at = pairs.argmin(axis=1) if pairs.shape[1] else np.zeros(len(tokens), np.int64)
+            best = pairs[row, at] if pairs.shape[1] else np.full(len(tokens), NEVER_32)
+            ready = best == NEVER_32
+            if ready.any():
+                size = kind.itemsize
+                ends = (tokens[ready] != self._pad).sum(axis=1) * size
+                ids, begins = tokens[ready].astype(kind).tobytes(), np.arange(len(ends)) * (tokens.shape[1] * size)
+                for i, begin, end in zip(number[ready].tolist(), begins.tolist(), (begins + ends).tolist(), strict=True):
+                    out[i] = ids[begin:end]
+                tokens, pairs, number, at, best = (x[~ready] for x in (tokens, pairs, number, at, best))
+                if not len(tokens):
+                    break
+                row = np.arange(len(tokens))
+            tokens[row, at] = best
+            tokens, pairs = _without(tokens, at + 1), _without(pairs, at)
+            # Only the pairs on either side of the new token have changed.
+            i = np.nonzero(at < pairs.shape[1])[0]
+            pairs[i, at[i]] = self._pair_ranks(tokens[i, at[i]], tokens[i, at[i] + 1])
+            i = np.nonzero(at > 0)[0]
+            pairs[i, at[i] - 1] = self._pair_ranks(tokens[i, at[i] - 1], tokens[i, at[i]])
+        return out
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """``piece`` of many words, as bytes."""
+        pieces = [word.encode() for word in words]
+        whole = [self.ranks.get(p) for p in pieces]
+        merged = iter(self.merge_many([p for p, w in zip(pieces, whole, strict=True) if w is None]))
+        return [next(merged) if w is None else np.array([w], self.words.kind).tobytes() for w in whole]
+
     def settled(self, left: int, right: int) -> bool:
         """Whether merging the bytes of the two tokens gives the two."""
         return self._settled[left, right]
@@ -134,7 +214,7 @@ class Encoder:
         return self.join_tokens(self._halves(run[:middle]), self._halves(run[middle:]))
 
     def _pieces(self, text: str) -> list[int]:
-        return [i for p in self.pattern.findall(text) for i in self.piece(p.encode())]
+        return [i for p in self.pattern.findall(text) for i in self._short[p]]
 
     # Texts
 
@@ -215,9 +295,11 @@ def encoded(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataF
     others = [c for c in df.columns if c not in (text, "ids")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, pattern).encode
+        own = encoder(path, pattern)
         for batch in slices(batches):
-            found = [encode(t or "") for t in batch.column(0).to_pylist()]
+            texts = [t or "" for t in batch.column(0).to_pylist()]
+            own.words.learn(texts)
+            found = list(map(own.encode, texts))
             ends = np.cumsum([0, *map(len, found)])
             flat = np.concatenate(found).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))

@@ -40,6 +40,16 @@ class Recent(dict):
         self[key] = value
         return value
 
+    def knows(self, key: Any) -> bool:
+        return key in self or key in self.old
+
+    def learn(self, keys: Sequence, values: Sequence) -> None:
+        """Remember these values, at most ``MOST_REMEMBERED`` at a time."""
+        if len(self) + len(keys) > MOST_REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        self.update(zip(keys, values, strict=True))
+
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows in smaller batches, so that few are Python values at the same time."""

@@ -11,14 +11,16 @@ from __future__ import annotations
 import base64
 import json
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 
 import numpy as np
 
-from riskloom.llm.common import Recent
+from riskloom.llm.common import LONGEST_REMEMBERED, Recent
 
 Encode = Callable[[str], list[int]]
+#: Words whose ids are made at the same time.
+TOGETHER = 4096
 #: Letters up to here are letters in every version of Unicode that the libraries may follow.
 LAST_LATIN = "\u024f"
 #: Marks that end a letter's run: no alternative of the pattern goes from a letter into one of these.
@@ -36,6 +38,10 @@ def byte_chars() -> dict[int, int]:
 BYTE_CHARS = byte_chars()
 
 
+def latin(word: str) -> bool:
+    return word.isascii() or max(word) <= LAST_LATIN
+
+
 class WordMemory(Recent):
     """Ids of ``lead + word`` as bytes; None for a word after which a text must not be cut."""
 
@@ -46,7 +52,7 @@ class WordMemory(Recent):
         self.marks: dict[str, bytes] = {}
 
     def _ids(self, word: str) -> bytes | None:
-        if word.isalpha() and max(word) <= LAST_LATIN:
+        if word.isalpha() and latin(word):
             ids = array(self.code, self.letters(self.lead + word)).tobytes()
         elif (not word and self.lead) or word[-1:].isspace():
             ids = None
@@ -75,15 +81,46 @@ class WordMemory(Recent):
 class TextEncoder:
     """Ids of texts by an encoding function, as little-endian bytes of ``kind``.
 
-    ``letters`` may be a quicker function for a word of Latin letters, with or without a blank before it.
+    ``letters`` may be a quicker function for a word of Latin letters, with or without a blank before it, and
+    ``many`` one for a list of such words, of similar length, that gives the ids of each as bytes of ``kind``.
     """
 
-    def __init__(self, encode: Encode, kind: str = "<u2", letters: Encode | None = None):
-        self.encode, self.kind = encode, np.dtype(kind)
+    def __init__(
+        self,
+        encode: Encode,
+        kind: str = "<u2",
+        letters: Encode | None = None,
+        many: Callable[[list[str]], list[bytes]] | None = None,
+    ):
+        self.encode, self.many, self.kind = encode, many, np.dtype(kind)
         code = self.kind.char
         self.first = WordMemory(encode, "", code, letters)
         self.later = WordMemory(encode, " ", code, letters, self.first)
 
+    def learn(self, texts: Iterable[str]) -> None:
+        """Make the ids of the texts' new words of Latin letters, many at a time; all other words are left to the moment they are met."""
+        if self.many is None:
+            return
+        met: set[str] = set()
+        for text in texts:
+            met.update(text.split(" "))
+        lines = [word.split("\n") for word in met if "\n" in word]
+        self._learn(self.later, met.union(parts[0] for parts in lines))
+        self._learn(self.first, {part for parts in lines for part in parts[1:]})
+
+    def _learn(self, memory: WordMemory, words: set[str]) -> None:
+        new = set()
+        for word in words:
+            if word not in memory:
+                if word[-1:] in MARKS:
+                    word = word[:-1]
+                if len(word) <= LONGEST_REMEMBERED and word.isalpha() and latin(word) and not memory.knows(word):
+                    new.add(word)
+        ordered = sorted(new, key=len)
+        for at in range(0, len(ordered), TOGETHER):
+            some = ordered[at : at + TOGETHER]
+            memory.learn(some, self.many([memory.lead + word for word in some]))
+
     def __call__(self, text: str) -> bytes:
         words = text.split(" ")
         try:

@@ -1,13 +1,14 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from riskloom.llm import bpe
+from riskloom.llm import bpe, common, tokens
 from riskloom.llm.bpe import Encoder, decoded, encoded
 from riskloom.llm.queries import op3_bpe_tree
 from riskloom.llm.tokens import ranks
@@ -66,6 +67,34 @@ def test_long_pieces_match_the_plain_merge():
         assert ours.merge(run) == [ours.ranks[p] for p in plain] == ours._halves(run)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("abcdeinorst éß漢'"), min_size=1, max_size=25), max_size=12))
+def test_pieces_side_by_side_are_the_pieces_alone(words):
+    pieces = [w.encode() for w in words]
+    for ours in OURS.values():
+        assert [np.frombuffer(ids, ours.words.kind).tolist() for ids in ours.merge_many(pieces)] == [ours.merge(p) for p in pieces]
+
+
+def test_learnt_words_have_the_ids_of_words_met():
+    text = "Einführung, unforgettably zzzqqqxxyy! a  b\nnew line. " + "x" * 70 + " 12 don't naïve. the the,"
+    for path in PATHS:
+        ours = Encoder(path, public_tokenizers.PATTERN)
+        ours.words.learn([text, ""])
+        assert ours.words.later.knows("unforgettably") and ours.words.later.knows("naïve") and not ours.words.later.knows("x" * 70)
+        assert ours.encode(text).tolist() == LIBRARY[path].encode_ordinary(text)
+
+
+def test_learning_keeps_memory_bounded(monkeypatch):
+    monkeypatch.setattr(common, "MOST_REMEMBERED", 100)
+    ours = Encoder(PATHS[0], public_tokenizers.PATTERN)
+    monkeypatch.setattr(tokens, "TOGETHER", 40)
+    letters = "abcdefghij"
+    text = " ".join(a + b + c for a in letters for b in letters for c in letters)
+    ours.words.learn([text])
+    assert len(ours.words.later) <= 100 and len(ours.words.later.old) <= 100
+    assert ours.encode(text).tolist() == LIBRARY[PATHS[0]].encode_ordinary(text)
+
+
 def test_joins_of_any_two_parts():
     ours, library = OURS[PATHS[0]], LIBRARY[PATHS[0]]
     text = "It's 'll 're   here, x'r e 12ab3\n\n  end.'s''s  \t'v e  word, " + "aaab" * 20
