@@ -278,9 +278,21 @@ class Encoder:
         left, right = text[:middle], text[middle:]
         return self.join(left, self.encode(left), right, self.encode(right))
 
+    @cached_property
+    def _spelled(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all tokens one after another, and where each id's begin and how many they are."""
+        tokens = [self.bytes.get(i, b"") for i in range(self._pad)]
+        lengths = np.array(list(map(len, tokens)))
+        return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(lengths) - lengths, lengths
+
     def decode(self, ids: Sequence[int]) -> bytes:
         if len(ids) <= LEAF:
-            return b"".join(map(self.bytes.__getitem__, ids))
+            spelled, begins, lengths = self._spelled
+            ids = np.asarray(ids, np.int64)
+            sizes = lengths[ids]
+            ends = np.cumsum(sizes)
+            # Each byte's place: its token's begin, and its own place in the token.
+            return spelled[np.repeat(begins[ids] - ends + sizes, sizes) + np.arange(sizes.sum())].tobytes()
         middle = len(ids) // 2
         return self.decode(ids[:middle]) + self.decode(ids[middle:])
 
@@ -316,7 +328,10 @@ def decoded(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = encoder(path, pattern).decode
         for batch in slices(batches):
-            found = [None if i is None else decode(i) for i in batch.column(batch.num_columns - 1).to_pylist()]
+            listed = batch.column(batch.num_columns - 1)
+            flat, ends = listed.values.to_numpy(zero_copy_only=False), listed.offsets.to_numpy()
+            known = listed.is_valid().to_numpy(zero_copy_only=False)
+            found = [decode(flat[a:b]) if k else None for a, b, k in zip(ends[:-1], ends[1:], known, strict=True)]
             data = pa.array(found, pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, data], names=[*others, ids, "decoded"])
 

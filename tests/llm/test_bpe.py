@@ -126,4 +126,7 @@ def test_nulls_repeats_and_clashing_columns(rows, monkeypatch):
     assert ids.columns == ["doc_id", "ids"]
     got = decoded(ids, PATHS[0], public_tokenizers.PATTERN).orderBy("doc_id").collect()
     assert [bytes(r.decoded) for r in got] == [b"", b"", long.encode(), long.encode()]
+    some = rows([(1, None), (2, []), (3, [65, 66])], "doc_id long, ids array<int>")
+    got = decoded(some.coalesce(1), PATHS[0], public_tokenizers.PATTERN).orderBy("doc_id").collect()
+    assert [r.decoded and bytes(r.decoded) for r in got] == [None, b"", OURS[PATHS[0]].bytes[65] + OURS[PATHS[0]].bytes[66]]
     assert encoded(rows([], "doc_id long, text string"), PATHS[0], public_tokenizers.PATTERN).count() == 0
