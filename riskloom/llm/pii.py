@@ -9,7 +9,9 @@ by its format (counts, runs, check digits, entropy) and context (what stands aro
 There are no labelled spans, so the trees learn from what is certain: candidates that hold a base span, or a
 key behind a word that announces one, are positive, as are copies of them written otherwise (without the
 plus sign, with "(at)"); the rest is negative. A third of the candidates, by hash, only serves to calibrate: for each
-generator, the threshold is the lowest with a precision of ``PRECISION``. Candidates over it that touch no base span are added.
+generator, the threshold is the lowest with a precision of ``PRECISION``. Candidates over it that touch no base span are added,
+and so are secrets that hold one whole. Secrets are proposed whole, up to the closing quote or white space behind a key word
+and with all parts that dots join, and never inside one another, so no redaction ends inside one that is found.
 
 The trees learn from at most ``TRAIN_CANDIDATES`` candidates of each kind and label, drawn by hash from those of all
 texts, so a rare kind is learnt beside millions of others. The thresholds come from the scores of every candidate
@@ -126,7 +128,16 @@ GENERATORS = {
 }
 _DIGIT = re.compile(r"[0-9]")
 _SPELLED = re.compile(rf"{_AT}|\sdot\s", re.I)
-_AFTER_KEY = re.compile(r"[A-Za-z0-9_-]*(?:pass|pwd|secret|token|key|auth)[A-Za-z0-9_-]*\s{0,2}[=:]\s{0,2}[\"']?$", re.I)
+_KEY_WORD = r"(?:pass|pwd|secret|token|key|auth(?!or))[A-Za-z0-9_-]*[\"']?\s{0,2}"
+_KEY = re.compile(rf"{_KEY_WORD}\Z", re.I)
+_AFTER_KEY = re.compile(rf"{_KEY_WORD}[=:]\s{{0,2}}[\"']?\Z", re.I)
+_SEPARATOR = re.compile(r"[=:](?!=|//)\s{0,2}")
+_QUOTED = {'"': re.compile(r'(?:[^"\\\n]|\\.)++(?=")'), "'": re.compile(r"(?:[^'\\\n]|\\.)++(?=')")}
+_BARE = re.compile(r"\S++")
+_SYMBOL = re.compile(r"[0-9!@#$%^&*+=]")
+_LETTER = re.compile(r"[A-Za-z]")
+_DOTTED = re.compile(r"(?:\.[A-Za-z0-9_+/-]++={0,2})*+")
+_TOKEN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_+/-=.")
 _KEY_VALUE = re.compile(r"([A-Za-z_-]{2,20})=([A-Za-z0-9_+/-]{8,}+)")
 _CUES = (
     re.compile(r"mail|contact|write|e-mail", re.I),
@@ -136,6 +147,60 @@ _CUES = (
 )
 
 
+def keyed_secrets(text: str) -> list[Span]:
+    """Values behind a word that announces a secret, whole: up to the closing quote, or else up to white space.
+
+    Marks that end a clause do not belong to a value without quotes. Values have at least 8 characters; behind a colon, where
+    prose may follow, and with blanks in them (in quotes behind an equals sign only) they hold letters and a digit or symbol too.
+    """
+    found, at = [], 0
+    while m := _SEPARATOR.search(text, at):
+        start = at = m.end()
+        if not _KEY.search(text, max(0, m.start() - 40), m.start()):
+            continue
+        quote = _QUOTED.get(text[start : start + 1])
+        start += quote is not None
+        closed = quote.match(text, start) if quote else None
+        value = closed or _BARE.match(text, start)
+        if not value:
+            continue
+        word = value[0] if closed else value[0].rstrip(".,;")
+        prose, blanks = text[m.start()] == ":", any(map(str.isspace, word))
+        if len(word) < 8 or (blanks and prose):
+            continue
+        if not (prose or blanks) or (_LETTER.search(word) and _SYMBOL.search(word, 0, len(word) - prose)):
+            found.append((start, start + len(word), "secret"))
+            at = value.end()
+    return found
+
+
+def tokens(text: str) -> list[Span]:
+    """Long tokens of letters and digits, each with the parts that dots join to it."""
+    found, at = [], 0
+    while m := GENERATORS["secret"].search(text, at):
+        start, end = m.span()
+        if any(map(str.isdigit, m[0])) and any(map(str.isalpha, m[0])):
+            # Back to the last span at most, so that a text is walked through once.
+            while start > at and text[start - 1] in _TOKEN_CHARS:
+                start -= 1
+            while text[start] in ".=":
+                start += 1
+            end = _DOTTED.match(text, end).end()
+            found.append((start, end, "secret"))
+        at = end
+    return found
+
+
+def widest(spans: list[Span]) -> list[Span]:
+    """Spans that lie in no other one, so that nothing is taken in part."""
+    kept, reach = [], -1
+    for span in sorted(spans, key=lambda s: (s[0], -s[1])):
+        if span[1] > reach:
+            kept.append(span)
+            reach = span[1]
+    return kept
+
+
 def candidates(text: str) -> list[Span]:
     """All that the generators propose, by place. What a text surely lacks is not looked for."""
     found: set[Span] = set()
@@ -144,11 +209,12 @@ def candidates(text: str) -> list[Span]:
         found.update((*m.span(), "address") for m in GENERATORS["address"].finditer(text))
     if has_digit:
         found.update((*m.span(), "number") for m in GENERATORS["number"].finditer(text))
-        for m in GENERATORS["secret"].finditer(text):
-            if any(map(str.isdigit, m[0])) and any(map(str.isalpha, m[0])):
-                found.add((*m.span(), "secret"))
+    secrets = tokens(text) if has_digit else []
     if "=" in text:
-        found.update((*m.span(2), "secret") for m in _KEY_VALUE.finditer(text))
+        secrets += [(*m.span(2), "secret") for m in _KEY_VALUE.finditer(text)]
+    if "=" in text or ":" in text:
+        secrets += keyed_secrets(text)
+    found.update(widest(secrets))
     return sorted(found)
 
 
@@ -282,13 +348,19 @@ class Trees:
         return 1 / (1 + np.exp(-2 * margin))
 
     def chosen(self, text: str, base: list[Span]) -> list[Span]:
-        """Candidates over the threshold that touch no base span; of overlapping ones the likeliest."""
+        """Candidates over the threshold; of overlapping ones the likeliest, but values behind a key before others.
+        Only secrets may touch base spans, namely those that they hold and are wider than."""
         known = Placed(base)
-        proposed = [c for c in candidates(text) if not any(known.touching(c[0], c[1]))]
+        proposed = [
+            c
+            for c in candidates(text)
+            if all(c[2] == "secret" and c[0] <= s and e <= c[1] and (s, e) != c[:2] for s, e, _ in known.touching(c[0], c[1]))
+        ]
         if not proposed:
             return []
         scores = self.probabilities(np.array([features(text, *c) for c in proposed]))
-        fine = [(score, c) for score, c in zip(scores.tolist(), proposed, strict=True) if score >= self.thresholds[c[2]]]
+        keyed = set(keyed_secrets(text))
+        fine = [(score + (c in keyed), c) for score, c in zip(scores.tolist(), proposed, strict=True) if score >= self.thresholds[c[2]]]
         return likeliest(fine)
 
 

@@ -58,12 +58,50 @@ def test_base_spans_in_mixed_text(seed):
 
 def test_long_runs_take_linear_time():
     start = time.time()
-    for text in ("1" * 300_000, "a" * 300_000 + "@", "1." * 150_000, "+1 " + " " * 300_000, "a@" * 100_000, "1 " * 150_000, "ab=" * 90_000, "(" * 200_000 + "1"):
+    for text in ("1" * 300_000, "a" * 300_000 + "@", "1." * 150_000, "+1 " + " " * 300_000, "a@" * 100_000, "1 " * 150_000, "ab=" * 90_000, "(" * 200_000 + "1", "key=" * 75_000, "key: '" * 50_000, "a1b2c3d4e5f6g7h8." * 18_000, "key=\"" + "\\" * 300_000):
         base_spans(text)
         candidates(text)
     assert time.time() - start < 20
 
 
+@pytest.mark.parametrize(
+    ("text", "secret"),
+    [
+        ("password=Tr0ub4dor&3xyz!long, then", "Tr0ub4dor&3xyz!long"),
+        ("my token: hunter2abc.", "hunter2abc"),
+        ('api_key="sk-abc.def.ghi12345678" here', "sk-abc.def.ghi12345678"),
+        ("passwd='p@ss w0rd'", "p@ss w0rd"),
+        ('{"secret": "abc\\"def123", "x": 1}', 'abc\\"def123'),
+        ("see eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.short_1 there", "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.short_1"),
+        ("a.b1.0123456789abcdef0123 x", "a.b1.0123456789abcdef0123"),
+        ("token='abcdefgh12 and no end", "abcdefgh12"),
+        ("password=" + "aB3$" * 1250, "aB3$" * 1250),
+    ],
+)
+def test_secrets_are_proposed_whole(text, secret):
+    assert [text[s:e] for s, e, k in candidates(text) if k == "secret"] == [secret]
+
+
+@pytest.mark.parametrize("text", ["The key: understanding people.", "Authors: Miller2019x", "key: 2024-05-01", 'The key: "we had 5 reasons"', "pass://host1234", "password=", "token:", "token: !", "key==12345678"])
+def test_prose_behind_a_colon_is_no_secret(text):
+    assert not [c for c in pii.keyed_secrets(text)]
+
+
+def test_a_secret_is_chosen_whole_over_what_it_holds(trees):
+    for text in ("the password = x!Ab3jane.doe@mail3.com today", "token=ab12cd34ef56gh78!555-343-6789-12 x"):
+        secret = text.split("=")[1].split()[0]
+        base = base_spans(text)
+        assert redact(text, base + trees.chosen(text, base)) == text.replace(secret, "[secret]")
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["key", "token=", "pass:", "'", '"', " ", ".", "a1b2c3d4e5f6g7h8", "=", "\\", "\n", "x@y.z", "é"]), max_size=14).map("".join))
+def test_secrets_lie_in_no_other(text):
+    own = [c for c in candidates(text) if c[2] == "secret"]
+    assert all(0 <= s < e <= len(text) for s, e, _ in own)
+    assert not [1 for a in own for b in own if a != b and a[0] <= b[0] and b[1] <= a[1]]
+
+
 def test_query_matches_the_patterns_everywhere(spark):
     docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "text").collect()
     got = {r.doc_id: r for r in op8_pii_boosting(spark, MIDDLE).collect()}
