@@ -12,8 +12,8 @@ from riskloom.catalog.sql import (
     confusion_columns,
     drift_of,
 )
-from riskloom.config import DRIFT_SAMPLE_ROWS
-from riskloom.operators import drift, scoring
+from riskloom.config import DRIFT_PVALUE, DRIFT_SAMPLE_ROWS, DRIFT_STATISTIC
+from riskloom.operators import drift, scoring, summaries
 from riskloom.operators.sampling import ordered_sample
 from riskloom.session import stored
 
@@ -139,3 +139,40 @@ def drift_breaches(spark, folder):
 )
 def drift_verdict(spark, folder):
     return drift.drift_verdict(drift.ks_drift(payload(spark, folder)))
+
+
+#: Few enough that most values at sf0.01 lie between two points.
+FEW_POINTS = 16
+
+
+@check(
+    f"""WITH {PAYLOAD}, {drift_of('payload')},
+ranks AS (SELECT day, column_name, v, n, CAST(sum(n) OVER (PARTITION BY day, column_name ORDER BY v) AS BIGINT) AS upto,
+                 CAST(sum(n) OVER (PARTITION BY day, column_name) AS BIGINT) AS total FROM c)
+SELECT day, column_name, round(v, 9) AS value, upto - n AS below, upto, total AS row_count FROM ranks
+WHERE upto * {FEW_POINTS} // total > (upto - n) * {FEW_POINTS} // total"""
+)
+def window_ranks(spark, folder):
+    found = _day(summaries.window_summaries(payload(spark, folder), points=FEW_POINTS))
+    return found.select("day", "column_name", "row_count", F.inline("points")).withColumn("value", F.round("value", 9))
+
+
+@check(
+    DRIFT + "SELECT column_name, row_count, previous_count, statistic > 0.2 AND pvalue < 0.05 AS breach, true AS bounds_hold "
+    f"FROM drift WHERE {LATEST} AND column_name <> ':table'"
+)
+def summary_breaches(spark, folder):
+    """What the bounds decide, else the exact test; and whether the bounds hold the exact statistic."""
+    rows = payload(spark, folder)
+    table = stored(summaries.window_summaries(rows, points=FEW_POINTS))
+    now, before = (summaries.at_window(table, start) for start in summaries.newest_windows(table))
+    decided = summaries.bounded_breaches(summaries.ks_bounds(now, before))
+    exact = drift.in_latest_window(stored(drift.ks_drift(rows))).select("column_name", "ks_test.*")
+    beyond = (F.col("statistic") > DRIFT_STATISTIC) & (F.col("pvalue") < DRIFT_PVALUE)
+    return decided.join(exact, "column_name").select(
+        "column_name",
+        "row_count",
+        "previous_count",
+        F.coalesce("breach", beyond).alias("breach"),
+        F.col("statistic").between(F.col("statistic_low"), F.col("statistic_high")).alias("bounds_hold"),
+    )

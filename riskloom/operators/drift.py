@@ -66,6 +66,16 @@ def window_sizes(windowed: DataFrame, by: Sequence[str]) -> DataFrame:
     return stored(found.select(*by, "window", "row_count", "_previous", "previous_count", "_next"))
 
 
+def value_counts(windowed: DataFrame, features: Sequence[str] = FEATURES, by: Sequence[str] = ()) -> DataFrame:
+    """Rows ``n`` of each non-null value of each feature per window; a row without a time is in no window."""
+    long = windowed.select(*by, "window", long_form({c: F.col(c) for c in features}, "column_name", "value"))
+    return (
+        long.filter(F.col("value").isNotNull())
+        .groupBy(*by, "window", "column_name", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def ks_drift(
     payload: DataFrame,
     features: Sequence[str] = FEATURES,
@@ -81,12 +91,7 @@ def ks_drift(
     """
     by = list(by)
     windowed = with_window(payload, ts, width)
-    long = windowed.select(*by, "window", long_form({c: F.col(c) for c in features}, "column_name", "value"))
-    counts = (
-        long.filter(F.col("value").isNotNull())
-        .groupBy(*by, "window", "column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    counts = value_counts(windowed, features, by)
     # Stored, so its size is known: Spark broadcasts it only if it is small.
     sizes = window_sizes(windowed, by)
     neighbours = sizes.select(*by, "window", F.col("_previous").isNotNull().alias("_has_previous"), "_next").alias("_w")
