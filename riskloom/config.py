@@ -116,7 +116,6 @@ class TrainingSettings:
     search_folds: int = 3
     max_alerts_per_fraud: float = 100.0
     seed: int = 42
-    parallelism: int = 4
     features: tuple[str, ...] = field(default=FEATURES)
 
     def __post_init__(self):

@@ -4,17 +4,14 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 from itertools import product
 from statistics import fmean
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel, inheritable_thread_target, keyword_only
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark import StorageLevel, keyword_only
+from pyspark.ml import Model, PipelineModel, Transformer
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -26,13 +23,10 @@ from pyspark.sql import functions as F
 from riskloom.config import FEATURES, TXN
 from riskloom.operators.boosting import fit_boosting
 from riskloom.operators.curve import average_precision, pr_curve
+from riskloom.operators.forest import fit_forest
 from riskloom.operators.linear import fit_linear
-from riskloom.session import use_checkpoint_dir
 
 WEIGHT = "weight"
-# Deepest tree Spark ML grows, and the bins of its trees.
-DEEPEST_TREE = 30
-TREE_BINS = 255
 
 
 def class_counts(df: DataFrame, label: str = TXN.label, by: str | None = None) -> dict:
@@ -47,8 +41,7 @@ def class_counts(df: DataFrame, label: str = TXN.label, by: str | None = None) -
 def weight_per_class(counts: Mapping[int, int], mode: str | Mapping[int, float] | None) -> dict[int, float]:
     """The weight of each class's rows. 'balanced' gives every class the same total weight.
 
-    Weights are taken over the whole frame, for 'balanced_subsample' too: Spark draws its
-    bootstraps inside the fit.
+    Weights are taken over the whole frame. A forest replaces those of 'balanced_subsample' by each tree's own.
     """
     if mode is None:
         return dict.fromkeys(counts, 1.0)
@@ -69,11 +62,6 @@ def class_weights(df: DataFrame, mode: str | Mapping[int, float] | None, label:
     return df.sparkSession.createDataFrame(rows, f"`{label}` {kind}, row_count bigint, {WEIGHT} double")
 
 
-def with_class_weight(rows: DataFrame, weights: Mapping[int, float], label: str = TXN.label) -> DataFrame:
-    """Add the column that a fit weighs its rows by."""
-    return rows.withColumn(WEIGHT, F.coalesce(*[F.when(F.col(label) == c, F.lit(w)) for c, w in weights.items()]))
-
-
 def positive_probability(probability: str = "probability") -> Column:
     return vector_to_array(F.col(probability))[1]
 
@@ -104,27 +92,9 @@ def with_threshold(model: Model, threshold: float) -> PipelineModel:
     return PipelineModel([model, AtThreshold(threshold=threshold)])
 
 
-def _forest(params: Mapping, seed: int) -> Sequence[Estimator]:
-    return [
-        RandomForestClassifier(
-            numTrees=params["n_estimators"],
-            maxDepth=params["max_depth"] or DEEPEST_TREE,
-            minInstancesPerNode=params["min_samples_leaf"],
-            maxBins=TREE_BINS,
-            maxMemoryInMB=1024,
-            # Deep trees: keep each row's node instead of walking every tree again per level.
-            cacheNodeIds=True,
-            checkpointInterval=10,
-            seed=seed,
-        )
-    ]
-
-
 #: Fits that take all settings and folds in the same passes over the rows.
-TOGETHER = {"logistic_regression": fit_linear, "hist_gradient_boosting": fit_boosting}
-#: Fits of Spark ML, one after the other.
-ESTIMATORS = {"random_forest": _forest}
-ALGORITHMS = (*TOGETHER, *ESTIMATORS)
+TOGETHER = {"logistic_regression": fit_linear, "hist_gradient_boosting": fit_boosting, "random_forest": fit_forest}
+ALGORITHMS = tuple(TOGETHER)
 
 
 def known_algorithms(grids: Mapping[str, Mapping]) -> tuple[list[str], list[str]]:
@@ -156,15 +126,10 @@ def fit_assembled(
     counts: Mapping[int, int] | None = None,
 ) -> PipelineModel:
     """Fit one setting on an assembled frame; ``counts`` are its rows per class, where known."""
-    use_checkpoint_dir(rows.sparkSession)
     if counts is None:
         counts = class_counts(rows, label)
     weights = weight_per_class(counts, params["class_weight"])
-    if algorithm in TOGETHER:
-        return PipelineModel(TOGETHER[algorithm](rows, [(params, weights, None)], label, seed))
-    stages = list(ESTIMATORS[algorithm](params, seed))
-    stages[-1].setLabelCol(label).setWeightCol(WEIGHT)
-    return Pipeline(stages=stages).fit(with_class_weight(rows, weights, label))
+    return PipelineModel(TOGETHER[algorithm](rows, [(params, weights, None)], label, seed))
 
 
 def fit(
@@ -222,13 +187,11 @@ def search(
     features: Sequence[str] = FEATURES,
     label: str = TXN.label,
     seed: int = 42,
-    parallelism: int = 4,
 ) -> SearchResult:
     """The setting with the best mean average precision over the folds in column ``fold``.
 
-    The sample is assembled once and kept. Linear models and boosting fit all settings on all folds in the same passes;
-    a forest is a Spark job a setting and fold, and ``parallelism`` of them share the cluster. All held-out folds are
-    then measured in one job, as groups of one curve. Equal scores go to the setting listed first.
+    The sample is assembled once and kept. All settings on all folds are fitted in the same passes. All held-out folds
+    are then measured in one job, as groups of one curve. Equal scores go to the setting listed first.
     """
     rows = assembled(sample, features, label, keep=["fold"]).persist(StorageLevel.MEMORY_AND_DISK)
     tasks = [(i, fold) for i in range(len(settings)) for fold in range(folds)]
@@ -246,27 +209,10 @@ def search(
                     counts[c] = counts.get(c, 0) + n
             return counts
 
-        def fit_without(task: tuple[int, int]) -> PipelineModel:
-            i, fold = task
-            part = rows.filter(F.col("fold") != fold)
-            return fit_assembled(part, algorithm, settings[i], label, seed, counts_without(fold))
-
-        if algorithm in TOGETHER:
-            weights = [weight_per_class(counts_without(fold), settings[i]["class_weight"]) for i, fold in tasks]
-            every = [(settings[i], w, fold) for (i, fold), w in zip(tasks, weights, strict=True)]
-            models = TOGETHER[algorithm](rows, every, label, seed)
-            scored = held_out_scores(rows, [(i, fold, m.scorer()) for (i, fold), m in zip(tasks, models, strict=True)], label)
-        else:
-            run = inheritable_thread_target(rows.sparkSession)(fit_without)
-            with ThreadPoolExecutor(max_workers=parallelism) as pool:
-                models = list(pool.map(run, tasks))
-            held_out = [
-                model.transform(rows.filter(F.col("fold") == fold)).select(
-                    label, F.lit(i).alias("setting"), "fold", positive_probability().alias("score")
-                )
-                for (i, fold), model in zip(tasks, models, strict=True)
-            ]
-            scored = reduce(DataFrame.unionByName, held_out)
+        weights = [weight_per_class(counts_without(fold), settings[i]["class_weight"]) for i, fold in tasks]
+        every = [(settings[i], w, fold) for (i, fold), w in zip(tasks, weights, strict=True)]
+        models = TOGETHER[algorithm](rows, every, label, seed)
+        scored = held_out_scores(rows, [(i, fold, m.scorer()) for (i, fold), m in zip(tasks, models, strict=True)], label)
         curves = pr_curve(scored, "score", label, by)
         found = {(r["setting"], r["fold"]): r["average_precision"] for r in average_precision(curves, by).collect()}
     finally:

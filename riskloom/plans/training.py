@@ -83,7 +83,7 @@ def train_and_select(
     for name in algorithms:
         tried = draw_settings(grids[name], settings.search_n_iter, settings.seed)
         searches[name] = search(
-            sample, name, tried, settings.search_folds, features, label, settings.seed, settings.parallelism
+            sample, name, tried, settings.search_folds, features, label, settings.seed
         )
         models[name] = fit(fit_rows, name, searches[name].params, features, label, settings.seed)
         val_scores.append(_scores(models[name], val_rows, name, label))
