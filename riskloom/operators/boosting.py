@@ -16,7 +16,8 @@ Gradients are rounded to whole multiples of a small unit before they are summed,
 which tasks end, and a lost executor changes nothing. Leaves get the Newton value, times the learning rate. A
 tenth of the rows, drawn by their values, is held back; a model stops when ``PATIENCE`` rounds have not lowered its loss.
 
-Every ``STORED_EVERY`` trees each row's margins are written to a new table, which the next passes read.
+Every ``STORED_EVERY`` trees each row's margins are written to a new table, which the next passes read. Between two such
+tables rows find their leaves by ``Lookup``: one gather a feature and tree, however many nodes the tree has.
 """
 
 from __future__ import annotations
@@ -54,6 +55,8 @@ STORED_EVERY = 8
 SMALL = 2048
 #: Up to so many tasks the driver adds their sums itself; beyond, they meet in a grouped aggregate first.
 FEW_TASKS = 32
+#: Key of such a task's sums.
+PACKED = -1
 #: Unit of gradients: 2**-UNIT_BITS of the greatest weight, coarser where sums of all rows would not fit 64 bits.
 UNIT_BITS = 32
 HELD_BACK = 0
@@ -100,6 +103,55 @@ class Tree:
         return [a.tolist() for a in (self.feature, self.threshold, self.left, self.right, self.value)]
 
 
+class Lookup:
+    """The leaves of rows of bins, for a tree of at most 64 leaves, without walking down.
+
+    Leaves have a bit each, from the left. A cut that sends a row to the right rules out the leaves on its left, so a table
+    for each feature says which leaves a bin leaves possible. The first one possible by all features is the row's.
+    """
+
+    def __init__(self, tree: Tree):
+        feature, left, right = tree.feature.tolist(), tree.left.tolist(), tree.right.tolist()
+        leaves, cuts = [], []
+        waiting: list[tuple[int, int | None]] = [(0, None)]
+        while waiting:
+            node, low = waiting.pop()
+            if low is not None:  # its left side is done
+                cuts.append((node, low, len(leaves)))
+            elif feature[node] < 0:
+                leaves.append(node)
+            else:
+                waiting += [(right[node], None), (node, len(leaves)), (left[node], None)]
+        self.tree, self.leaves = tree, np.array(leaves)
+        self.values = tree.value[self.leaves]
+        self.kind = np.uint32 if len(leaves) <= 32 else np.uint64
+        every = int(np.iinfo(self.kind).max)
+        self.tables: dict[int, np.ndarray] = {}
+        for node, low, high in cuts if len(leaves) <= 64 else ():
+            table = self.tables.setdefault(feature[node], np.full(256, every, self.kind))
+            table[int(tree.threshold[node]) + 1 :] &= self.kind(every ^ ((1 << high) - (1 << low)))
+
+    def __call__(self, bins: np.ndarray) -> np.ndarray:
+        """For each row (column of ``bins``) the place of its leaf in ``leaves``."""
+        if len(self.leaves) > 64:
+            found, place = np.zeros(bins.shape[1], int), {n: i for i, n in enumerate(self.leaves.tolist())}
+            for leaf, rows in self.tree.parts(bins):
+                found[rows] = place[leaf]
+            return found
+        if not self.tables:
+            return np.zeros(bins.shape[1], int)
+        possible = None
+        for feature, table in self.tables.items():
+            by = table.take(bins[feature])
+            possible = by if possible is None else np.bitwise_and(possible, by, out=possible)
+        # A power of two has its exponent as its logarithm.
+        first = possible & (~possible + self.kind(1))
+        return (first.astype(np.float64).view(np.int64) >> 52) - 1023
+
+    def add_to(self, margin: np.ndarray, bins: np.ndarray) -> None:
+        margin += self.values.take(self(bins))
+
+
 class TreeSum:
     """Positive probabilities by a sum of trees, for a matrix with a row a feature."""
 
@@ -194,13 +246,24 @@ class Rows:
 
     def histogram(self, ends: np.ndarray) -> np.ndarray:
         """Sums of gradient, second derivative and rows in each bin of each feature, one feature after the other."""
-        out, first = np.zeros((3, int(ends[-1])), np.int64), 0
-        for bins, end in zip(self.bins, ends.tolist(), strict=True):
-            for into, weights in zip(out[:, first:end], (*self.values, None), strict=True):
-                # Exact in floating point: few rows, or those of a block, of 32-bit numbers.
-                into += np.bincount(bins, weights, end - first).astype(np.int64)
-            first = end
-        return out
+        total, first = int(ends[-1]), np.r_[0, ends[:-1]]
+        cells = (self.bins + first[:, None]).ravel()
+        # Exact in floating point: few rows of 32-bit numbers.
+        each = [np.bincount(cells, None if w is None else np.tile(w, len(ends)), total) for w in (*self.values, None)]
+        return np.stack(each).astype(np.int64)
+
+
+def slot_sums(into: np.ndarray, slot: np.ndarray, bins: np.ndarray, values: np.ndarray, ends: np.ndarray) -> None:
+    """Add to ``into`` (slots, 3, bins of all features) the gradients, second derivatives and number of rows, by slot and bin."""
+    g, h = values.astype(np.float64)
+    first = 0
+    for of_feature, end in zip(bins, ends.tolist(), strict=True):
+        size = end - first
+        cells = slot * size + of_feature
+        for i, w in enumerate((g, h, None)):
+            # Exact in floating point: the rows of a block, of 32-bit numbers.
+            into[:, i, first:end] += np.bincount(cells, w, len(into) * size).astype(np.int64).reshape(-1, size)
+        first = end
 
 
 class Growing:
@@ -209,7 +272,10 @@ class Growing:
     def __init__(self, params: Mapping, weights: Mapping[int, float], without: int | None, start: float, cuts, unit: float, most: int):
         self.params, self.weights, self.without = params, weights, without
         self.start, self.cuts, self.unit = start, cuts, unit
-        self.ends = np.cumsum([len(c) + 1 for c in cuts])
+        self.sizes = np.array([len(c) + 1 for c in cuts])
+        self.ends = np.cumsum(self.sizes)
+        self.inside = np.ones(int(self.ends[-1]), bool)
+        self.inside[self.ends - 1] = False
         self.trees: list[Tree] = []
         self.stored = 0
         self.losses: list[float] = []
@@ -223,24 +289,22 @@ class Growing:
         """The cut of the node that gains most: feature, bin, and the left side's sums."""
         if node.depth >= (self.params["max_depth"] or 1 << 30):
             return
-        first = 0
         g, h = node.sums[:2] * self.unit
         least = self.params["min_samples_leaf"]
-        for feature, end in enumerate(self.ends.tolist()):
-            left = np.cumsum(node.histogram[:, first : end - 1], axis=1)
-            first = end
-            if not left.shape[1]:
-                continue
-            gl, hl = left[:2] * self.unit
-            gr, hr = g - gl, h - hl
-            fits = (left[2] >= least) & (node.sums[2] - left[2] >= least) & (hl >= LEAST_HESSIAN) & (hr >= LEAST_HESSIAN)
-            if not fits.any():
-                continue
-            with np.errstate(divide="ignore", invalid="ignore"):
-                gains = np.where(fits, gl * gl / hl + gr * gr / hr - g * g / h, -np.inf)
-            at = int(gains.argmax())
-            if gains[at] > node.gain:
-                node.gain, node.cut = float(gains[at]), (feature, at, left[:, at])
+        # Running sums within each feature; the last bin of a feature is no place for a cut.
+        upto = np.cumsum(node.histogram, axis=1)
+        left = upto - np.repeat(np.c_[np.zeros(3, np.int64), upto[:, self.ends[:-1] - 1]], self.sizes, axis=1)
+        gl, hl = left[:2] * self.unit
+        gr, hr = g - gl, h - hl
+        fits = self.inside & (left[2] >= least) & (node.sums[2] - left[2] >= least) & (hl >= LEAST_HESSIAN) & (hr >= LEAST_HESSIAN)
+        if not fits.any():
+            return
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gains = np.where(fits, gl * gl / hl + gr * gr / hr - g * g / h, -np.inf)
+        at = int(gains.argmax())
+        if gains[at] > node.gain:
+            feature = int(self.ends.searchsorted(at, "right"))
+            node.gain, node.cut = float(gains[at]), (feature, at - int(self.ends[feature] - self.sizes[feature]), left[:, at])
 
     def reached(self) -> tuple[list[Node], list[Node]]:
         """Best leaf first with the cuts known: the nodes to be cut, and those of them without children yet."""
@@ -302,8 +366,11 @@ class Growing:
             return  # neither child can be cut
         if node.rows:
             below = node.rows.bins[feature] <= at
-            for child, part in ((node.left, node.rows.part(below)), (node.right, node.rows.part(~below))):
-                self._settle(child, part.histogram(self.ends), part)
+            parts = {node.left: node.rows.part(below), node.right: node.rows.part(~below)}
+            fewer, other = sorted(parts, key=lambda child: self.nodes[child].sums[2])
+            histogram = parts[fewer].histogram(self.ends)
+            self._settle(fewer, histogram, parts[fewer])
+            self._settle(other, node.histogram - histogram, parts[other])
             node.rows = node.histogram = None
         else:
             fewer = node.left if left[2] <= right[2] else node.right
@@ -349,7 +416,7 @@ class _State:
         self.n = batch.column("rows")[i].as_py()
         get = lambda name, kind: np.frombuffer(batch.column(name)[i].as_buffer(), kind)
         self.bins = get("bins", np.uint8).reshape(-1, self.n)
-        self.y, self.fold, self.draw = (get(c, "<i4") for c in ("y", "fold", "draw"))
+        self.y, self.fold, self.draw = get("y", np.int8), get("fold", "<i4"), get("draw", np.int8)
         self.margins = get("margins", "<f8").reshape(models, self.n).copy()
 
 
@@ -363,7 +430,7 @@ def _binned(rows: DataFrame, cuts: Sequence[np.ndarray], starts: Sequence[float]
     def of(block: Block) -> list:
         bins = np.stack([np.searchsorted(c, x, "left") for c, x in zip(cuts, block.x, strict=True)]).astype(np.uint8)
         margins = np.repeat(np.array(starts, "<f8")[:, None], block.n, axis=1)
-        return [block.n, bins.tobytes(), *[a.tobytes() for a in (block.y, block.fold, block.draw)], margins.tobytes()]
+        return [block.n, bins.tobytes(), block.y.astype(np.int8).tobytes(), block.fold.tobytes(), block.draw.astype(np.int8).tobytes(), margins.tobytes()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f.split()[0] for f in STATE.split(", ")]
@@ -379,8 +446,9 @@ def _moved_on(state: DataFrame, models: int, new: Sequence[Sequence[Tree]]) -> D
     """The state with the margins of more trees."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookups = [[Lookup(tree) for tree in trees] for trees in new]
         for batch, i, block in _states(batches, models):
-            for margin, trees in zip(block.margins, new, strict=True):
+            for margin, trees in zip(block.margins, lookups, strict=True):
                 for tree in trees:
                     tree.add_to(margin, block.bins)
             columns = [batch.column(c).slice(i, 1) for c in range(batch.num_columns - 1)]
@@ -399,46 +467,76 @@ def _pass(state: DataFrame, tasks: int, models: Sequence[Growing], unit: float,
             asked.append((number, m.without, dict(m.weights), m.trees[m.stored :], tree, wanted))
     of_slot = [as_rows for a in asked for _, as_rows in a[-1]]
     slots, per_node, count, features = len(of_slot), int(ends[-1]), len(models), len(ends)
+    few = tasks <= FEW_TASKS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((slots, 3, per_node), np.int64)
         losses = np.zeros((count, 3), np.int64)
         sent: list[tuple[int, bytes]] = []
+        ready, slot = [], 0
+        for number, without, weights, trees, tree, wanted in asked:
+            # Which of the wanted nodes each leaf is; those beyond the last are none.
+            leaves = Lookup(tree) if tree else None
+            order = {node: i for i, (node, _) in enumerate(wanted)}
+            which = np.array([order.get(n, len(wanted)) for n in (leaves.leaves.tolist() if tree else [0])])
+            of_label = np.array([weights.get(0, 0.0), weights.get(1, 0.0)])
+            ready.append((number, without, of_label, [Lookup(t) for t in trees], leaves, which, [r for _, r in wanted], slot))
+            slot += len(wanted)
         for _, _, block in _states(batches, count):
-            slot = 0
-            for number, without, weights, trees, tree, wanted in asked:
+            for number, without, of_label, trees, leaves, which, as_rows, slot in ready:
                 margin = block.margins[number]
                 for done in trees:
                     done.add_to(margin, block.bins)
-                w = np.where(block.y == 1, weights.get(1, 0.0), weights.get(0, 0.0))
-                use = np.ones(block.n, bool) if without is None else block.fold != without
-                back = use & (block.draw == HELD_BACK)
-                use &= block.draw != HELD_BACK
-                if tree is None:
-                    loss = np.logaddexp(0, margin) - block.y * margin
+                use = block.draw != HELD_BACK
+                if without is not None:
+                    use &= block.fold != without
+                if leaves is None:
+                    back = block.draw == HELD_BACK
+                    if without is not None:
+                        back &= block.fold != without
+                    y, m = block.y[back], margin[back]
+                    w = of_label[(y == 1).astype(int)]
+                    loss = np.logaddexp(0, m) - y * m
                     # Losses are rounded as gradients are, to a thousand times their unit.
-                    held = [np.rint((w * loss)[back] / (1000 * unit)).sum(), np.rint(w[back] / (1000 * unit)).sum(), 0]
+                    held = [np.rint((w * loss) / (1000 * unit)).sum(), np.rint(w / (1000 * unit)).sum(), 0]
                     losses[number] += np.array(held).astype(np.int64)
-                p = np.exp(-np.logaddexp(0, -margin))
-                values = np.rint(np.stack([w * (p - block.y), w * p * (1 - p)]) / unit).astype(np.int64)
-                found = {0: np.arange(block.n)} if tree is None else dict(tree.parts(block.bins, {n for n, _ in wanted}))
-                for node, as_rows in wanted:
-                    rows = found.get(node, np.empty(0, int))
-                    part = Rows(block.bins, values).part(rows[use[rows]])
-                    if as_rows:
-                        sent.append((slot * per_node, part.sent()))
-                    else:
-                        sums[slot] += part.histogram(ends)
-                    slot += 1
+                    rows = np.flatnonzero(use)
+                    at = np.zeros(len(rows), int)
+                else:
+                    at = which.take(leaves(block.bins))
+                    rows = np.flatnonzero(use & (at < len(as_rows)))
+                    at = at[rows]
+                y = block.y[rows]
+                p = np.exp(-np.logaddexp(0, -margin[rows]))
+                w = of_label[(y == 1).astype(int)]
+                values = np.rint(np.stack([w * (p - y), w * p * (1 - p)]) / unit).astype(np.int64)
+                bins = block.bins[:, rows]
+                for i in [i for i, whole in enumerate(as_rows) if whole]:
+                    sent.append(((slot + i) * per_node, Rows(bins, values).part(at == i).sent()))
+                if not all(as_rows):
+                    summed = np.flatnonzero(~np.array(as_rows))
+                    if len(summed) < len(as_rows):
+                        place = np.full(len(as_rows), -1)
+                        place[summed] = np.arange(len(summed))
+                        at = place[at]
+                        some = at >= 0
+                        at, bins, values = at[some], bins[:, some], values[:, some]
+                    part = np.zeros((len(summed), 3, per_node), np.int64)
+                    slot_sums(part, at, bins, values, ends)
+                    sums[slot + summed] += part
         flat = np.concatenate([sums.transpose(0, 2, 1).reshape(-1, 3), losses])
         keys = np.flatnonzero(flat.any(axis=1))
+        if few:
+            # As one value, for rows of numbers cost the driver more than their sums.
+            sent.append((PACKED, np.c_[keys, flat[keys]].astype("<i8").tobytes()))
+            keys = keys[:0]
         numbers = [pa.array(np.r_[c, np.zeros(len(sent), int)]) for c in flat[keys].T]
         key = pa.array(np.r_[keys, np.array([k for k, _ in sent], int)])
         data = pa.array([None] * len(keys) + [d for _, d in sent], pa.binary())
         yield pa.RecordBatch.from_arrays([key, *numbers, data], names=["key", "g", "h", "n", "data"])
 
     each = state.mapInArrow(run, "key bigint, g bigint, h bigint, n bigint, data binary")
-    if tasks > FEW_TASKS:
+    if not few:
         sums = [F.sum(c).alias(c) for c in ("g", "h", "n")]
         each = each.groupBy("key").agg(*sums, F.collect_list("data").alias("data"))
     else:
@@ -446,10 +544,16 @@ def _pass(state: DataFrame, tasks: int, models: Sequence[Growing], unit: float,
     rows = each.toArrow()
     flat = np.zeros((slots * per_node + count, 3), np.int64)
     keys = rows.column("key").to_numpy()
-    np.add.at(flat, keys, np.stack([rows.column(c).to_numpy() for c in ("g", "h", "n")], axis=1))
+    if not few:
+        flat[keys] = np.stack([rows.column(c).to_numpy() for c in ("g", "h", "n")], axis=1)
     data: dict[int, list[bytes]] = {}
     for at in np.flatnonzero(pc.list_value_length(rows.column("data")).to_numpy()).tolist():
-        data.setdefault(int(keys[at]) // per_node, []).extend(rows.column("data")[at].as_py())
+        values = rows.column("data")[at].as_py()
+        if keys[at] == PACKED:
+            cells = np.frombuffer(values[0], "<i8").reshape(-1, 4)
+            flat[cells[:, 0]] += cells[:, 1:]
+        else:
+            data.setdefault(int(keys[at]) // per_node, []).extend(values)
     sums = flat[: slots * per_node].reshape(slots, per_node, 3).transpose(0, 2, 1)
     found = [Rows.read(data.get(slot, []), features) if as_rows else sums[slot] for slot, as_rows in enumerate(of_slot)]
     return found, flat[slots * per_node :]

@@ -149,3 +149,30 @@ def test_linear_models_of_separable_and_flat_features(spark, tmp_path):
     x = np.array([[r[2] for r in data], [r[3] for r in data]])
     p = [r[0] for r in scored.select(vector_to_array("probability")[1]).collect()]
     assert p == pytest.approx(model.scorer()(x).tolist())
+
+
+@pytest.mark.parametrize("leaves", [1, 2, 31, 33, 64, 70])
+def test_lookup_finds_the_leaves_that_walking_down_finds(leaves):
+    rng = np.random.default_rng(leaves)
+    feature, threshold, left, right = [-1], [0], [0], [0]
+    for _ in range(leaves - 1):
+        leaf = int(rng.choice([i for i, f in enumerate(feature) if f < 0]))
+        feature[leaf], threshold[leaf] = int(rng.integers(0, 4)), int(rng.integers(0, 254))
+        left[leaf], right[leaf] = len(feature), len(feature) + 1
+        for into, what in ((feature, -1), (threshold, 0), (left, 0), (right, 0)):
+            into += [what, what]
+    tree = boosting.Tree(feature, threshold, left, right, rng.normal(size=len(feature)))
+    bins = rng.integers(0, 255, (4, 3000)).astype(np.uint8)
+    walked, looked = np.zeros(3000), np.zeros(3000)
+    tree.add_to(walked, bins)
+    boosting.Lookup(tree).add_to(looked, bins)
+    assert walked.tolist() == looked.tolist()
+
+
+def test_few_tasks_send_their_sums_as_one_value_each(table, monkeypatch):
+    seen_rows = []
+    real = boosting.pc.list_value_length
+    monkeypatch.setattr(boosting.pc, "list_value_length", lambda c: seen_rows.append(len(c)) or real(c))
+    monkeypatch.setattr(boosting, "SMALL", 0)
+    fit_boosting(table, [({**PARAMS, "max_iter": 2}, {0: 1.0, 1: 1.0}, None)], "isFraud")
+    assert seen_rows and max(seen_rows) <= 3
