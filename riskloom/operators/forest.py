@@ -433,15 +433,17 @@ def tree_weights(params: Mapping, weights: Mapping[int, float], draws: Sequence[
     return tuple(float(sum(draws) / (len(present) * d)) if d else 0.0 for d in draws)
 
 
-def fit_forest(
+def each_forest(
     rows: DataFrame,
     settings: Sequence[tuple[Mapping, Mapping[int, float], int | None]],
     label: str,
     seed: int = 42,
     whole: int = WHOLE,
-) -> list[ForestTrees]:
-    """A model for each (settings, weight per class, fold to leave out or None), from an assembled frame.
+) -> Iterator[TreeMean]:
+    """The forest of each (settings, weight per class, fold to leave out or None), from an assembled frame, one by one.
 
+    The tops of all forests grow in the same passes, what is below them forest by forest, so the driver holds the
+    nodes of one whole forest at a time, unless the caller keeps more.
     ``whole`` bounds the rows of a node that go to one task; it changes how trees are grown, never which.
     """
     width = len(rows.select("features").first()[0])
@@ -459,10 +461,29 @@ def fit_forest(
             plans[-1].place(0, n, draws, whole)
         while any(p.waiting for p in plans):
             _cut_top(state, seed, plans, sizes, whole)
-        below = _finish(state, seed, plans, sizes)
-    made: list[list[Tree]] = [[] for _ in settings]
-    for p, parts in zip(plans, below, strict=True):
+        for i in range(len(settings)):
+            yield _forest(state, seed, [p for p in plans if p.model == i], cuts)
+
+
+def _forest(state: DataFrame, seed: int, plans: Sequence[Planned], cuts: Sequence[np.ndarray]) -> TreeMean:
+    """One forest, thresholds as values."""
+    made = []
+    for p, parts in zip(plans, _finish(state, seed, plans, [len(c) + 1 for c in cuts]), strict=True):
         tree = p.joined(parts)
-        real = [cuts[f][b] if f >= 0 else 0.0 for f, b in zip(tree.feature.tolist(), tree.threshold.tolist(), strict=True)]
-        made[p.model].append(Tree(tree.feature, np.array(real, float), tree.left, tree.right, tree.value))
-    return [ForestTrees.of(trees) for trees in made]
+        real = np.zeros(len(tree.feature))
+        for f, c in enumerate(cuts):
+            here = tree.feature == f
+            real[here] = c[tree.threshold[here]]
+        made.append(Tree(tree.feature, real, tree.left, tree.right, tree.value))
+    return TreeMean(made)
+
+
+def fit_forest(
+    rows: DataFrame,
+    settings: Sequence[tuple[Mapping, Mapping[int, float], int | None]],
+    label: str,
+    seed: int = 42,
+    whole: int = WHOLE,
+) -> list[ForestTrees]:
+    """The forests of ``each_forest`` as models."""
+    return [ForestTrees.of(forest.trees) for forest in each_forest(rows, settings, label, seed, whole)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
 from statistics import fmean
 
@@ -23,8 +24,9 @@ from pyspark.sql import functions as F
 from riskloom.config import FEATURES, TXN
 from riskloom.operators.boosting import fit_boosting
 from riskloom.operators.curve import average_precision, pr_curve
-from riskloom.operators.forest import fit_forest
+from riskloom.operators.forest import each_forest, fit_forest
 from riskloom.operators.linear import fit_linear
+from riskloom.session import TemporaryTables
 
 WEIGHT = "weight"
 
@@ -95,6 +97,8 @@ def with_threshold(model: Model, threshold: float) -> PipelineModel:
 #: Fits that take all settings and folds in the same passes over the rows.
 TOGETHER = {"logistic_regression": fit_linear, "hist_gradient_boosting": fit_boosting, "random_forest": fit_forest}
 ALGORITHMS = tuple(TOGETHER)
+#: Those whose models grow with the rows: a search asks for one after the other, and the driver holds one at a time.
+ONE_BY_ONE = {"random_forest": each_forest}
 
 
 def known_algorithms(grids: Mapping[str, Mapping]) -> tuple[list[str], list[str]]:
@@ -191,7 +195,8 @@ def search(
     """The setting with the best mean average precision over the folds in column ``fold``.
 
     The sample is assembled once and kept. All settings on all folds are fitted in the same passes. All held-out folds
-    are then measured in one job, as groups of one curve. Equal scores go to the setting listed first.
+    are then measured in one job, as groups of one curve. Forests are as large as the sample, so each is fitted, scores its
+    held-out fold into a table, and goes. Equal scores go to the setting listed first.
     """
     rows = assembled(sample, features, label, keep=["fold"]).persist(StorageLevel.MEMORY_AND_DISK)
     tasks = [(i, fold) for i in range(len(settings)) for fold in range(folds)]
@@ -211,10 +216,21 @@ def search(
 
         weights = [weight_per_class(counts_without(fold), settings[i]["class_weight"]) for i, fold in tasks]
         every = [(settings[i], w, fold) for (i, fold), w in zip(tasks, weights, strict=True)]
-        models = TOGETHER[algorithm](rows, every, label, seed)
-        scored = held_out_scores(rows, [(i, fold, m.scorer()) for (i, fold), m in zip(tasks, models, strict=True)], label)
-        curves = pr_curve(scored, "score", label, by)
-        found = {(r["setting"], r["fold"]): r["average_precision"] for r in average_precision(curves, by).collect()}
+        with TemporaryTables(rows.sparkSession) as tables:
+            if algorithm in ONE_BY_ONE:
+                parts, turns = [], iter(tasks)
+                # Nothing refers to a forest beyond its turn (enumerate and zip would), so it is gone while the next one grows.
+                for scorer in ONE_BY_ONE[algorithm](rows, every, label, seed):
+                    i, fold = next(turns)
+                    parts.append(tables.stored(held_out_scores(rows.filter(F.col("fold") == fold), [(i, fold, scorer)], label)))
+                    del scorer
+                scored = reduce(DataFrame.unionByName, parts)
+            else:
+                models = TOGETHER[algorithm](rows, every, label, seed)
+                scorers = [(i, fold, m.scorer()) for (i, fold), m in zip(tasks, models, strict=True)]
+                scored = held_out_scores(rows, scorers, label)
+            curves = pr_curve(scored, "score", label, by)
+            found = {(r["setting"], r["fold"]): r["average_precision"] for r in average_precision(curves, by).collect()}
     finally:
         rows.unpersist()
     means = [fmean(found[i, fold] for fold in range(folds)) for i in range(len(settings))]

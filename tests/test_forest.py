@@ -1,6 +1,7 @@
 """Forests against a grower that looks at every cut of every node, their bootstraps, weights and depth."""
 
 import random
+import weakref
 
 import numpy as np
 import pytest
@@ -141,3 +142,26 @@ def test_one_class_and_no_features_that_differ(spark):
         model = forest.fit_forest(models.assembled(rows, ["a"]), [(PARAMS, {0: 1.0, 1: 1.0}, None)], "isFraud")[0]
         got = model.transform(models.assembled(rows, ["a"])).select(models.positive_probability().alias("p"))
         assert got.filter(~F.col("p").between(low, high)).count() == 0
+
+
+def test_a_search_holds_one_forest_at_a_time(table, monkeypatch):
+    """Each forest has scored its fold and is gone before the next one grows; the scores are those of all fitted at once."""
+    sample = table.select(
+        "isFraud", "fold", *[models.vector_to_array("features")[i].alias(c) for i, c in enumerate("abc")]
+    ).cache()
+    settings = [PARAMS, {**PARAMS, "min_samples_leaf": 3}]
+    held = []
+    real = forest._forest
+
+    def counted(*args):
+        assert not any(r() for r in held)
+        made = real(*args)
+        held.append(weakref.ref(made))
+        return made
+
+    monkeypatch.setattr(forest, "_forest", counted)
+    found = models.search(sample, "random_forest", settings, features=["a", "b", "c"])
+    assert len(held) == 6
+    monkeypatch.setattr(forest, "_forest", real)
+    monkeypatch.setattr(models, "ONE_BY_ONE", {})
+    assert models.search(sample, "random_forest", settings, features=["a", "b", "c"]) == found
