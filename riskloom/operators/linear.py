@@ -26,7 +26,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.blocks import blocked, blocks_of
+from riskloom.operators.blocks import Block, blocked, blocks_of
 from riskloom.session import TemporaryTables
 
 #: A model is done when its Newton step promises to lower the loss by less than this.
@@ -131,6 +131,14 @@ def _summed(blocks: DataFrame, of_block, keys: int) -> np.ndarray:
     return found
 
 
+def standardised(block: Block, without: int | None, mean: np.ndarray, deviation: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ones and standardised features (a row each) of the rows outside a fold, and their labels."""
+    some = slice(None) if without is None else np.flatnonzero(block.fold != without)
+    scale = np.divide(1.0, deviation, out=np.zeros_like(deviation), where=deviation > 0)
+    y = block.y[some]
+    return np.vstack([np.ones(y.shape), (np.ascontiguousarray(block.x)[:, some] - mean[:, None]) * scale[:, None]]), y
+
+
 def fit_linear(
     rows: DataFrame, settings: Sequence[tuple[Mapping, Mapping[int, float], int | None]], label: str, seed: int = 42
 ) -> list[LinearModel]:
@@ -174,12 +182,12 @@ def fit_linear(
             asked = [(f.without, f.weights.get(0, 0.0), f.weights.get(1, 0.0), f.mean, f.deviation, f.now) for f in fits if f.open]
 
             def at(block, asked=asked) -> np.ndarray:
-                out = []
+                out, seen = [], {}
                 for without, of_0, of_1, mean, deviation, now in asked:
-                    some = slice(None) if without is None else block.fold != without
-                    scale = np.divide(1.0, deviation, out=np.zeros_like(deviation), where=deviation > 0)
-                    z = np.vstack([np.ones(block.y[some].shape), (block.x[:, some] - mean[:, None]) * scale[:, None]])
-                    y = block.y[some]
+                    # All models without a fold have its means and deviations.
+                    if without not in seen:
+                        seen[without] = standardised(block, without, mean, deviation)
+                    z, y = seen[without]
                     w = np.where(y == 1, of_1, of_0)
                     margin = now @ z
                     p = np.exp(-np.logaddexp(0, -margin))

@@ -176,3 +176,24 @@ def test_few_tasks_send_their_sums_as_one_value_each(table, monkeypatch):
     monkeypatch.setattr(boosting, "SMALL", 0)
     fit_boosting(table, [({**PARAMS, "max_iter": 2}, {0: 1.0, 1: 1.0}, None)], "isFraud")
     assert seen_rows and max(seen_rows) <= 3
+
+
+def test_a_pass_standardises_a_block_once_a_fold(table, monkeypatch):
+    from riskloom.operators import linear
+
+    calls = []
+    monkeypatch.setattr(linear, "standardised", lambda block, without, *a, real=linear.standardised: calls.append(without) or real(block, without, *a))
+    # In this process, over the blocks themselves.
+    def summed(blocks, of_block, keys):
+        rows = blocks.toArrow().to_batches()
+        calls.clear()
+        total = np.zeros(keys)
+        found = list(linear.blocks_of(rows))
+        for block in found:
+            total += of_block(block)
+        assert len(calls) <= 2 * len(found)
+        return total
+
+    monkeypatch.setattr(linear, "_summed", summed)
+    settings = [({"C": c, "max_iter": 5}, {0: 1.0, 1: w}, f) for c in (0.1, 1.0) for w in (1.0, 3.0) for f in (0, None)]
+    assert len(fit_linear(table, settings, "isFraud")) == 8
