@@ -34,6 +34,8 @@ MAGIC = b"DAC1\0\0\0\0"
 BLOCK = 512
 #: Ids in a file, about: a file ends with the document that reaches it.
 FILE_IDS = 4_000_000
+#: Documents whose ids are read together.
+READ_DOCS = 200
 #: Stands for a null document id in a file.
 NO_ID = -(1 << 63)
 
@@ -100,20 +102,22 @@ class CodedFile:
         """The ids from position ``start`` up to ``stop``."""
         if not 0 <= start <= stop <= self.n_ids:
             raise IndexError(f"ids {start} to {stop} of {self.n_ids}")
-        found = np.zeros(stop - start, np.uint64)
-        who, shift = np.arange(stop - start), 0
+        found, who, shift = np.zeros(0, np.uint64), None, 0
         for level, (chunks, bitmap, _) in enumerate(self._levels):
-            if not len(who):
+            if start == stop:
                 break
-            part = np.frombuffer(self._read(chunks + start, stop - start), np.uint8)
-            found[who] |= part.astype(np.uint64) << np.uint64(shift)
+            part = np.frombuffer(self._read(chunks + start, stop - start), np.uint8).astype(np.uint64)
+            if who is None:
+                found = part
+            else:
+                found[who] |= part << np.uint64(shift)
             first = start // 8
             bits = np.frombuffer(self._read(bitmap + first, -(-stop // 8) - first), np.uint8)
             goes_on = np.unpackbits(bits, bitorder="little")[start - 8 * first :][: stop - start].astype(bool)
-            who = who[goes_on]
+            who = np.flatnonzero(goes_on) if who is None else who[goes_on]
             if len(who):
                 start = self._rank(level, start)
-                stop = start + len(who)
+            stop = start + len(who)
             shift += 8
         return found
 
@@ -172,14 +176,18 @@ def read_coded(files: DataFrame) -> DataFrame:
                     data = file.read(0, file.size)
                 coded = CodedFile(lambda at, length, data=data: data[at : at + length])
                 docs, starts = coded.documents()
-                for low in range(0, len(docs), 2000):
-                    some = range(low, min(low + 2000, len(docs)))
+                for low in range(0, len(docs), READ_DOCS):
+                    some = range(low, min(low + READ_DOCS, len(docs)))
+                    # Documents lie side by side, so their ids are looked up together.
+                    first = int(starts[some.start])
+                    ids = coded.ids(first, int(starts[some.stop])).astype("<u4")
+                    ends = (4 * (starts[some.start : some.stop + 1] - first)).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([None if docs[i] == NO_ID else int(docs[i]) for i in some], pa.int64()),
                             pa.array(before + starts[some.start : some.stop], pa.int64()),
                             pa.array(np.diff(starts[some.start : some.stop + 1]), pa.int64()),
-                            pa.array([coded.ids(starts[i], starts[i + 1]).astype("<u4").tobytes() for i in some], pa.binary()),
+                            pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(ends), pa.py_buffer(ids)]),
                         ],
                         schema=schema,
                     )

@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from riskloom.llm.tokens import json_encoder
+from riskloom.llm.tokens import TextEncoder, json_encoder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 plain = Tokenizer.from_file(PATH)
@@ -46,3 +46,22 @@ def test_long_unspaced_texts_are_not_remembered():
 @pytest.mark.parametrize("text", ["\n".join(["abc"] * 5000), "x " + "\n".join(["Abc", "é", "1"] * 2000) + ".", "\n\nab\ncd\n\nef\n"])
 def test_a_word_a_line(text):
     assert json_encoder(PATH).ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("asÈß%'.#_\n 1漢")), max_size=30))
+def test_any_text_of_marks_and_lines(text):
+    assert json_encoder(PATH).ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_words_before_runs_of_marks_and_lines_of_any_latin_letter_are_known_without_them():
+    asked = []
+
+    def encode(text):
+        asked.append(text)
+        return plain.encode(text, add_special_tokens=False).ids
+
+    encoder = TextEncoder(encode, letters=lambda word: plain.encode(word, add_special_tokens=False).ids)
+    text = "tree rock%%% sand### tree%%% rock### lac.\nÉté lac.\nÉté"
+    assert encoder.ids(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert sorted(asked) == ["\n", "###", "%%%", "."]
