@@ -10,7 +10,8 @@
   level over all its nodes at once, however deep. There is no deepest level.
 
 Cuts gain most by the Gini index among the square root of the number of features, drawn a node from those that can be cut at
-all; equal gains go to the feature and bin listed first. A node of one class, or too small, is a leaf, whose value is the weighted share of
+all; equal gains go to the feature and bin listed first. Features are counted in the order in which a node draws
+them, until enough of them can be cut. A node of one class, or too small, is a leaf, whose value is the weighted share of
 positives. Draws are whole numbers, so trees do not depend on the order in which tasks end.
 """
 
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import base64
 import io
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from math import isqrt
 
@@ -39,11 +40,13 @@ from riskloom.operators.boosting import Tree, cuts_of
 from riskloom.session import TemporaryTables
 
 #: Rows of a node that are few enough for one task.
-WHOLE = 1 << 16
+WHOLE = 1 << 20
 #: Nodes whose histograms a task holds at a time.
 MOST_NODES = 1024
 #: Bins of all nodes of a level that are looked at together, of one feature.
 MOST_BINS = 1 << 20
+#: Nodes whose sums a task sends in one batch.
+SENT = 64
 STATE = "id bigint, rows int, bins binary, y binary, fold binary"
 SUBSAMPLE = "balanced_subsample"
 #: What a task sends of the trees it grew.
@@ -142,37 +145,76 @@ class Rules:
         return np.divide(weight[1], weight.sum(axis=0), out=np.zeros(draws.shape[1]), where=weight.sum(axis=0) > 0)
 
 
-def best_cuts(sums: Sequence[np.ndarray], keys: np.ndarray, rules: Rules) -> tuple[np.ndarray, np.ndarray]:
+class Sums:
+    """Rows, draws of class 0 and draws of class 1 by cell, in one count of packed numbers where they fit."""
+
+    def __init__(self, draws: np.ndarray):
+        self.bits = [int(n).bit_length() for n in (draws.shape[1], *draws.sum(axis=1))]
+        # Doubles are exact up to 53 bits, and no cell holds more than all rows.
+        if sum(self.bits) <= 53:
+            shifts = np.cumsum([0, *self.bits[:2]])
+            self.of_row = (np.int64(1) + (draws.astype(np.int64) << shifts[1:, None]).sum(axis=0)).astype(np.float64)[None]
+        else:
+            self.of_row = np.stack([np.ones(draws.shape[1]), *draws])
+
+    def at(self, rows: np.ndarray, cell: np.ndarray, total: int) -> np.ndarray:
+        """Of these rows, by their cells: an array (3, cells)."""
+        found = [np.bincount(cell, w[rows], total).astype(np.int64) for w in self.of_row]
+        if len(found) > 1:
+            return np.stack(found)
+        n, a, _ = self.bits
+        return np.stack([found[0] & ((1 << n) - 1), (found[0] >> n) & ((1 << a) - 1), found[0] >> (n + a)])
+
+    def keep(self, rows: np.ndarray) -> None:
+        self.of_row = self.of_row[:, rows]
+
+
+def best_bins(cells: np.ndarray, sizes: np.ndarray, rules: Rules) -> tuple[np.ndarray, np.ndarray]:
+    """Gain (-inf: none) and bin of the best cut of each run of cells; runs of these sizes lie end to end, ``cells`` has
+    a row each for rows, draws of class 0, draws of class 1."""
+    ends = np.cumsum(sizes)
+    starts, run = ends - sizes, np.repeat(np.arange(len(sizes)), sizes)
+    upto = np.cumsum(cells, axis=1)
+    done = upto[:, starts] - cells[:, starts]
+    left = upto - done[:, run]
+    right = (upto[:, ends - 1] - done)[:, run] - left
+    least = max(1, rules.least)
+    fits = np.flatnonzero((left[0] >= least) & (right[0] >= least))
+    score = np.full(cells.shape[1], -np.inf)
+    score[fits] = 0.0
+    for side in (left[:, fits], right[:, fits]):
+        positive = side[2] * rules.weights[1]
+        weight = positive + side[1] * rules.weights[0]
+        score[fits] += np.divide(positive * positive, weight, out=np.zeros(len(fits)), where=weight > 0)
+    gain = np.maximum.reduceat(score, starts)
+    at = np.flatnonzero(score == gain[run])
+    return gain, at[at.searchsorted(starts)] - starts
+
+
+def best_cuts(
+    counted: Callable[[np.ndarray, np.ndarray], np.ndarray], sizes: Sequence[int], keys: np.ndarray, rules: Rules
+) -> tuple[np.ndarray, np.ndarray]:
     """Feature (-1: none) and bin of the best cut of each node.
 
-    ``sums`` has for each feature an array (3, nodes, bins): rows, draws of class 0, draws of class 1.
+    ``counted`` gives, for nodes and a feature of each, the cells of these features end to end.
     """
-    count = len(keys)
-    gains, at = np.full((len(sums), count), -np.inf), np.zeros((len(sums), count), int)
-    for feature, cells in enumerate(sums):
-        if cells.shape[2] < 2:
-            continue
-        upto = np.cumsum(cells, axis=2)
-        left, whole = upto[:, :, :-1], upto[:, :, -1:]
-        right = whole - left
-        fits = (left[0] >= max(1, rules.least)) & (right[0] >= max(1, rules.least))
-        score = np.zeros(fits.shape)
-        for side in (left, right):
-            positive = side[2] * rules.weights[1]
-            weight = positive + side[1] * rules.weights[0]
-            score += np.divide(positive * positive, weight, out=np.zeros(fits.shape), where=weight > 0)
-        score[~fits] = -np.inf
-        at[feature] = score.argmax(axis=1)
-        gains[feature] = score[np.arange(count), at[feature]]
+    count, sizes = len(keys), np.array(sizes)
     # A node's features in an order of its own; those that cannot be cut do not count.
-    features = np.arange(len(sums), dtype=np.uint64)[:, None]
-    order = mixed(keys[None, :] + (features + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-    able = np.isfinite(gains)
-    place = np.where(able, order, np.uint64(2**64 - 1)).argsort(axis=0, kind="stable").argsort(axis=0, kind="stable")
-    gains[(place >= max(1, isqrt(len(sums)))) | ~able] = -np.inf
-    feature = gains.argmax(axis=0)
-    nodes = np.arange(count)
-    return np.where(np.isfinite(gains[feature, nodes]), feature, -1), at[feature, nodes]
+    features = np.arange(len(sizes), dtype=np.uint64)[:, None]
+    order = mixed(keys[None, :] + (features + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)).argsort(axis=0, kind="stable")
+    gain, feature, at, able = np.full(count, -np.inf), np.full(count, -1), np.zeros(count, int), np.zeros(count, int)
+    for turn in order:
+        nodes = np.flatnonzero(able < max(1, isqrt(len(sizes))))
+        if not len(nodes):
+            break
+        tried = turn[nodes]
+        gains, bins = best_bins(counted(nodes, tried), sizes[tried], rules)
+        can = np.isfinite(gains)
+        able[nodes] += can
+        better = can & ((gains > gain[nodes]) | ((gains == gain[nodes]) & (tried < feature[nodes])))
+        into = nodes[better]
+        gain[into], feature[into], at[into] = gains[better], tried[better], bins[better]
+    return feature, at
 
 
 def child_keys(keys: np.ndarray) -> np.ndarray:
@@ -185,12 +227,14 @@ def child_keys(keys: np.ndarray) -> np.ndarray:
 def grown(bins: np.ndarray, draws: np.ndarray, sizes: Sequence[int], key: int, depth: int, rules: Rules) -> Tree:
     """The whole tree below a node, of its rows' bins (a row a feature) and draws (a row a class)."""
     keys, node = np.array([key], np.uint64), np.zeros(bins.shape[1], int)
+    # A row's bins lie together: each level looks at other features of each row.
+    bins, held, width = np.ascontiguousarray(bins.T), Sums(draws), np.array(sizes)
     feature, threshold, left, value = [], [], [], []
     made = 1
     while len(keys):
         count = len(keys)
-        n = np.bincount(node, minlength=count)
-        sums = np.stack([np.bincount(node, d, count) for d in draws])
+        n, *sums = held.at(slice(None), node, count)
+        sums = np.stack(sums)
         open_ = np.flatnonzero(~rules.closed(n, sums, depth))
         cut, at = np.full(count, -1), np.zeros(count, int)
         step = max(1, MOST_BINS // max(sizes))
@@ -200,12 +244,18 @@ def grown(bins: np.ndarray, draws: np.ndarray, sizes: Sequence[int], key: int, d
             place[some] = np.arange(len(some))
             here = place[node]
             rows = np.flatnonzero(here >= 0)
-            cells = []
-            for b, size in zip(bins, sizes, strict=True):
-                cell = here[rows] * size + b[rows]
-                each = [np.bincount(cell, w, len(some) * size) for w in (None, *draws[:, rows])]
-                cells.append(np.stack(each).reshape(3, len(some), size))
-            cut[some], at[some] = best_cuts(cells, keys[some], rules)
+            here = here[rows]
+
+            def counted(nodes: np.ndarray, tried: np.ndarray, of=len(some), rows=rows, here=here) -> np.ndarray:
+                starts, which = np.full(of, -1), np.zeros(of, int)
+                ends = np.cumsum(width[tried])
+                starts[nodes], which[nodes] = ends - width[tried], tried
+                if len(nodes) < of:
+                    asked = starts[here] >= 0
+                    rows, here = rows[asked], here[asked]
+                return held.at(rows, starts[here] + bins[rows, which[here]], int(ends[-1]))
+
+            cut[some], at[some] = best_cuts(counted, sizes, keys[some], rules)
         inner = np.flatnonzero(cut >= 0)
         first = np.zeros(count, int)
         first[inner] = made + 2 * np.arange(len(inner))
@@ -219,8 +269,9 @@ def grown(bins: np.ndarray, draws: np.ndarray, sizes: Sequence[int], key: int, d
         number[inner] = 2 * np.arange(len(inner))
         rows = np.flatnonzero(number[node] >= 0)
         was = node[rows]
-        beyond = bins[cut[was], rows] > at[was]
-        bins, draws, node = bins[:, rows], draws[:, rows], number[was] + beyond
+        beyond = bins[rows, cut[was]] > at[was]
+        bins, node = bins[rows], number[was] + beyond
+        held.keep(rows)
         keys, depth = child_keys(keys[inner]), depth + 1
     first = np.concatenate(left)
     return Tree(np.concatenate(feature), np.concatenate(threshold), first, first + (first > 0), np.concatenate(value))
@@ -349,31 +400,29 @@ def _cut_top(state: DataFrame, seed: int, plans: Sequence[Planned], sizes: Seque
             wanted[list(slots[place])] = np.arange(len(slots[place]))
             here = wanted[at]
             rows = np.flatnonzero(here >= 0)
-            into = list(slots[place].values())
+            into, held = list(slots[place].values()), Sums(draws)
             for b, start, size in zip(bins, first, sizes, strict=True):
-                cell = here[rows] * size + b[rows]
-                for i, w in enumerate((None, *draws[:, rows])):
-                    found = np.bincount(cell, w, len(into) * size).astype(np.int64)
-                    sums[into, i, start : start + size] += found.reshape(-1, size)
-        flat = sums.transpose(0, 2, 1).reshape(-1, 3)
-        cells = np.flatnonzero(flat.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(cells), *map(pa.array, flat[cells].T)], names=["cell", "n", "a", "b"])
+                found = held.at(rows, here[rows] * size + b[rows], len(into) * size)
+                sums[into, :, start : start + size] += found.reshape(3, -1, size).transpose(1, 0, 2)
+        met = np.flatnonzero(sums.any(axis=(1, 2)))
+        for low in range(0, len(met), SENT):
+            some = met[low : low + SENT]
+            columns = [pa.array(some), pa.array([sums[slot].tobytes() for slot in some], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["slot", "sums"])
 
     def best(table: pa.Table) -> pa.Table:
-        cells = table.column("cell").to_numpy()
-        slot = int(cells[0]) // per_node
-        sums = np.zeros((3, per_node), np.int64)
-        sums[:, cells % per_node] = [table.column(c).to_numpy() for c in ("n", "a", "b")]
-        parts = [sums[:, None, s : s + size] for s, size in zip(first, sizes, strict=True)]
-        feature, at = best_cuts(parts, np.array([keys[slot]], np.uint64), rules[slot])
-        chosen = parts[max(0, feature[0])][:, 0]
+        slot, sums = table.column("slot")[0].as_py(), np.zeros((3, per_node), np.int64)
+        for data in table.column("sums"):
+            sums += np.frombuffer(data.as_buffer(), np.int64).reshape(3, per_node)
+        parts = [sums[:, s : s + size] for s, size in zip(first, sizes, strict=True)]
+        feature, at = best_cuts(lambda _, tried: parts[tried[0]], sizes, np.array([keys[slot]], np.uint64), rules[slot])
+        chosen = parts[max(0, feature[0])]
         sides = [chosen[:, : at[0] + 1].sum(axis=1).tolist(), chosen[:, at[0] + 1 :].sum(axis=1).tolist()]
         return pa.table({"slot": [slot], "feature": [int(feature[0])], "bin": [int(at[0])], "sides": [sides]})
 
     asked_slots = range(len(asked))
-    each = state.mapInArrow(run, "cell bigint, n bigint, a bigint, b bigint").groupBy("cell")
-    summed = each.agg(*[F.sum(c).alias(c) for c in ("n", "a", "b")])
-    found = summed.groupBy((F.col("cell") / per_node).cast("long")).applyInArrow(
+    # A task sends the sums of a node as one value, so a node's group has a row a task.
+    found = state.mapInArrow(run, "slot bigint, sums binary").groupBy("slot").applyInArrow(
         best, "slot bigint, feature bigint, bin bigint, sides array<array<bigint>>"
     )
     for p, node in asked:
@@ -396,7 +445,8 @@ def _finish(state: DataFrame, seed: int, plans: Sequence[Planned], sizes: Sequen
             if not whole[place]:
                 continue
             at = nodes_of(tops[place], bins)
-            order = at.argsort(kind="stable")
+            # Small numbers are sorted by their digits.
+            order = at.astype(np.min_scalar_type(len(tops[place].feature))).argsort(kind="stable")
             data, at = np.concatenate([bins, draws.astype(np.uint8)])[:, order], at[order]
             nodes = np.array(whole[place])
             ends = zip(nodes.tolist(), at.searchsorted(nodes), at.searchsorted(nodes, "right"), strict=True)
@@ -409,7 +459,7 @@ def _finish(state: DataFrame, seed: int, plans: Sequence[Planned], sizes: Sequen
         tree, node = (table.column(c)[0].as_py() for c in ("tree", "node"))
         data = np.concatenate([np.frombuffer(d.as_buffer(), np.uint8).reshape(width + 2, -1) for d in table.column("data")], axis=1)
         key, depth = settled[tree][node]
-        made = grown(data[:width], data[width:].astype(np.int64), sizes, key, depth, rules[tree])
+        made = grown(data[:width], data[width:], sizes, key, depth, rules[tree])
         columns = {c: pa.array([getattr(made, c).astype(kind).tobytes()], pa.binary()) for c, kind in PARTS.items()}
         return pa.table({"tree": [tree], "node": [node]} | columns)
 

@@ -165,3 +165,35 @@ def test_a_search_holds_one_forest_at_a_time(table, monkeypatch):
     monkeypatch.setattr(forest, "_forest", real)
     monkeypatch.setattr(models, "ONE_BY_ONE", {})
     assert models.search(sample, "random_forest", settings, features=["a", "b", "c"]) == found
+
+
+def test_features_are_counted_in_drawn_order_until_enough_can_be_cut():
+    draw = np.random.default_rng(5)
+    sizes, n = [1, *[6] * 15], 400
+    bins = np.stack([draw.integers(0, size, n) for size in sizes])
+    node, y = draw.integers(0, 3, n), draw.random(n) < 0.4
+    sums, asked = forest.Sums(np.stack([~y, y])), []
+
+    def counted(nodes, tried):
+        asked.append(list(zip(nodes.tolist(), tried.tolist(), strict=True)))
+        cells = [sums.at(node == k, bins[f][node == k], sizes[f]) for k, f in asked[-1]]
+        return np.concatenate(cells, axis=1)
+
+    keys = np.array([11, 12, 13], np.uint64)
+    feature, _ = forest.best_cuts(counted, sizes, keys, forest.Rules((1.0, 1.0), 1, None))
+    for k in range(3):
+        mine = [f for turn in asked for at, f in turn if at == k]
+        order = sorted(range(16), key=lambda f: int(forest.mixed(keys[[k]] + np.array([f + 1], np.uint64) * np.uint64(0x9E3779B97F4A7C15))[0]))
+        assert mine == order[: len(mine)] and sum(f != 0 for f in mine) == 4
+        assert feature[k] in mine
+
+
+@pytest.mark.parametrize("most", [3, 1 << 30])
+def test_packed_sums_equal_those_one_by_one(most):
+    draw = np.random.default_rng(6)
+    draws, cell = draw.integers(0, most, (2, 500)), draw.integers(0, 7, 500)
+    rows = np.flatnonzero(cell != 3)
+    got = forest.Sums(draws).at(rows, cell[rows], 9)
+    for found, values in zip(got, (np.ones(500, int), *draws), strict=True):
+        want = [int(values[(cell == c) & (c != 3)].sum()) for c in range(9)]
+        assert found.tolist() == want
