@@ -1,16 +1,18 @@
 """Exact top-k search by inner product: histogram selection of each query's k-th best score.
 
-1. Vectors become whole numbers and are dealt into blocks, candidates of ``CANDIDATES`` and queries of
-   ``QUERIES``. A pass scores every block of queries against every block of candidates: one matrix
-   product a pair, and only counts leave the task.
-2. The first pass gives each query's lowest and highest score. Each later one counts the scores of the
-   interval that holds the k-th best in ``BINS`` equal bins, summed over all blocks, and narrows the
-   interval to the bin that holds it, until the rows from there up are exactly k or the bin is one value.
+1. Vectors become whole numbers and are dealt into blocks, queries of ``QUERIES`` and candidates of ``CANDIDATES``,
+   or of more where there would be more than ``BLOCKS`` (up to ``CELLS`` numbers). A pass scores every block of queries
+   against every block of candidates by matrix products, and only counts leave the task. Query blocks are
+   dealt to the tasks of the candidate blocks, so a pair meets by the order of a task's rows, without a join.
+2. The first pass gives each query's lowest and highest score, and a score that k rows of some block reach, which
+   no k-th best is below. Each later one counts the scores of the interval that holds the k-th best in ``BINS``
+   equal bins, summed over all blocks, and narrows the interval to the bin that holds it, until the rows
+   from there up are exactly k or the bin is one value.
 3. If more rows share that value than fit, the same passes over their ids find the last id that fits.
 4. A last pass emits the rows at or above each query's (score, id) limit: k a query, however many tie.
 
 Queries are rows of a table throughout, so any number of them works; the driver only asks whether
-some are still open. Arithmetic is exact: floats up to 2**53, Python's integers beyond.
+some are still open. Arithmetic is exact: floats up to 2**24 and 2**53, Python's integers beyond.
 
 Defined results: vectors that are null, or have null or non-finite components, take no part, nor do rows
 without an id. Vectors meet those of their own length only. A query's own row is every row with its id;
@@ -27,10 +29,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import task_count
 from riskloom.session import stored
 
+#: Rows of a block, and from how many blocks on and up to how many numbers a block of candidates has more.
 CANDIDATES = 512
 QUERIES = 256
+BLOCKS = 128
+CELLS = 1 << 20
+#: Scores that a task looks at together.
+SCORES = 1 << 19
 BINS = 64
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
 SCORE, TIE, DONE = 0, 1, 2
@@ -43,11 +51,15 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.coalesce(fine, F.lit(False))
 
 
-def _blocks(df: DataFrame, size: int) -> tuple[DataFrame, int]:
-    """Stored ``width, block, n, ids, vectors``: rows dealt by a hash of their id."""
-    count = max(1, -(-df.count() // size))
-    dealt = df.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int"))
-    dealt = dealt.withColumn("width", F.size("vector"))
+def _blocks(df: DataFrame, size: int, blocks: int | None = None) -> tuple[DataFrame, int]:
+    """Stored ``width, block, n, ids, vectors``: rows dealt by a hash of their id, into more than ``blocks`` blocks
+    only where these would have more than ``CELLS`` numbers."""
+    dealt = df.withColumn("width", F.size("vector"))
+    rows, widest = dealt.agg(F.count(F.lit(1)), F.max("width")).head()
+    if blocks:
+        size = max(size, min(-(-rows // blocks), CELLS // max(1, widest or 1)))
+    count = max(1, -(-rows // size))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(count)).cast("int"))
 
     def gather(key: tuple, table: pa.Table) -> pa.Table:
         vectors = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
@@ -72,6 +84,8 @@ def scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     if not queries.size or not candidates.size:
         return np.zeros((len(queries), len(candidates)), np.int64)
     bound = float(np.abs(queries).max()) * float(np.abs(candidates).max()) * queries.shape[1]
+    if bound < 2**24:
+        queries, candidates = queries.astype(np.float32), candidates.astype(np.float32)
     if bound < 2**53:
         return (queries @ candidates.T).astype(np.int64)
     exact = [[[int(x) for x in row] for row in side] for side in (queries, candidates)]
@@ -79,85 +93,106 @@ def scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     return np.array([[min(MOST, max(LEAST, p)) for p in row] for row in products], np.int64)
 
 
-def bin_width(low: int, high: int) -> int:
+def bin_width(low, high):
     return (high - low) // BINS + 1
 
 
 class Search:
     """The passes over all pairs of blocks."""
 
-    def __init__(self, queries: DataFrame, candidates: DataFrame):
-        self.candidates, self.parts = _blocks(candidates, CANDIDATES)
+    def __init__(self, queries: DataFrame, candidates: DataFrame, k: int):
+        self.candidates, self.parts = _blocks(candidates, CANDIDATES, BLOCKS)
         self.queries, _ = _blocks(queries, QUERIES)
+        self.k, self.tasks = k, min(self.parts, task_count(queries))
 
     def over_pairs(self, state: DataFrame | None, make, schema: str) -> DataFrame:
-        """``make(ids, scores, query_ids, states)`` for each pair of blocks; ``states`` are the open queries'
-        rows of ``state`` as a dictionary, and queries that have none are left out."""
+        """``make(ids, scores, query_ids, states)`` for pairs of a block of candidates and some queries of a block;
+        ``states`` are the columns of ``state`` for these queries, and queries that are not open are left out."""
+        fields = [f.split()[0] for f in STATE.split(", ")]
         if state is None:
-            asked = self.queries.withColumn("states", F.lit(None).cast("array<struct<query_id:bigint>>"))
+            asked = self.queries.withColumn("states", F.lit(None).cast(f"array<struct<{STATE}>>"))
         else:
             # Which block a query is in follows from its id, so its state finds it there.
             members = self.queries.select("width", "block", F.explode("ids").alias("query_id"))
             per_block = state.join(members, "query_id").groupBy("width", "block")
-            fields = [f.split()[0] for f in STATE.split(", ")]
             states = per_block.agg(F.collect_list(F.struct(*fields)).alias("states"))
-            asked = self.queries.join(states, ["width", "block"])
-        asked = asked.select(
-            "width",
-            F.explode(F.sequence(F.lit(0), F.lit(self.parts - 1))).alias("block"),
-            F.col("ids").alias("query_ids"),
-            F.col("vectors").alias("query_vectors"),
-            "states",
-        )
-        pairs = asked.join(self.candidates, ["width", "block"])
-        pairs = pairs.select("width", "ids", "vectors", "query_ids", "query_vectors", "states")
+            asked = self.queries.join(states.hint("merge"), ["width", "block"])
+        to_all = F.explode(F.sequence(F.lit(0), F.lit(self.parts - 1))).alias("block")
+        asked = asked.select("width", to_all, F.lit(True).alias("asks"), "ids", "vectors", "states")
+        others = self.candidates.select("width", "block", F.lit(False).alias("asks"), "ids", "vectors", F.lit(None).alias("states"))
+        # A join of the two would be planned by a guess at their sizes from before the explode, and broadcast all it gives.
+        dealt = others.unionByName(asked).withColumn("task", F.pmod("block", F.lit(self.tasks)))
+        dealt = dealt.repartitionById(self.tasks, "task").sortWithinPartitions("width", "block", "asks")
+        dealt = dealt.select("width", "block", "asks", "ids", "vectors", "states")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            of, ids, vectors = None, None, None
             for batch in batches:
                 for i in range(batch.num_rows):
-                    width, vectors, query_vectors, states = (batch.column(c)[i].as_py() for c in (0, 2, 4, 5))
-                    ids, query_ids = (batch.column(c)[i].values.to_numpy() for c in (1, 3))
-                    asking = np.frombuffer(query_vectors, "<f8").reshape(len(query_ids), width)
-                    if states is not None:
-                        states = {s["query_id"]: s for s in states}
-                        open_ = np.isin(query_ids, list(states))
-                        query_ids, asking = query_ids[open_], asking[open_]
-                    found = scores(asking, np.frombuffer(vectors, "<f8").reshape(len(ids), width))
-                    yield make(ids, found, query_ids, states)
-
-        return pairs.mapInArrow(run, schema)
+                    width, block, asks = (batch.column(c)[i].as_py() for c in (0, 1, 2))
+                    own_ids = batch.column(3)[i].values.to_numpy()
+                    own = np.frombuffer(batch.column(4)[i].as_buffer(), "<f8").reshape(len(own_ids), width)
+                    if not asks:
+                        of, ids, vectors = (width, block), own_ids.copy(), own.copy()
+                    elif of == (width, block):
+                        states = batch.column(5)[i].values
+                        if states is not None:
+                            states = {f: states.field(n).to_numpy() for n, f in enumerate(fields)}
+                            order = states["query_id"].argsort()
+                            states = {f: values[order] for f, values in states.items()}
+                            open_ = np.flatnonzero(np.isin(own_ids, states["query_id"]))
+                            open_ = open_[own_ids[open_].argsort()]
+                            own_ids, own = own_ids[open_], own[open_]
+                        step = max(1, SCORES // max(1, len(ids)))
+                        for start in range(0, len(own_ids), step):
+                            some = slice(start, start + step)
+                            mine = states and {f: values[some] for f, values in states.items()}
+                            yield make(ids, scores(own[some], vectors), own_ids[some], mine)
+
+        return dealt.mapInArrow(run, schema)
 
     def ranges(self) -> DataFrame:
-        """Per query the number of candidates and the least and greatest score."""
+        """Per query the number of candidates, the least and greatest score, and one that k rows reach, if that is known."""
+        k, names = self.k, ("query_id", "n", "low", "high", "reached")
 
         def make(ids, found, query_ids, _):
-            out = []
-            for q, row in zip(query_ids.tolist(), found, strict=True):
-                row = row[ids != q]
-                if len(row):
-                    out.append({"query_id": q, "n": len(row), "low": int(row.min()), "high": int(row.max())})
-            return pa.RecordBatch.from_pylist(out, pa.schema([(n, pa.int64()) for n in ("query_id", "n", "low", "high")]))
-
-        each = self.over_pairs(None, make, "query_id bigint, n bigint, low bigint, high bigint")
-        return each.groupBy("query_id").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+            n, low = np.full(len(query_ids), len(ids)), found.min(axis=1)
+            for i in np.flatnonzero(np.isin(query_ids, ids)):
+                others = ids != query_ids[i]
+                n[i], low[i] = others.sum(), found[i][others].min(initial=MOST)
+                found[i][~others] = LEAST
+            high = reached = found.max(axis=1)
+            if len(ids) >= k:
+                # Each of k groups has a row that reaches its greatest score.
+                reached = np.maximum.reduceat(found, np.arange(k) * len(ids) // k, axis=1).min(axis=1)
+            columns = [pa.array(c) for c in (query_ids, n, low, high, reached)]
+            if len(ids) < k:
+                columns[-1] = pa.nulls(len(query_ids), pa.int64())
+            return pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(n > 0))
+
+        each = self.over_pairs(None, make, ", ".join(f"{n} bigint" for n in names))
+        sums = [F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("reached").alias("reached")]
+        return each.groupBy("query_id").agg(*sums)
 
     def histograms(self, state: DataFrame) -> DataFrame:
         """Per open query how many of its rows fall into each bin of its interval, best bin first."""
         names = [f"b{i}" for i in range(BINS)]
 
         def make(ids, found, query_ids, states):
-            counts = np.zeros((len(query_ids), BINS), np.int64)
-            for i, q in enumerate(query_ids.tolist()):
-                s = states[q]
-                low, high = s["low"], s["high"]
-                others = ids != q
-                values = found[i][others] if s["stage"] == SCORE else ids[others & (found[i] == s["value"])]
-                values = values[(values >= low) & (values <= high)]
-                # Distances fit 64 bits unsigned, whatever the signs.
-                values = values.astype(np.uint64)
-                from_best = np.uint64(high % (1 << 64)) - values if s["stage"] == SCORE else values - np.uint64(low % (1 << 64))
-                bins = (from_best // np.uint64(bin_width(low, high))).astype(np.int64)
-                counts[i] = np.bincount(bins, minlength=BINS)[:BINS]
+            low, high, value, tie = states["low"], states["high"], states["value"], states["stage"] == TIE
+            # A query that looks for the last of equal scores looks at one score, and at ids from low to high.
+            inside = (found >= np.where(tie, value, low)[:, None]) & (found <= np.where(tie, value, high)[:, None])
+            q, c = np.nonzero(inside)
+            kept = ids[c] != query_ids[q]
+            q, c = q[kept], c[kept]
+            values = np.where(tie[q], ids[c], found[q, c])
+            kept = (values >= low[q]) & (values <= high[q])
+            q, values = q[kept], values[kept].astype(np.uint64)
+            # Distances fit 64 bits unsigned, whatever the signs.
+            low, high = low.astype(np.uint64), high.astype(np.uint64)
+            from_best = np.where(tie[q], values - low[q], high[q] - values)
+            bins = (from_best // bin_width(low, high)[q]).astype(np.int64)
+            counts = np.bincount(q * BINS + bins, minlength=len(query_ids) * BINS).reshape(-1, BINS)
             columns = [pa.array(query_ids), *[pa.array(np.ascontiguousarray(c)) for c in counts.T]]
             return pa.RecordBatch.from_arrays(columns, names=["query_id", *names])
 
@@ -168,8 +203,7 @@ class Search:
         """The rows at or above each query's limit."""
 
         def make(ids, found, query_ids, states):
-            limit = np.array([states[q]["value"] for q in query_ids.tolist()], np.int64)[:, None]
-            last = np.array([states[q]["last"] for q in query_ids.tolist()], np.int64)[:, None]
+            limit, last = states["value"][:, None], states["last"][:, None]
             inside = (found > limit) | ((found == limit) & (ids <= last))
             q, c = np.nonzero(inside & (ids != query_ids[:, None]))
             columns = [pa.array(query_ids[q]), pa.array(ids[c]), pa.array(found[q, c])]
@@ -208,13 +242,13 @@ def top_k(df: DataFrame, is_query: Column, k: int = 10, vector: str = "embedding
     queries = rows.filter("asks").groupBy("vec_id").agg(F.min("vector").alias("vector"))
     ends = rows.agg(F.min("vec_id"), F.max("vec_id")).head()
     first_id, last_id = (ends[0] or 0), (ends[1] or 0)
-    search = Search(queries, rows.select("vec_id", "vector"))
+    search = Search(queries, rows.select("vec_id", "vector"), k)
     few = F.col("n") <= k
     state = stored(
         search.ranges().select(
             "query_id",
             F.when(few, DONE).otherwise(SCORE).alias("stage"),
-            "low",
+            F.greatest("low", "reached").alias("low"),
             "high",
             F.lit(k).cast("bigint").alias("need"),
             F.col("low").alias("value"),

@@ -72,3 +72,44 @@ def test_scores_are_exact(size):
     limit = (1 << 63) - 1
     expected = [[max(-limit - 1, min(limit, sum(int(x) * int(y) for x, y in zip(q, c, strict=True)))) for c in b] for q in a]
     assert scores(a, b).tolist() == expected
+
+
+def test_no_pass_broadcasts_what_goes_to_every_block(spark, monkeypatch):
+    """The driver would hold the queries once for each block of candidates."""
+    monkeypatch.setattr(topk, "CANDIDATES", 8)
+    plans = []
+
+    def noted(self, state, *args, real=topk.Search.over_pairs):
+        frame = real(self, state, *args)
+        plans.append(frame._jdf.queryExecution().executedPlan().toString().splitlines())
+        return frame
+
+    monkeypatch.setattr(topk.Search, "over_pairs", noted)
+    rng = np.random.default_rng(6)
+    data = [(i, rng.normal(size=4).tolist()) for i in range(200)]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(2)
+    assert rows_of(top_k(frame, F.col("vec_id") % 20 == 0, k=5)) == brute(data, 5, lambda i: i % 20 == 0)
+    assert len(plans) > 2
+    for lines in plans:
+        depth = [len(line) - len(line.lstrip(" :+-*()0123456789")) for line in lines]
+        copies = [i for i, line in enumerate(lines) if "Generate explode(" in line and "explode(ids" not in line]
+        assert copies
+        for i in copies:
+            above, at = [], depth[i]
+            for j in range(i, -1, -1):
+                if depth[j] < at:
+                    above.append(lines[j])
+                    at = depth[j]
+            assert not any("Broadcast" in line for line in above)
+
+
+@pytest.mark.parametrize("blocks, looked_at", [(2, 1), (5, 300), (1, 1 << 19)])
+def test_larger_blocks_and_parts_of_them_give_the_same(spark, monkeypatch, blocks, looked_at):
+    monkeypatch.setattr(topk, "CANDIDATES", 10)
+    monkeypatch.setattr(topk, "QUERIES", 6)
+    monkeypatch.setattr(topk, "BLOCKS", blocks)
+    monkeypatch.setattr(topk, "SCORES", looked_at)
+    rng = np.random.default_rng(blocks)
+    data = [(int(i), rng.integers(-2, 3, 2).astype(float).tolist()) for i in rng.permutation(240) - 120]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    assert rows_of(top_k(frame, F.col("vec_id") % 10 == 0, k=6)) == brute(data, 6, lambda i: i % 10 == 0)
