@@ -18,6 +18,9 @@ tenth of the rows, drawn by their values, is held back; a model stops when ``PAT
 
 Every ``STORED_EVERY`` trees each row's margins are written to a new table, which the next passes read. Between two such
 tables rows find their leaves by ``Lookup``: one gather a feature and tree, however many nodes the tree has.
+
+Where the rows of every model are at most ``WHOLE * SMALL`` numbers, no passes are taken: the bins go once to a task for
+each model, which grows all its trees by the same steps, and so the same trees. Beyond that a task's memory would grow with the rows.
 """
 
 from __future__ import annotations
@@ -53,6 +56,12 @@ TOLERANCE = 1e-7
 STORED_EVERY = 8
 #: Rows of a node that are few enough to go to the driver: a tree has at most LEAVES such nodes at a time.
 SMALL = 2048
+#: A model whose rows have at most so many times SMALL numbers is grown whole in one task.
+WHOLE = 1 << 14
+#: Rows whose sums are taken together: exact in floating point, and few enough to stay in a core's cache.
+TOGETHER = 1 << 16
+#: Rows whose sums for all features are taken at once.
+FEW_ROWS = 2048
 #: Up to so many tasks the driver adds their sums itself; beyond, they meet in a grouped aggregate first.
 FEW_TASKS = 32
 #: Key of such a task's sums.
@@ -152,15 +161,35 @@ class Lookup:
         margin += self.values.take(self(bins))
 
 
+def trees_as_json(start: float, trees: Sequence[Tree]) -> str:
+    return json.dumps([start, [t.as_lists() for t in trees]])
+
+
 class TreeSum:
     """Positive probabilities by a sum of trees, for a matrix with a row a feature."""
 
     def __init__(self, start: float, trees: Sequence[Tree]):
         self.start, self.trees = start, trees
+        self.cuts: list[np.ndarray] = []
+        self.lookups: list[Lookup] | None = None
+
+    def _prepare(self, features: int) -> None:
+        """The thresholds of each feature, and the trees with places among them instead; trees as they are where there are too many."""
+        used = np.concatenate([t.feature for t in self.trees]) if self.trees else np.zeros(0, int)
+        at = np.concatenate([t.threshold for t in self.trees]) if self.trees else np.zeros(0)
+        self.cuts, self.lookups = [np.unique(at[used == f]) for f in range(features)], []
+        if max(map(len, self.cuts), default=0) <= BINS:
+            for t in self.trees:
+                places = [self.cuts[f].searchsorted(c) if f >= 0 else 0 for f, c in zip(t.feature.tolist(), t.threshold.tolist(), strict=True)]
+                self.lookups.append(Lookup(Tree(t.feature, np.array(places, int), t.left, t.right, t.value)))
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
+        if self.lookups is None:
+            self._prepare(len(x))
         margin = np.full(x.shape[1], self.start)
-        for tree in self.trees:
+        if self.lookups:
+            x = np.stack([np.searchsorted(c, v, "left") for c, v in zip(self.cuts, x, strict=True)]).astype(np.uint8)
+        for tree in self.lookups or self.trees:
             tree.add_to(margin, x)
         return np.exp(-np.logaddexp(0, -margin))
 
@@ -178,7 +207,7 @@ class BoostedTrees(Model, HasFeaturesCol, HasProbabilityCol, HasPredictionCol, D
 
     @staticmethod
     def of(start: float, trees: Sequence[Tree]) -> BoostedTrees:
-        return BoostedTrees(trees=json.dumps([start, [t.as_lists() for t in trees]]))
+        return BoostedTrees(trees=trees_as_json(start, trees))
 
     def scorer(self) -> TreeSum:
         start, trees = json.loads(self.getOrDefault(self.trees))
@@ -224,33 +253,59 @@ class Node:
 
 
 class Rows:
-    """Bins (a row a feature), gradients and second derivatives of the rows of a node."""
+    """Bins, and gradient and second derivative, of the rows of a node (a row each): all, or those at the places ``which``.
 
-    def __init__(self, bins: np.ndarray, values: np.ndarray):
+    Row by row, for the rows of a deep node lie far apart."""
+
+    def __init__(self, bins: np.ndarray, values: np.ndarray, which: np.ndarray | None = None):
         self.bins, self.values = bins, values
+        self.which = np.arange(len(bins)) if which is None else which
 
     @staticmethod
     def read(data: Sequence[bytes], features: int) -> Rows:
         """From what tasks sent."""
         parts = [np.frombuffer(d, np.uint8).reshape(features + 16, -1) for d in data]
+        bins = [np.ascontiguousarray(p[:features].T) for p in parts]
+        values = [np.ascontiguousarray(p[features:].reshape(-1).view("<i8").reshape(2, -1).T) for p in parts]
         return Rows(
-            np.concatenate([p[:features] for p in parts], axis=1) if parts else np.zeros((features, 0), np.uint8),
-            np.concatenate([p[features:].reshape(-1).view("<i8").reshape(2, -1) for p in parts], axis=1) if parts else np.zeros((2, 0), int),
+            np.concatenate(bins) if parts else np.zeros((0, features), np.uint8),
+            np.concatenate(values) if parts else np.zeros((0, 2), int),
         )
 
     def sent(self) -> bytes:
-        return self.bins.tobytes() + self.values.astype("<i8").tobytes()
+        return self.bins[self.which].T.tobytes() + self.values[self.which].T.astype("<i8").tobytes()
+
+    def part(self, some: np.ndarray) -> Rows:
+        return Rows(self.bins, self.values, self.which[some])
 
-    def part(self, which: np.ndarray) -> Rows:
-        return Rows(self.bins[:, which], self.values[:, which])
+    def feature(self, number: int) -> np.ndarray:
+        return self.bins[self.which, number]
 
     def histogram(self, ends: np.ndarray) -> np.ndarray:
         """Sums of gradient, second derivative and rows in each bin of each feature, one feature after the other."""
-        total, first = int(ends[-1]), np.r_[0, ends[:-1]]
-        cells = (self.bins + first[:, None]).ravel()
-        # Exact in floating point: few rows of 32-bit numbers.
-        each = [np.bincount(cells, None if w is None else np.tile(w, len(ends)), total) for w in (*self.values, None)]
-        return np.stack(each).astype(np.int64)
+        total, firsts = int(ends[-1]), np.r_[0, ends[:-1]]
+        sums = np.zeros((3, total), np.int64)
+        for start in range(0, len(self.which), TOGETHER):
+            some = self.which[start : start + TOGETHER]
+            bins, (g, h) = self.bins.take(some, axis=0), self.values.take(some, axis=0).T.astype(np.float64)
+            if len(some) <= FEW_ROWS:
+                cells = (bins + firsts).ravel()
+                for i, w in enumerate((g, h, None)):
+                    sums[i] += np.bincount(cells, None if w is None else np.repeat(w, len(ends)), total).astype(np.int64)
+                continue
+            # Exact in floating point: few rows of 32-bit numbers.
+            for of_feature, first, end in zip(bins.T, firsts.tolist(), ends.tolist(), strict=True):
+                cells = of_feature.astype(np.intp)
+                for i, w in enumerate((g, h, None)):
+                    sums[i, first:end] += np.bincount(cells, w, end - first).astype(np.int64)
+        return sums
+
+
+def gradients(y: np.ndarray, margin: np.ndarray, of_label: np.ndarray, unit: float) -> np.ndarray:
+    """Gradient and second derivative of each row, in whole units."""
+    p = np.exp(-np.logaddexp(0, -margin))
+    w = of_label[(y == 1).astype(int)]
+    return np.rint(np.stack([w * (p - y), w * p * (1 - p)]) / unit)
 
 
 def slot_sums(into: np.ndarray, slot: np.ndarray, bins: np.ndarray, values: np.ndarray, ends: np.ndarray) -> None:
@@ -271,7 +326,7 @@ class Growing:
 
     def __init__(self, params: Mapping, weights: Mapping[int, float], without: int | None, start: float, cuts, unit: float, most: int):
         self.params, self.weights, self.without = params, weights, without
-        self.start, self.cuts, self.unit = start, cuts, unit
+        self.start, self.cuts, self.unit, self.leaves = start, cuts, unit, LEAVES
         self.sizes = np.array([len(c) + 1 for c in cuts])
         self.ends = np.cumsum(self.sizes)
         self.inside = np.ones(int(self.ends[-1]), bool)
@@ -310,7 +365,7 @@ class Growing:
         """Best leaf first with the cuts known: the nodes to be cut, and those of them without children yet."""
         taken, childless = [], []
         heap = [(-self.nodes[0].gain, 0)]
-        while heap and len(taken) + 1 < LEAVES:
+        while heap and len(taken) + 1 < self.leaves:
             gain, number = heappop(heap)
             if gain >= 0:
                 break
@@ -365,7 +420,7 @@ class Growing:
         if node.depth + 1 >= (self.params["max_depth"] or 1 << 30) or max(left[2], right[2]) < 2 * self.params["min_samples_leaf"]:
             return  # neither child can be cut
         if node.rows:
-            below = node.rows.bins[feature] <= at
+            below = node.rows.feature(feature) <= at
             parts = {node.left: node.rows.part(below), node.right: node.rows.part(~below)}
             fewer, other = sorted(parts, key=lambda child: self.nodes[child].sums[2])
             histogram = parts[fewer].histogram(self.ends)
@@ -401,12 +456,38 @@ class Growing:
             [0.0 if i or not n.sums[1] else -rate * n.sums[0] / n.sums[1] for n, i in zip(self.nodes, inner, strict=True)],
         )
 
-    def model(self) -> BoostedTrees:
+    def as_json(self) -> str:
+        """The finished trees as the model has them."""
         trees = []
         for t in self.trees:
             real = [self.cuts[f][b] if f >= 0 else 0.0 for f, b in zip(t.feature.tolist(), t.threshold.tolist(), strict=True)]
             trees.append(Tree(t.feature, np.array(real, float), t.left, t.right, t.value))
-        return BoostedTrees.of(self.start, trees)
+        return trees_as_json(self.start, trees)
+
+    def grow_whole(self, bins: np.ndarray, y: np.ndarray, draw: np.ndarray) -> None:
+        """All trees, from all rows that the model may see; bins row by row."""
+        of_label = np.array([self.weights.get(0, 0.0), self.weights.get(1, 0.0)])
+        at = [np.flatnonzero(draw != HELD_BACK), np.flatnonzero(draw == HELD_BACK)]
+        (used, back), (y_used, y_back) = [bins[rows] for rows in at], [y[rows] for rows in at]
+        w_back = of_label[(y_back == 1).astype(int)]
+        margin, margin_back = (np.full(len(rows), self.start) for rows in at)
+        weight = np.rint(w_back / (1000 * self.unit)).sum()
+        while self.open:
+            done = len(self.trees)
+            loss = np.rint(w_back * (np.logaddexp(0, margin_back) - y_back * margin_back) / (1000 * self.unit)).sum()
+            values = np.empty((len(margin), 2))
+            for start in range(0, len(margin), TOGETHER):
+                some = slice(start, start + TOGETHER)
+                values[some] = gradients(y_used[some], margin[some], of_label, self.unit).T
+            self.take([Rows(used, values)], loss / weight if weight else np.inf)
+            for tree in map(Lookup, self.trees[done:]):
+                for into, of in ((margin, used), (margin_back, back)):
+                    for start in range(0, len(into), TOGETHER):
+                        some = slice(start, start + TOGETHER)
+                        tree.add_to(into[some], of[some].T)
+
+    def model(self) -> BoostedTrees:
+        return BoostedTrees(trees=self.as_json())
 
 
 class _State:
@@ -506,13 +587,10 @@ def _pass(state: DataFrame, tasks: int, models: Sequence[Growing], unit: float,
                     at = which.take(leaves(block.bins))
                     rows = np.flatnonzero(use & (at < len(as_rows)))
                     at = at[rows]
-                y = block.y[rows]
-                p = np.exp(-np.logaddexp(0, -margin[rows]))
-                w = of_label[(y == 1).astype(int)]
-                values = np.rint(np.stack([w * (p - y), w * p * (1 - p)]) / unit).astype(np.int64)
+                values = gradients(block.y[rows], margin[rows], of_label, unit).astype(np.int64)
                 bins = block.bins[:, rows]
                 for i in [i for i, whole in enumerate(as_rows) if whole]:
-                    sent.append(((slot + i) * per_node, Rows(bins, values).part(at == i).sent()))
+                    sent.append(((slot + i) * per_node, Rows(bins.T, values.T).part(at == i).sent()))
                 if not all(as_rows):
                     summed = np.flatnonzero(~np.array(as_rows))
                     if len(summed) < len(as_rows):
@@ -559,6 +637,31 @@ def _pass(state: DataFrame, tasks: int, models: Sequence[Growing], unit: float,
     return found, flat[slots * per_node :]
 
 
+def _grown_whole(binned: DataFrame, models: Sequence[Growing]) -> list[BoostedTrees]:
+    """The models, each grown in a task of its own; those with the most trees to grow begin first."""
+    turns = sorted((i for i, m in enumerate(models) if m.open), key=lambda i: -models[i].params["max_iter"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, parts = None, []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                number = turns[batch.column("turn")[i].as_py()]
+                n, *data = (batch.column(c)[i] for c in ("rows", "bins", "y", "fold", "draw"))
+                bins, y, fold, draw = (np.frombuffer(d.as_buffer(), kind) for d, kind in zip(data, (np.uint8, np.int8, "<i4", np.int8), strict=True))
+                kept = fold != (-2 if models[number].without is None else models[number].without)
+                parts.append((np.ascontiguousarray(bins.reshape(-1, n.as_py())[:, kept].T), y[kept], draw[kept]))
+        if parts:
+            models[number].grow_whole(*(np.concatenate(each) for each in zip(*parts, strict=True)))
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([models[number].as_json()])], names=["number", "trees"])
+
+    found = {}
+    if turns:
+        turn = F.explode(F.sequence(F.lit(0), F.lit(len(turns) - 1))).alias("turn")
+        dealt = binned.select(turn, "rows", "bins", "y", "fold", "draw").repartitionById(len(turns), "turn")
+        found = {r["number"]: r["trees"] for r in dealt.mapInArrow(run, "number int, trees string").collect()}
+    return [BoostedTrees(trees=found[i]) if i in found else m.model() for i, m in enumerate(models)]
+
+
 def fit_boosting(
     rows: DataFrame,
     settings: Sequence[tuple[Mapping, Mapping[int, float], int | None]],
@@ -574,13 +677,18 @@ def fit_boosting(
     ends = np.cumsum([len(c) + 1 for c in cuts])
     greatest = max(max(weights.values()) for _, weights, _ in settings)
     unit = greatest * 2.0 ** -min(UNIT_BITS, 61 - sum(counts.values()).bit_length())
-    models = []
+    models, most = [], 0
     for params, weights, without in settings:
         n = {c: sum(k for (fold, label_), k in counts.items() if label_ == c and (without is None or fold != without)) for c in (0, 1)}
         of = {c: n[c] * weights.get(c, 0.0) for c in (0, 1)}
         start = log(of[1] / of[0]) if of[0] and of[1] else 0.0
         models.append(Growing(params, weights, without, start, cuts, unit, sum(n.values())))
         models[-1].open &= bool(of[0] and of[1])
+        most = max(most, sum(n.values()))
+    if most * width <= WHOLE * SMALL:
+        if watch:
+            watch(1)
+        return _grown_whole(_binned(rows, cuts, [], label, seed), models)
     passes = 0
     with TemporaryTables(rows.sparkSession) as tables:
         state = tables.stored(_binned(rows, cuts, [m.start for m in models], label, seed))

@@ -197,3 +197,65 @@ def test_a_pass_standardises_a_block_once_a_fold(table, monkeypatch):
     monkeypatch.setattr(linear, "_summed", summed)
     settings = [({"C": c, "max_iter": 5}, {0: 1.0, 1: w}, f) for c in (0.1, 1.0) for w in (1.0, 3.0) for f in (0, None)]
     assert len(fit_linear(table, settings, "isFraud")) == 8
+
+
+MIXED = [({**PARAMS, "max_depth": d, "learning_rate": r, "max_iter": n}, {0: 1.0, 1: w}, f) for d, r, n, w, f in [(2, 0.1, 5, 1.0, 0), (None, 0.5, 12, 1.0, 1), (3, 0.3, 0, 9.0, None), (3, 0.3, 9, 9.0, None)]]
+
+
+def test_small_models_take_no_passes(table, monkeypatch):
+    def none(*_):
+        raise AssertionError("a pass over the rows")
+
+    monkeypatch.setattr(boosting, "_pass", none)
+    passes = []
+    found = fit_boosting(table, MIXED, "isFraud", watch=passes.append)
+    assert [len(m.scorer().trees) for m in found] == [5, 12, 0, 9]
+    assert passes == [1]
+
+
+@pytest.mark.parametrize("small, few", [(2048, 32), (50, 0), (0, 32)])
+def test_models_grown_whole_are_those_of_passes(table, monkeypatch, small, few):
+    whole = [m.getOrDefault(m.trees) for m in fit_boosting(table, MIXED, "isFraud")]
+    for name, value in (("WHOLE", 0), ("SMALL", small), ("FEW_TASKS", few), ("STORED_EVERY", 4)):
+        monkeypatch.setattr(boosting, name, value)
+    passes = []
+    assert [m.getOrDefault(m.trees) for m in fit_boosting(table, MIXED, "isFraud", watch=passes.append)] == whole
+    assert passes[0] >= 12
+
+
+def test_sums_of_rows_do_not_depend_on_how_many_are_taken_together(monkeypatch):
+    rng = np.random.default_rng(1)
+    bins, values = rng.integers(0, 7, (5000, 3)).astype(np.uint8), rng.integers(-(2**32), 2**32, (5000, 2))
+    which, ends = np.flatnonzero(rng.random(5000) < 0.7), np.array([7, 14, 21])
+    want = np.zeros((3, 21), np.int64)
+    for row in which.tolist():
+        for f in range(3):
+            want[:, 7 * f + bins[row, f]] += [*values[row].tolist(), 1]
+    for together, few in ((5000, 0), (5000, 5000), (512, 300), (3, 0)):
+        monkeypatch.setattr(boosting, "TOGETHER", together)
+        monkeypatch.setattr(boosting, "FEW_ROWS", few)
+        assert boosting.Rows(bins, values, which).histogram(ends).tolist() == want.tolist()
+    sent = boosting.Rows(bins, values, which).sent()
+    assert boosting.Rows.read([sent[:0], sent], 3).histogram(ends).tolist() == want.tolist()
+
+
+@pytest.mark.parametrize("thresholds, leaves", [(40, 31), (255, 70), (5000, 31)])
+def test_scores_by_places_are_those_of_walking_down(thresholds, leaves):
+    rng = np.random.default_rng(thresholds)
+    known, trees = rng.normal(size=thresholds), []
+    for _ in range(30):
+        feature, threshold, left, right = [-1], [0.0], [0], [0]
+        for _ in range(leaves - 1):
+            leaf = int(rng.choice([i for i, f in enumerate(feature) if f < 0]))
+            feature[leaf], threshold[leaf] = int(rng.integers(0, 3)), float(rng.choice(known))
+            left[leaf], right[leaf] = len(feature), len(feature) + 1
+            for into, what in ((feature, -1), (threshold, 0.0), (left, 0), (right, 0)):
+                into += [what, what]
+        trees.append(boosting.Tree(feature, threshold, left, right, rng.normal(size=len(feature))))
+    x = np.concatenate([rng.normal(size=(3, 500)), rng.choice(known, (3, 200)), [[np.nan, np.inf], [0.0, -np.inf], [-0.0, np.nan]]], axis=1)
+    margin = np.full(x.shape[1], -1.0)
+    for tree in trees:
+        tree.add_to(margin, x)
+    scorer = boosting.TreeSum(-1.0, trees)
+    assert scorer(x).tolist() == np.exp(-np.logaddexp(0, -margin)).tolist()
+    assert scorer(x).tolist() == boosting.TreeSum(-1.0, trees)(x).tolist()
