@@ -228,7 +228,8 @@ def search(
             else:
                 models = TOGETHER[algorithm](rows, every, label, seed)
                 scorers = [(i, fold, m.scorer()) for (i, fold), m in zip(tasks, models, strict=True)]
-                scored = tables.stored(held_out_scores(rows, scorers, label))  # the curve reads them more than once
+                # The curve reads them more than once.
+                scored = tables.stored(held_out_scores(rows, scorers, label))
             curves = pr_curve(scored, "score", label, by)
             found = {(r["setting"], r["fold"]): r["average_precision"] for r in average_precision(curves, by).collect()}
     finally:
